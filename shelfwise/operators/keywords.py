@@ -23,7 +23,8 @@ def keyword_counts(items: DataFrame, min_items: int = MIN_ITEMS_PER_WORD, min_le
     )
     return (
         items.select(F.inline(sides))
-        .select("side", F.explode("words").alias("word"))
+        .select("side", F.explode_outer("words").alias("word"))
+        .filter("word IS NOT NULL")
         .groupBy("side", "word")
         .agg(F.count(F.lit(1)).alias("item_count"))
         .filter(F.col("item_count") >= min_items)

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from shelfwise.functions import text as tx
 from shelfwise.functions.similarity import length_bound, match_ratio, shared_letters_bound
 from shelfwise.operators import taxonomy
-from shelfwise.scale import BROADCAST_BYTES, is_small, skew_join
+from shelfwise.scale import BROADCAST_BYTES, cut_lineage, is_small, skew_join
 
 WORD_SIMILARITY = 0.58
 MIN_RULE_CONFIDENCE = 0.85
@@ -159,12 +159,12 @@ def match_triggers(
     applies all rules to the combined text. Rules that fit the measured bound are broadcast and
     the whole match is one narrow stage; beyond it both words are found by shuffle joins.
     """
-    probe = _anchored(last_rule_per_pair(rules))
+    probe = cut_lineage(_anchored(cut_lineage(last_rule_per_pair(rules))))
     out = ["pos", "id", "phase", "category_slug", "w1", "w2", "confidence", "source"]
     views = _views(items, cross)
     on = ["word"] if cross else ["word", "side"]
     if is_small(probe, broadcast_bytes):
-        spread = views.withColumn("words", F.array_distinct("low")).withColumn("word", F.explode("words"))
+        spread = views.withColumn("words", F.array_distinct("low")).withColumn("word", F.explode_outer("words"))
         if not cross:
             spread = spread.withColumn("side", F.col("source"))
         cased = lambda w: F.element_at("toks", F.array_position("low", w).cast("int"))

@@ -119,3 +119,226 @@ def trigger_stats(spark, d):
 @query
 def unmatched_words(spark, d):
     return keywords.unmatched_words(rules.unmatched_items(view(spark, d, "items"), strict_triggers(spark, d)))
+
+
+# ---------------------------------------------------------------- taxonomy
+@query
+def taxonomy_nodes(spark, d):
+    return nodes_of(spark, d).drop("ord")
+
+
+@query
+def taxonomy_leaves(spark, d):
+    n = nodes_of(spark, d)
+    open_leaves = taxonomy.leaves(n, with_catch_all=False).select("leaf_path", F.lit(True).alias("for_model"))
+    return taxonomy.leaves(n, with_bare_roots=True).drop("ord").join(open_leaves, "leaf_path", "left").fillna(False, ["for_model"])
+
+
+@query
+def taxonomy_depths(spark, d):
+    n = cut_lineage(nodes_of(spark, d))
+    return taxonomy.depth_counts(n).join(broadcast_if_small(taxonomy.max_depth(n).withColumnRenamed("max_depth", "depth").withColumn("deepest", F.lit(True))), "depth", "left").fillna(False, ["deepest"])
+
+
+@query
+def top_level_categories(spark, d):
+    return taxonomy.top_level_list(nodes_of(spark, d)).drop("ord")
+
+
+@query
+def slug_paths(spark, d):
+    return taxonomy.slug_paths(nodes_of(spark, d))
+
+
+@query
+def slug_duplicates(spark, d):
+    return taxonomy.slug_duplicates(nodes_of(spark, d))
+
+
+@query
+def anchor_tokens(spark, d):
+    return taxonomy.anchor_tokens(nodes_of(spark, d))
+
+
+@query
+def catch_all_leaves(spark, d):
+    return taxonomy.catch_all_leaves(nodes_of(spark, d))
+
+
+@query
+def leaf_search(spark, d):
+    terms = spark.createDataFrame(
+        [(" RING ", "small"), ("nation_1", ""), ("", "bolt"), ("façon", " "), ("supplier", "europe")], "query string, narrow string"
+    )
+    return taxonomy.search_leaves(taxonomy.leaves(nodes_of(spark, d)), terms)
+
+
+@query
+def maximal_paths(spark, d):
+    p = view(spark, d, "part_words")
+    leaf = F.concat_ws("/", "root", "noun", F.concat_ws("_", "adj", "noun"))
+    deep = p.filter("p_size > 40").select(F.col("p_brand").alias("owner"), leaf.alias("path"))
+    wide = p.select(F.col("p_brand").alias("owner"), F.concat_ws("/", "root", "noun").alias("path"))
+    return taxonomy.maximal_paths(deep.unionByName(wide).distinct(), ["owner"])
+
+
+@query
+def taxonomy_insert(spark, d):
+    proposals = view(spark, d, "supplier").join(view(spark, d, "nation"), F.col("s_nationkey") == F.col("n_nationkey")).join(
+        view(spark, d, "region"), F.col("n_regionkey") == F.col("r_regionkey")
+    ).select(
+        F.concat_ws("/", F.lit("services"), F.replace(F.lower("r_name"), F.lit(" "), F.lit("_")), F.when(F.col("s_acctbal") > 0, F.lower("n_name"))).alias("parent_path"),
+        F.when(F.col("s_acctbal") > 5000, F.col("s_name")).when(F.col("s_acctbal") > 2000, F.concat(F.lit(" New shop! "), F.col("n_name"))).otherwise("--").alias("display_name"),
+        F.col("s_suppkey").alias("seq"),
+    )
+    return taxonomy.insert_leaves(nodes_of(spark, d), proposals)
+
+
+# ---------------------------------------------------------------- rule generation
+def parents_of(spark, d):
+    n = nodes_of(spark, d)
+    anchors = cut_lineage(taxonomy.anchor_tokens(n, [1, 2]))
+    kw = cut_lineage(keywords.keyword_counts(view(spark, d, "items")))
+    return kw, rules.word_parents(kw, anchors)
+
+
+@query
+def word_parents(spark, d):
+    return parents_of(spark, d)[1]
+
+
+@query
+def pair_rules(spark, d):
+    kw, parents = parents_of(spark, d)
+    return rules.sort_rules(rules.pair_rules(kw, cut_lineage(parents)))
+
+
+@query
+def pair_rules_all_tiers(spark, d):
+    kw, parents = parents_of(spark, d)
+    return rules.pair_rules(kw, cut_lineage(parents), min_confidence=0.7)
+
+
+# ---------------------------------------------------------------- frequent pairs and pair decisions
+def vocabulary_of(items):
+    words = keywords.unmatched_words(items).withColumn("seq", F.struct(-F.col("unmatched_item_count"), -F.col("token_count"), "word"))
+    return keywords.vocabulary(words, "seq")
+
+
+@query
+def vocabulary(spark, d):
+    """Words of the raw part and type lists, first spelling kept."""
+    raw = view(spark, d, "part").select(F.explode(F.array("p_type", F.initcap("p_type"), "p_brand", "p_name")).alias("word"), F.col("p_partkey").alias("seq"))
+    return keywords.vocabulary(raw, "seq").select("word_low", "seq")
+
+
+@query
+def frequent_pairs(spark, d):
+    items = view(spark, d, "items")
+    return keywords.frequent_pairs(items, vocabulary_of(items))
+
+
+def pair_state(spark, d):
+    items = view(spark, d, "items")
+    ranked = cut_lineage(keywords.ranked_pairs(cut_lineage(keywords.frequent_pairs(items, vocabulary_of(items)))))
+    latest = decisions.latest_decisions(view(spark, d, "pair_log"), ["rank"])
+    decided = cut_lineage(ranked.join(latest, "rank"))
+    return items, ranked, decided
+
+
+@query
+def pair_claims(spark, d):
+    items, _, decided = pair_state(spark, d)
+    claims = decisions.claim_first(decisions.pair_hits(items, decided.filter("kind = 'assign'")))
+    return decisions.assign_pairs(items, claims, decided).select("id", "leaf_path", "leaf_slug", "source")
+
+
+@query
+def pair_claims_min(spark, d):
+    items, _, decided = pair_state(spark, d)
+    return decisions.claim_with_minimum(decisions.pair_hits(items, decided.filter("kind = 'assign'")), 10).select("id", "rank")
+
+
+@query
+def pair_work_remaining(spark, d):
+    items, ranked, decided = pair_state(spark, d)
+    claims = decisions.claim_first(decisions.pair_hits(items, decided.filter("kind = 'assign'")))
+    return decisions.work_remaining(items, claims, ranked, decided.select("rank"))
+
+
+# ---------------------------------------------------------------- similar titles
+@query
+def block_sizes(spark, d):
+    return groups.block_sizes(groups.block_items(view(spark, d, "items")))
+
+
+@query
+def similar_pairs(spark, d):
+    return groups.similar_pairs(view(spark, d, "items"))
+
+
+@query
+def similar_groups(spark, d):
+    return groups.group_members(view(spark, d, "items")).select("group_id", "method", "id")
+
+
+def equal_title_groups(spark, d):
+    """Groups at similarity 1.0, where SQL can give the same answer."""
+    return groups.group_members(view(spark, d, "items"), min_sim=1.0)
+
+
+@query
+def equal_groups(spark, d):
+    return equal_title_groups(spark, d).select("group_id", "method", "id")
+
+
+@query
+def group_labels(spark, d):
+    return groups.group_heads(equal_title_groups(spark, d))
+
+
+@query
+def group_stats(spark, d):
+    items = view(spark, d, "items")
+    return groups.group_stats(items, cut_lineage(equal_title_groups(spark, d)))
+
+
+@query
+def ungrouped_items(spark, d):
+    return groups.ungrouped(view(spark, d, "items"), equal_title_groups(spark, d)).select("id", "title")
+
+
+def group_state(spark, d):
+    members = cut_lineage(equal_title_groups(spark, d))
+    latest = cut_lineage(decisions.latest_decisions(view(spark, d, "decision_log")))
+    leaf_rows = cut_lineage(taxonomy.leaves(nodes_of(spark, d)))
+    return members, latest, decisions.assign_groups(members, latest, leaf_rows)
+
+
+@query
+def latest_decisions(spark, d):
+    return decisions.latest_decisions(view(spark, d, "decision_log"))
+
+
+@query
+def group_decisions(spark, d):
+    return group_state(spark, d)[2].select("id", "leaf_path", "leaf_slug", "leaf_display_name", "method", "source")
+
+
+@query
+def decision_counts(spark, d):
+    members, latest, _ = group_state(spark, d)
+    return decisions.decision_counts(members.select("group_id").distinct(), latest)
+
+
+@query
+def remaining_status(spark, d):
+    members, latest, matched = group_state(spark, d)
+    return decisions.remaining_items(view(spark, d, "items"), members, latest, matched).select("id", "group_id", "status")
+
+
+@query
+def merge_newest(spark, d):
+    matched = group_state(spark, d)[2].select("pos", "id", "leaf_path", "method")
+    prior = view(spark, d, "matched").select("pos", "id", "leaf_path", F.lit("prior").alias("method"))
+    return decisions.merge_newest(prior, matched)

@@ -33,20 +33,20 @@ BLOCKED = f"""blocked AS (
 
 check("normalized_titles", "SELECT id, norm, token, band FROM blocked", "items", ctes=BLOCKED)
 
-LOW = "list_transform(regexp_extract_all({0}, '[A-Za-z]+'), x -> lower(x))"
+LOW = "[lower(x) FOR x IN regexp_extract_all({0}, '[A-Za-z]+')]"
 check(
     "item_tokens",
     f"""SELECT id, array_to_string(regexp_extract_all(title, '[A-Za-z]+'), ' ') AS tokens,
         array_to_string(list_sort(list_distinct({LOW.format('subtitle')})), ' ') AS subtitle_set,
-        array_to_string(list_sort(list_distinct(list_filter({LOW.format('title')}, x -> length(x) >= 4))), ' ') AS keywords,
+        array_to_string(list_sort(list_distinct([y FOR y IN {LOW.format('title')} IF length(y) >= 4])), ' ') AS keywords,
         length(regexp_replace(title || ' ' || subtitle, '^{WS}+|{WS}+$', '', 'g')) AS text_length
         FROM items""",
     "items",
 )
 
 KEYWORDS = f"""kw_raw AS (
-    SELECT 'title' AS side, unnest(list_distinct(list_filter({LOW.format('title')}, x -> length(x) >= 4))) AS word FROM items
-    UNION ALL SELECT 'subtitle', unnest(list_distinct(list_filter({LOW.format('subtitle')}, x -> length(x) >= 4))) FROM items),
+    SELECT 'title' AS side, unnest(list_distinct([y FOR y IN {LOW.format('title')} IF length(y) >= 4])) AS word FROM items
+    UNION ALL SELECT 'subtitle', unnest(list_distinct([y FOR y IN {LOW.format('subtitle')} IF length(y) >= 4])) FROM items),
 keywords AS (SELECT side, word, count(*) AS item_count FROM kw_raw GROUP BY side, word HAVING count(*) >= 3)"""
 check(
     "keyword_df",
@@ -72,8 +72,8 @@ def trig_sql(cross: bool) -> str:
                  UNION ALL SELECT pos, id, 'subtitle', regexp_extract_all(subtitle, '[A-Za-z]+') FROM items"""
         side = "AND r.side = a.source"
     return f"""views AS ({src}),
-    tok AS (SELECT pos, id, source, unnest(toks) AS t, generate_subscripts(toks, 1) AS at FROM views),
-    seen AS (SELECT pos, id, source, lower(t) AS w, arg_min(t, at) AS cased FROM tok GROUP BY 1, 2, 3, 4),
+    tok AS (SELECT pos, id, source, unnest(toks) AS t, generate_subscripts(toks, 1) AS ix FROM views),
+    seen AS (SELECT pos, id, source, lower(t) AS w, arg_min(t, ix) AS cased FROM tok GROUP BY 1, 2, 3, 4),
     trig AS (SELECT a.pos, a.id, r.phase, r.category_slug, a.cased AS w1, b.cased AS w2, r.confidence, a.source
              FROM seen a JOIN uniq r ON r.w1 = a.w {side} JOIN seen b ON b.pos = a.pos AND b.source = a.source AND b.w = r.w2)"""
 
@@ -148,3 +148,187 @@ un_words AS (SELECT word, count(DISTINCT pos) AS unmatched_item_count, count(*)
     WHERE length(word) >= 5 GROUP BY word HAVING count(DISTINCT pos) >= 4)"""
 UNMATCHED_WORDS = UNMATCHED_WORDS.replace("regexp_extract_all(lower(title || ' ' || subtitle), '[a-z]+')", LOW.format("title || ' ' || subtitle"))
 check("unmatched_words", "SELECT * FROM un_words", "items", "rules", ctes=",\n".join([*STRICT, UNMATCHED, UNMATCHED_WORDS]))
+
+# ---------------------------------------------------------------- taxonomy
+check("taxonomy_nodes", "SELECT path, slug, display_name, parent_path, depth, is_leaf, is_catch_all FROM nodes", "tree", ctes=NODES)
+check(
+    "taxonomy_leaves",
+    "SELECT path AS leaf_path, slug AS leaf_slug, display_name, depth > 0 AND NOT is_catch_all AS for_model FROM nodes WHERE is_leaf",
+    "tree", ctes=NODES,
+)
+check(
+    "taxonomy_depths",
+    """SELECT depth, count(*) AS n_nodes, count(*) FILTER (is_leaf) AS n_leaves, count(*) FILTER (is_catch_all) AS n_catch_all,
+       depth = (SELECT max(depth) FROM nodes) AS deepest FROM nodes GROUP BY depth""",
+    "tree", ctes=NODES,
+)
+check("top_level_categories", "SELECT slug, display_name, split_part(path, '/', 1) AS root FROM nodes WHERE depth = 1 AND NOT is_catch_all", "tree", ctes=NODES)
+check("slug_paths", "SELECT * FROM slug_paths", "tree", ctes=f"{NODES},\n{SLUG_PATHS}")
+check(
+    "slug_duplicates",
+    "SELECT slug, arg_min(path, ord) AS kept_path, count(DISTINCT path) AS n_paths FROM nodes WHERE NOT is_catch_all GROUP BY slug HAVING count(DISTINCT path) > 1",
+    "tree", ctes=NODES,
+)
+ANCHORS = r"""node_words AS (
+    SELECT path, unnest(regexp_extract_all(lower(replace(CASE WHEN depth = 0 THEN display_name ELSE slug || ' ' || display_name END, '_', ' ')), '\p{L}+')) AS token FROM nodes),
+chosen AS (SELECT depth, slug AS anchor, arg_max(path, ord) AS a_path FROM nodes WHERE NOT is_catch_all GROUP BY depth, slug),
+anchors AS (SELECT DISTINCT c.depth, c.anchor, w.token FROM chosen c JOIN node_words w ON w.path = c.a_path OR starts_with(w.path, c.a_path || '/'))"""
+check("anchor_tokens", "SELECT * FROM anchors", "tree", ctes=f"{NODES},\n{ANCHORS}")
+check("catch_all_leaves", "SELECT path AS leaf_path, slug AS leaf_slug, display_name FROM nodes WHERE is_leaf AND is_catch_all AND depth > 0", "tree", ctes=NODES)
+check(
+    "leaf_search",
+    """SELECT query, narrow, path AS leaf_path, slug AS leaf_slug, display_name
+       FROM (SELECT * FROM (VALUES (' RING ', 'small'), ('nation_1', ''), ('', 'bolt'), ('façon', ' '), ('supplier', 'europe')) t(query, narrow))
+       JOIN nodes ON is_leaf AND depth > 0 AND trim(query) <> ''
+        AND contains(lower(path || ' ' || slug || ' ' || display_name), lower(trim(query)))
+        AND contains(lower(path || ' ' || slug || ' ' || display_name), lower(trim(narrow)))""",
+    "tree", ctes=NODES,
+)
+check(
+    "maximal_paths",
+    """SELECT owner, path FROM paths p WHERE NOT EXISTS (SELECT 1 FROM paths q WHERE q.owner = p.owner AND starts_with(q.path, p.path || '/'))""",
+    "part_words",
+    ctes="""paths AS (SELECT DISTINCT p_brand AS owner, root || '/' || noun || '/' || adj || '_' || noun AS path FROM part_words WHERE p_size > 40
+            UNION SELECT DISTINCT p_brand, root || '/' || noun FROM part_words)""",
+)
+check(
+    "taxonomy_insert",
+    """SELECT r.parent_path || '/' || slug AS path, slug, arg_min(r.display_name, seq) AS display_name, r.parent_path, any_value(n.depth) + 1 AS depth
+       FROM (SELECT parent_path, trim(display_name) AS display_name, seq, trim(regexp_replace(lower(trim(display_name)), '[^a-z0-9]+', '_', 'g'), '_') AS slug FROM proposals) r
+       JOIN nodes n ON n.path = r.parent_path AND n.depth >= 1
+       WHERE slug <> '' AND r.parent_path || '/' || slug NOT IN (SELECT path FROM nodes)
+       GROUP BY r.parent_path, slug""",
+    "tree",
+    ctes=f"""{NODES},
+proposals AS (SELECT 'services/' || replace(lower(r_name), ' ', '_') || CASE WHEN s_acctbal > 0 THEN '/' || lower(n_name) ELSE '' END AS parent_path,
+    CASE WHEN s_acctbal > 5000 THEN s_name WHEN s_acctbal > 2000 THEN ' New shop! ' || n_name ELSE '--' END AS display_name, s_suppkey AS seq
+    FROM supplier JOIN nation ON s_nationkey = n_nationkey JOIN region ON n_regionkey = r_regionkey)""",
+)
+
+# ---------------------------------------------------------------- rule generation
+# Ratio by repeated longest common blocks (leftmost first), as a recursive query over sub-strings.
+PARENTS = f"""{KEYWORDS},
+words AS (SELECT DISTINCT word FROM keywords),
+tokens AS (SELECT DISTINCT token FROM anchors WHERE depth IN (1, 2)),
+cand AS (SELECT word AS w, token AS t FROM words JOIN tokens ON left(word, 3) = left(token, 3) OR length(token) < 3
+    WHERE word <> token AND 2.0 * least(length(word), length(token)) / (length(word) + length(token)) >= 0.58),
+ro AS (
+    SELECT w, t, '' AS side, w AS a, t AS b, 0 AS m FROM cand
+    UNION ALL
+    SELECT w, t, side || s.z, CASE s.z WHEN 'L' THEN substr(a, 1, best.i - 1) ELSE substr(a, best.i + best.k) END,
+           CASE s.z WHEN 'L' THEN substr(b, 1, best.j - 1) ELSE substr(b, best.j + best.k) END, CASE s.z WHEN 'L' THEN best.k ELSE 0 END
+    FROM (SELECT w, t, side, a, b, arg_max({{'i': i, 'j': j, 'k': k}}, k * 1000000 - i * 1000 - j) AS best
+          FROM (SELECT w, t, side, a, b, i, j, k FROM (SELECT w, t, side, a, b, unnest(range(1, length(a) + 1)) AS i FROM ro WHERE a <> '' AND b <> ''),
+                LATERAL (SELECT unnest(range(1, length(b) + 1)) AS j), LATERAL (SELECT unnest(range(1, least(length(a), length(b)) + 1)) AS k)
+                WHERE i + k - 1 <= length(a) AND j + k - 1 <= length(b) AND substr(a, i::BIGINT, k::BIGINT) = substr(b, j::BIGINT, k::BIGINT))
+          GROUP BY w, t, side, a, b), (VALUES ('L'), ('R')) s(z)),
+near AS (SELECT w AS word, t AS token FROM ro GROUP BY w, t HAVING 2.0 * sum(m) / (length(w) + length(t)) >= 0.58),
+parents AS (SELECT DISTINCT a.depth, h.word, a.anchor AS parent
+    FROM (SELECT * FROM near UNION ALL SELECT word, word FROM words) h JOIN anchors a ON a.token = h.token WHERE a.depth IN (1, 2))"""
+check("word_parents", "SELECT * FROM parents", "items", "tree", ctes=f"{NODES},\n{ANCHORS},\n{PARENTS}")
+RULES_MADE = """made AS (
+    SELECT a.depth, ka.side, ka.word AS w1, kb.word AS w2, any_value(a.parent) AS category_slug,
+           CASE WHEN any_value(a.n) = 1 AND any_value(b.n) = 1 THEN 1.0 WHEN any_value(a.n) = 1 OR any_value(b.n) = 1 THEN 0.85 ELSE 0.7 END AS confidence
+    FROM (SELECT *, count(*) OVER (PARTITION BY depth, word) AS n FROM parents) a
+    JOIN (SELECT *, count(*) OVER (PARTITION BY depth, word) AS n FROM parents) b ON a.depth = b.depth AND a.parent = b.parent
+    JOIN keywords ka ON ka.word = a.word JOIN keywords kb ON kb.word = b.word AND kb.side = ka.side
+    WHERE ka.item_count > kb.item_count OR (ka.item_count = kb.item_count AND ka.word < kb.word)
+    GROUP BY 1, 2, 3, 4 HAVING count(*) = 1)"""
+for name, least_conf in (("pair_rules", 0.85), ("pair_rules_all_tiers", 0.7)):
+    check(
+        name, f"SELECT *, 'taxonomy_based' AS source FROM made WHERE confidence >= {least_conf}", "items", "tree",
+        ctes=f"{NODES},\n{ANCHORS},\n{PARENTS},\n{RULES_MADE}",
+    )
+
+# ---------------------------------------------------------------- frequent pairs
+check(
+    "vocabulary",
+    """SELECT lower(word) AS word_low, min(p_partkey) AS seq
+       FROM (SELECT unnest([p_type, upper(left(p_type, 1)) || lower(substr(p_type, 2)), p_brand, p_name]) AS word, p_partkey FROM part) GROUP BY 1""",
+)
+PAIRS = UNMATCHED_WORDS.replace("FROM unmatched", "FROM items") + f""",
+post AS (SELECT DISTINCT pos, f, w FROM (
+    SELECT pos, 0 AS f, unnest({LOW.format('title')}) AS w FROM items UNION ALL SELECT pos, 1, unnest({LOW.format('subtitle')}) FROM items)
+    WHERE w IN (SELECT word FROM un_words)),
+freq AS (SELECT w1, w2, count(*) AS unmatched_item_count FROM (
+    SELECT DISTINCT a.pos, a.w AS w1, b.w AS w2 FROM post a JOIN post b ON a.pos = b.pos AND a.f = b.f AND a.w < b.w) GROUP BY 1, 2 HAVING count(*) >= 10)"""
+check("frequent_pairs", "SELECT * FROM freq", "items", ctes=PAIRS)
+PAIR_STATE = PAIRS + f""",
+ranked_pairs AS (SELECT *, row_number() OVER (ORDER BY unmatched_item_count DESC, w1, w2) AS rank FROM freq),
+pair_latest AS (SELECT rank, arg_max(kind, {{'t': decided_at, 's': seq}}) AS kind, arg_max(leaf_path, {{'t': decided_at, 's': seq}}) AS leaf_path FROM pair_log GROUP BY rank),
+decided AS (SELECT r.*, l.kind, l.leaf_path FROM ranked_pairs r JOIN pair_latest l ON l.rank = r.rank WHERE l.kind <> 'cleared'),
+all_words AS (SELECT DISTINCT pos, f, w FROM (
+    SELECT pos, 0 AS f, unnest({LOW.format('title')}) AS w FROM items UNION ALL SELECT pos, 1, unnest({LOW.format('subtitle')}) FROM items)),
+hits AS (SELECT DISTINCT a.pos, d.rank, d.kind FROM decided d JOIN all_words a ON a.w = d.w1 JOIN all_words b ON b.w = d.w2 AND b.pos = a.pos AND b.f = a.f),
+claims AS (SELECT pos, min(rank) AS rank FROM hits WHERE kind = 'assign' GROUP BY pos)"""
+check(
+    "pair_claims",
+    """SELECT i.id, d.leaf_path, split_part(d.leaf_path, '/', -1) AS leaf_slug, 'manual_bigram_1_3' AS source
+       FROM claims c JOIN decided d ON d.rank = c.rank JOIN items i ON i.pos = c.pos""",
+    "items", "pair_log", ctes=PAIR_STATE,
+)
+check(
+    "pair_work_remaining",
+    """SELECT (SELECT count(*) FROM items WHERE pos NOT IN (SELECT pos FROM claims)) AS uncategorized,
+       (SELECT count(DISTINCT r.rank) FROM ranked_pairs r JOIN all_words a ON a.w = r.w1 JOIN all_words b ON b.w = r.w2 AND b.pos = a.pos AND b.f = a.f
+        WHERE r.rank NOT IN (SELECT rank FROM decided) AND a.pos NOT IN (SELECT pos FROM claims)) AS pairs_open""",
+    "items", "pair_log", ctes=PAIR_STATE,
+)
+
+# ---------------------------------------------------------------- similar titles
+check(
+    "block_sizes",
+    "SELECT token, band, count(*) AS n_items, count(DISTINCT norm) AS n_titles, count(*) * (count(*) - 1) // 2 AS n_pairs FROM blocked GROUP BY token, band",
+    "items", ctes=BLOCKED,
+)
+GROUPS = BLOCKED + """,
+sized AS (SELECT *, count(*) OVER (PARTITION BY token, band) AS k FROM blocked),
+heads AS (SELECT token, band, norm, k, count(*) AS item_count, min(pos) AS first_pos FROM sized GROUP BY ALL HAVING count(*) >= 5),
+numbered AS (SELECT *, 'g_' || lpad((row_number() OVER (ORDER BY token, band, CASE WHEN k <= 30 THEN -item_count ELSE 0 END, first_pos) - 1)::VARCHAR, 6, '0') AS group_id,
+    CASE WHEN k <= 30 THEN 'clique' ELSE 'component' END AS method FROM heads),
+members AS (SELECT b.*, n.group_id, n.method FROM blocked b JOIN numbered n ON n.token = b.token AND n.band = b.band AND n.norm = b.norm)"""
+check("equal_groups", "SELECT group_id, method, id FROM members", "items", ctes=GROUPS)
+check(
+    "group_labels",
+    f"""SELECT n.group_id, n.method, n.item_count,
+        CASE WHEN length(n.norm) >= 4 THEN n.norm ELSE (SELECT trim(arg_min(m.title, {{'l': length(m.title), 'p': m.pos}})) FROM members m WHERE m.group_id = n.group_id) END AS master_title
+        FROM numbered n""",
+    "items", ctes=GROUPS,
+)
+check(
+    "group_stats",
+    """SELECT (SELECT count(*) FROM items) AS items_in, (SELECT count(DISTINCT (token, band)) FROM sized WHERE k BETWEEN 5 AND 30) AS clique_blocks,
+       (SELECT count(DISTINCT (token, band)) FROM sized WHERE k > 30) AS component_blocks, (SELECT count(*) FROM numbered) AS groups_emitted,
+       (SELECT count(*) FROM members) AS items_in_groups, (SELECT count(*) FROM items) - (SELECT count(*) FROM members) AS items_ungrouped""",
+    "items", ctes=GROUPS,
+)
+check("ungrouped_items", "SELECT id, title FROM items WHERE pos NOT IN (SELECT pos FROM members)", "items", ctes=GROUPS)
+LATEST = """latest AS (SELECT key, arg_max(kind, {'t': decided_at, 's': seq}) AS kind, arg_max(leaf_path, {'t': decided_at, 's': seq}) AS leaf_path
+    FROM decision_log GROUP BY key HAVING arg_max(kind, {'t': decided_at, 's': seq}) <> 'cleared')"""
+check("latest_decisions", "SELECT * FROM latest", "decision_log", ctes=LATEST)
+ASSIGNED = f"""{NODES},
+{GROUPS},
+{LATEST},
+assigned AS (SELECT m.pos, m.id, m.title, m.subtitle, l.leaf_path, split_part(l.leaf_path, '/', -1) AS leaf_slug, coalesce(n.display_name, '') AS leaf_display_name,
+    'similar_title_group_1_6' AS method, 'manual_similar_title_1_6' AS source
+    FROM members m JOIN latest l ON l.key = m.group_id AND l.kind = 'assign' LEFT JOIN nodes n ON n.path = l.leaf_path AND n.is_leaf)"""
+GV = ("items", "tree", "decision_log")
+check("group_decisions", "SELECT id, leaf_path, leaf_slug, leaf_display_name, method, source FROM assigned", *GV, ctes=ASSIGNED)
+check(
+    "decision_counts",
+    "SELECT coalesce(l.kind, 'undecided') AS kind, count(*) AS n_groups FROM numbered n LEFT JOIN latest l ON l.key = n.group_id GROUP BY 1",
+    *GV, ctes=ASSIGNED,
+)
+check(
+    "remaining_status",
+    """SELECT i.id, m.group_id, CASE WHEN m.group_id IS NULL THEN 'not_in_similar_title_group' WHEN l.kind = 'unknown' THEN 'unknown_1_6'
+        WHEN l.kind = 'assign' THEN 'in_assigned_group_but_not_in_item_matches' ELSE 'not_decided_in_1_6' END AS status
+       FROM items i LEFT JOIN members m ON m.pos = i.pos LEFT JOIN latest l ON l.key = m.group_id WHERE i.id NOT IN (SELECT id FROM assigned)""",
+    *GV, ctes=ASSIGNED,
+)
+check(
+    "merge_newest",
+    """SELECT id, arg_max(leaf_path, {'n': new, 'p': pos}) AS leaf_path, arg_max(method, {'n': new, 'p': pos}) AS method FROM (
+        SELECT id, pos, leaf_path, 'prior' AS method, 0 AS new FROM matched UNION ALL SELECT id, pos, leaf_path, method, 1 FROM assigned) GROUP BY id""",
+    *GV, "matched", ctes=ASSIGNED,
+)

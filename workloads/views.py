@@ -111,6 +111,60 @@ VIEWS: dict[str, str] = {
                CASE event_type WHEN 'error' THEN 'unknown' WHEN 'click' THEN 'cleared' ELSE 'assign' END AS kind,
                leaf_path, ts AS decided_at, event_id AS seq
         FROM {events} JOIN {part_leaf} ON CAST(regexp_extract(props, '([0-9]+)', 1) AS BIGINT) = p_partkey""",
+    # decisions on word pairs, by the rank of the pair
+    "pair_log": """
+        SELECT CAST(user_id + 1 AS BIGINT) AS rank, CASE event_type WHEN 'error' THEN 'unknown' WHEN 'click' THEN 'cleared' ELSE 'assign' END AS kind,
+               leaf_path, ts AS decided_at, event_id AS seq
+        FROM {events} JOIN {part_leaf} ON CAST(regexp_extract(props, '([0-9]+)', 1) AS BIGINT) = p_partkey""",
+    # what a leaf model answered for each document
+    "predictions": """
+        SELECT CAST(floor(doc_id / 25) AS BIGINT) AS batch_no, doc_id, 'doc_' || CAST(doc_id AS STRING) AS id, lang,
+               coalesce(leaf_path, 'no/such/leaf') AS leaf_path, CAST(n_chars % 12 AS DOUBLE) / 10 AS confidence
+        FROM {documents} LEFT JOIN {part_leaf} ON doc_id = p_partkey""",
+    # final rows: parts on their own leaf, documents on the predicted one
+    "matched": """
+        SELECT i.pos, i.id, i.title, i.subtitle, l.leaf_path, CAST(NULL AS STRING) AS leaf_slug
+        FROM {items} i JOIN {part_leaf} l ON i.id = 'itm_' || lpad(CAST(l.p_partkey AS STRING), 12, '0')
+        UNION ALL
+        SELECT i.pos, i.id, i.title, i.subtitle, p.leaf_path, ''
+        FROM {items} i JOIN {predictions} p ON i.id = p.id""",
+    # attribute definitions a model proposed, in answer order; promo leaves are answered twice
+    "attr_defs": """
+        SELECT DISTINCT root || '/' || noun || '/' || adj || '_' || noun || '/' || kind AS leaf_path, adj || ' ' || noun || ' {{FRAC}}" Brand#{{NUM}}' AS template,
+               0 AS round, kind FROM {part_words}
+        UNION ALL
+        SELECT DISTINCT root || '/' || noun || '/' || adj || '_' || noun || '/' || kind, adj || ' ' || noun || ' {{FRAC}}" Brand#{{NUM}}', 1, kind
+        FROM {part_words} WHERE kind = 'promo'""",
+    "attr_rows": """
+        SELECT leaf_path, template, round, a.attr_seq, a.key, a.label, a.vtype, a.regex, a.hint, a.symbol
+        FROM {attr_defs} CROSS JOIN (
+            SELECT 0 AS attr_seq, 'size' AS key, 'Size' AS label, 'number' AS vtype, '(?P<val>[0-9]+/16")' AS regex, 'measurement_inches' AS hint, 'in' AS symbol
+            UNION ALL SELECT 1, 'brand', 'Brand', 'text', '(?P<val>Brand#[0-9]+)', 'text_lower', CAST(NULL AS STRING)
+            UNION ALL SELECT 2, 'finish', 'Finish', 'text', '(?P<val>zinc)', 'text_raw', CAST(NULL AS STRING)
+            UNION ALL SELECT 3, 'broken', 'Broken', 'text', '(?P<val>[', 'text_raw', CAST(NULL AS STRING)) a
+        WHERE round = 0 OR a.attr_seq = 0""",
+    # fallback answers of a value model, one per order line
+    "value_answers": """
+        SELECT 'itm_' || lpad(CAST(l_partkey AS STRING), 12, '0') AS item_id, leaf_path, l_returnflag AS attribute_key,
+               CASE WHEN l_discount = 0.1 THEN '' ELSE CAST(CAST(l_quantity AS INT) AS STRING) END AS value,
+               CASE WHEN l_tax < 0.02 THEN 'high' WHEN l_tax < 0.04 THEN ' Medium ' WHEN l_tax < 0.06 THEN 'llm_low' WHEN l_tax < 0.07 THEN 'none' ELSE 'true' END AS conf,
+               l_orderkey, l_linenumber
+        FROM {lineitem} JOIN {part_leaf} ON l_partkey = p_partkey""",
+    # marketplace tables
+    "shop_items": """
+        SELECT id, title, subtitle, CASE WHEN length(title) > 300 OR title LIKE '%13/16%' THEN 'x' END AS deleted_at FROM {items}""",
+    "shop_categories": """
+        SELECT 'c:' || node_key AS id, 'c:' || parent_key AS parent_id, display_name AS name, slug,
+               CASE WHEN slug = 'crafts' THEN 'x' END AS deleted_at
+        FROM {tree} WHERE length(node_key) - length(replace(node_key, '/', '')) < 2 OR node_key LIKE 'services/%'""",
+    "shop_links": """
+        SELECT 'itm_' || lpad(CAST(p_partkey AS STRING), 12, '0') AS item_id, 'c:' || root || '/' || noun AS category_id,
+               CASE WHEN p_size = 7 THEN 'x' END AS deleted_at
+        FROM {part_words} WHERE p_size < 20""",
+    "shop_values": """
+        SELECT DISTINCT 'itm_' || lpad(CAST(l_partkey AS STRING), 12, '0') AS item_id, l_returnflag AS attribute_id, CAST(CAST(l_quantity AS INT) AS STRING) AS value,
+               CASE WHEN l_linestatus = 'F' THEN 'x' END AS deleted_at
+        FROM {lineitem} WHERE l_tax < 0.01 AND l_quantity < 20""",
     # a run registry: every order is a run
     "runs": """
         SELECT 'run_' || lpad(CAST(o_orderkey AS STRING), 12, '0') AS run_id,
@@ -132,7 +186,12 @@ def needs(name: str) -> list[str]:
 def view(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """A given table or a view over the given tables."""
     if name not in VIEWS:
-        return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+        table = spark.read.parquet(f"{sf_dir}/{name}.parquet")
+        tasks = spark.sparkContext.defaultParallelism
+        if name == "documents" and table.rdd.getNumPartitions() < tasks:
+            # one row group of long texts would keep all but one core idle; large tables skip this
+            table = table.repartition(tasks, "doc_id")
+        return table
     return spark.sql(VIEWS[name], **{n: view(spark, sf_dir, n) for n in needs(name)})
 
 
@@ -151,7 +210,7 @@ def with_clause(*names: str) -> str:
     bodies = []
     for n in VIEWS:
         if n in wanted:
-            body = VIEWS[n]
+            body = VIEWS[n].replace("{{", "{").replace("}}", "}")
             for m in [*TABLES, *VIEWS]:
                 body = body.replace("{" + m + "}", m)
             bodies.append(f"{n} AS ({body})")
