@@ -9,11 +9,15 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 
-@F.pandas_udf("double")
-def match_ratio(pairs: Iterator[tuple[pd.Series, pd.Series]]) -> Iterator[pd.Series]:
+def match_ratio(a: Column, b: Column) -> Column:
     """Ratio of two strings, equal strings 1.0; argument order matters."""
+    return F.pandas_udf(_ratios, T.DoubleType())(a, b)
+
+
+def _ratios(pairs: Iterator[tuple[pd.Series, pd.Series]]) -> Iterator[pd.Series]:
     for left, right in pairs:
         matcher, seen = SequenceMatcher(), None
         out = np.empty(len(left))

@@ -4,11 +4,11 @@ from __future__ import annotations
 
 import re
 from collections.abc import Iterator
-from functools import lru_cache
 
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from shelfwise.functions import text as tx
 from shelfwise.scale import broadcast_if_small, side_by_side
@@ -18,8 +18,8 @@ ACCEPTED = ("regex", "llm_high", "llm_medium")
 VALUE_COLUMNS = ["item_id", "leaf_path", "attribute_key", "value", "unit", "extraction_confidence"]
 
 
-@lru_cache(maxsize=4096)
 def _compiled(regex: str | None) -> re.Pattern | None:
+    """The standard library keeps compiled patterns; a broken one gives None."""
     try:
         return re.compile(regex or "")
     except re.error:
@@ -34,16 +34,22 @@ def _capture(regex: str | None, title: str | None) -> str | None:
     return found.group("val") if found else None
 
 
-@F.pandas_udf("array<string>")
-def capture_all(batches: Iterator[tuple[pd.Series, pd.Series]]) -> Iterator[pd.Series]:
+def capture_all(title: Column, regexes: Column) -> Column:
     """The named capture of each pattern in a title, null where it does not match."""
+    return F.pandas_udf(_capture_all, T.ArrayType(T.StringType()))(title, regexes)
+
+
+def _capture_all(batches: Iterator[tuple[pd.Series, pd.Series]]) -> Iterator[pd.Series]:
     for titles, regexes in batches:
         yield pd.Series([[_capture(r, t) for r in rs] for t, rs in zip(titles, regexes)])
 
 
-@F.pandas_udf("boolean")
-def pattern_passes(batches: Iterator[tuple[pd.Series, pd.Series]]) -> Iterator[pd.Series]:
+def pattern_passes(regex: Column, representative: Column) -> Column:
     """Compiles, has the named group, and finds a non-blank value in the representative, if any."""
+    return F.pandas_udf(_passes, T.BooleanType())(regex, representative)
+
+
+def _passes(batches: Iterator[tuple[pd.Series, pd.Series]]) -> Iterator[pd.Series]:
     for regexes, titles in batches:
         out = []
         for regex, title in zip(regexes, titles):

@@ -165,7 +165,6 @@ def _cliques(norms: list[str], min_sim: float, min_group: int) -> list[list[int]
 def clique_members(blocked_small: DataFrame, min_sim: float = MIN_SIMILARITY, min_group: int = MIN_GROUP) -> DataFrame:
     """``(token, band, emission, pos)`` of the clique cover; input blocks hold at most 30 items."""
 
-    @F.pandas_udf("array<struct<emission:long,pos:long>>")
     def cover(blocks: Iterator[pd.Series]) -> Iterator[pd.Series]:
         for batch in blocks:
             out = []
@@ -175,6 +174,7 @@ def clique_members(blocked_small: DataFrame, min_sim: float = MIN_SIMILARITY, mi
                 out.append([{"emission": g, "pos": rows[i]["pos"]} for g, ids in enumerate(groups) for i in ids])
             yield pd.Series(out)
 
+    cover = F.pandas_udf(cover, "array<struct<emission:long,pos:long>>")
     packed = blocked_small.groupBy(*BLOCK).agg(F.collect_list(F.struct("pos", "norm")).alias("rows"))
     return packed.select(*BLOCK, F.explode(cover("rows")).alias("m")).select(*BLOCK, "m.emission", "m.pos")
 

@@ -21,7 +21,7 @@ def flatten_tree(tree: DataFrame, max_levels: int = MAX_LEVELS, keep_key: bool =
 
     Nodes without a slug are left out together with everything below them.
     """
-    tree = tree.filter(F.col("slug").isNotNull() & (F.col("slug") != ""))
+    tree = cut_lineage(tree.filter(F.col("slug").isNotNull() & (F.col("slug") != "")))
     shown = F.coalesce(F.nullif("display_name", F.lit("")), F.col("slug"))
     level = tree.filter(F.col("parent_key").isNull()).select(
         "node_key",

@@ -342,3 +342,438 @@ def merge_newest(spark, d):
     matched = group_state(spark, d)[2].select("pos", "id", "leaf_path", "method")
     prior = view(spark, d, "matched").select("pos", "id", "leaf_path", F.lit("prior").alias("method"))
     return decisions.merge_newest(prior, matched)
+
+
+# ---------------------------------------------------------------- merging
+def match_lists(spark, d):
+    """The four match sources: groups, rules, pairs, model."""
+    items = view(spark, d, "items")
+    n = nodes_of(spark, d)
+    by_group = group_state(spark, d)[2]
+    totals = rules.item_totals(rules.rank_categories(strict_triggers(spark, d)))
+    by_rule = merge.rule_rows(items, totals, taxonomy.slug_paths(n))
+    log = decisions.latest_decisions(view(spark, d, "pair_log"), ["rank"])
+    words = rules.last_rule_per_pair(view(spark, d, "rules")).filter("side = 'subtitle' AND phase = 1").select("w1", "w2")
+    decided = cut_lineage(number_rows(words, ["w1", "w2"], "rank").join(log, "rank").filter("kind = 'assign'"))
+    by_pair = decisions.assign_pairs(items, decisions.claim_first(decisions.pair_hits(items, decided)), decided)
+    kept = view(spark, d, "predictions").filter("confidence >= 0.9 AND confidence <= 1.0").select("id", "leaf_path", "confidence")
+    by_model = model_tables.merge_model_matches(items, kept, spark.createDataFrame([], "id string"))
+    return items, [cut_lineage(m) for m in (by_group, by_rule, by_pair, by_model)]
+
+
+@query
+def merge_sources(spark, d):
+    _, lists = match_lists(spark, d)
+    return merge.dedupe_matched(merge.union_sources(*lists)).drop("subtitle")
+
+
+@query
+def unmatched_final(spark, d):
+    items, (g, _, p, m) = match_lists(spark, d)
+    doubled = items.unionByName(items.withColumn("title", F.lit("copy")).withColumn("pos", F.col("pos") + 10**12))
+    return merge.final_unmatched(doubled, merge.dedupe_matched(merge.union_sources(g, p, m))).select("id", "title")
+
+
+@query
+def dedupe_accounting(spark, d):
+    items, (g, _, p, m) = match_lists(spark, d)
+    return merge.dedupe_accounting(merge.union_sources(g, p, m), items)
+
+
+@query
+def unmatched_report(spark, d):
+    items, (g, r, _, m) = match_lists(spark, d)
+    return merge.unmatched_report(merge.final_unmatched(items, merge.dedupe_matched(merge.union_sources(g, m))))
+
+
+@query
+def summary_levels(spark, d):
+    n = cut_lineage(nodes_of(spark, d))
+    rows = view(spark, d, "matched").select("leaf_path").unionByName(
+        view(spark, d, "customer").select(F.when(F.col("c_acctbal") > 0, F.col("c_mktsegment")).otherwise(" ").alias("leaf_path"))
+    ).unionByName(view(spark, d, "part_words").select(F.col("root").alias("leaf_path")))
+    return merge.summary_levels(rows, n)
+
+
+@query
+def validate_rows(spark, d):
+    n = cut_lineage(nodes_of(spark, d))
+    rows = view(spark, d, "matched").select("pos", "id", "leaf_path").unionByName(
+        view(spark, d, "part_words").select(
+            (F.col("p_partkey") + 10**12).alias("pos"),
+            F.when(F.col("p_size") < 5, "").otherwise(F.concat(F.lit("itm_"), F.lpad(F.col("p_partkey").cast("string"), 12, "0"))).alias("id"),
+            F.when(F.col("p_size") > 45, " ").when(F.col("p_size") > 40, "nowhere").otherwise(F.concat_ws("/", "root", "noun")).alias("leaf_path"),
+        )
+    )
+    return publish.validate(rows, n).select("pos", "id", "issue")
+
+
+@query
+def run_funnel(spark, d):
+    items, (g, r, p, m) = match_lists(spark, d)
+    merged = merge.dedupe_matched(merge.union_sources(g, r, p, m))
+    return report.funnel(items, groups=g, rules=r, pairs=p, model=m, merged=merged)
+
+
+# ---------------------------------------------------------------- templates
+def template_rows(spark, d):
+    return templates.templated(view(spark, d, "matched"), cut_lineage(taxonomy.leaves(nodes_of(spark, d))))
+
+
+@query
+def title_templates(spark, d):
+    return template_rows(spark, d).select("id", "leaf_path", "template")
+
+
+@query
+def template_reps(spark, d):
+    return templates.template_clusters(template_rows(spark, d)).drop("first_pos")
+
+
+@query
+def template_members(spark, d):
+    rows = template_rows(spark, d)
+    return templates.template_members(rows, templates.template_clusters(rows)).drop("pos")
+
+
+@query
+def top_templates(spark, d):
+    """Clusters by type of part, where many templates compete."""
+    rows = view(spark, d, "matched").join(view(spark, d, "part_leaf").select("leaf_path").distinct(), "leaf_path", "left_semi")
+    by_root = rows.withColumn("leaf_path", tx.master_slug(F.col("leaf_path"))).withColumn("template", tx.title_template(F.col("title")))
+    return templates.top_clusters(templates.template_clusters(by_root), 5).select("leaf_path", "template", "item_count", "rank")
+
+
+@query
+def template_manifest(spark, d):
+    return templates.manifest(template_rows(spark, d))
+
+
+@query
+def template_totals(spark, d):
+    return templates.manifest_totals(templates.manifest(template_rows(spark, d)))
+
+
+# ---------------------------------------------------------------- attribute schema and extraction
+def schema_responses(spark, d):
+    """Model answers that define attributes, as JSON text; leaves of a batch in path order."""
+    rows = view(spark, d, "attr_rows")
+    unit = F.when(F.col("symbol").isNotNull(), F.struct(F.col("symbol"), F.concat(F.lit("unit of "), "leaf_path").alias("name")))
+    pattern = F.array(F.struct("template", "regex", F.col("hint").alias("value_normalize")))
+    attr = F.struct("key", "label", F.col("vtype").alias("value_type"), F.col("symbol").isNotNull().alias("unit_required"), unit.alias("unit"), pattern.alias("patterns"))
+    leaf = rows.groupBy("round", "leaf_path").agg(F.array_sort(F.collect_list(F.struct("attr_seq", attr.alias("a")))).alias("x"))
+    cats = leaf.select("round", F.struct(F.col("leaf_path").alias("path"), F.col("x.a").alias("attributes")).alias("c"), "leaf_path")
+    numbered = number_rows(cats, ["round", "leaf_path"], "n", start=0)
+    return numbered.groupBy(F.expr("n div 3").alias("batch_no")).agg(F.array_sort(F.collect_list(F.struct("n", "c"))).alias("x")).select(
+        "batch_no", F.to_json(F.struct(F.col("x.c").alias("categories"))).alias("response")
+    )
+
+
+def schema_of(spark, d):
+    return [cut_lineage(t) for t in model_tables.attribute_schema(cut_lineage(schema_responses(spark, d)))]
+
+
+@query
+def attribute_schema(spark, d):
+    return model_tables.attribute_schema(schema_responses(spark, d))[1]
+
+
+@query
+def attribute_units(spark, d):
+    return model_tables.attribute_schema(schema_responses(spark, d))[0]
+
+
+@query
+def attribute_patterns(spark, d):
+    return model_tables.attribute_schema(schema_responses(spark, d))[2]
+
+
+@query
+def schema_coverage(spark, d):
+    units, attributes, patterns = schema_of(spark, d)
+    return model_tables.schema_coverage(attributes, patterns, units, templates.manifest(template_rows(spark, d)))
+
+
+def extraction_state(spark, d):
+    rows = cut_lineage(template_rows(spark, d))
+    clusters = cut_lineage(templates.template_clusters(rows))
+    units, attributes, patterns = schema_of(spark, d)
+    good = cut_lineage(extraction.smoke_test(patterns, clusters))
+    return rows, clusters, attributes, good, extraction.extract_values(rows, attributes, good, clusters)
+
+
+@query
+def pattern_smoke(spark, d):
+    return extraction_state(spark, d)[3]
+
+
+@query
+def regex_values(spark, d):
+    return extraction.regex_values(extraction_state(spark, d)[4])
+
+
+@query
+def extraction_routing(spark, d):
+    return extraction.fallback_items(extraction_state(spark, d)[4]).drop("pos", "title")
+
+
+def value_responses(spark, d):
+    """Fallback answers as JSON text, one per order and leaf; booleans and nulls included."""
+    rows = view(spark, d, "value_answers")
+    conf = F.when(F.col("conf") == "true", "true").otherwise(F.concat(F.lit('"'), "conf", F.lit('"')))
+    value = F.when(F.col("value") == "", "null").otherwise(F.col("value"))
+    one = F.format_string('{"item_id": "%s", "attributes": [{"attribute_key": "%s", "value": %s, "unit": null, "confidence": %s}]}', "item_id", "attribute_key", value, conf)
+    return rows.groupBy(F.col("l_orderkey").alias("batch_no"), "leaf_path").agg(
+        F.concat(F.lit('{"results": ['), F.array_join(F.array_sort(F.collect_list(one)), ", "), F.lit("]}")).alias("response")
+    )
+
+
+@query
+def model_values(spark, d):
+    v = model_tables.value_answers(value_responses(spark, d)).withColumn("accepted", extraction.is_accepted(F.col("extraction_confidence")))
+    return v.groupBy("item_id", "leaf_path", "attribute_key", "value", "extraction_confidence", "accepted").agg(F.count(F.lit(1)).alias("n"))
+
+
+@query
+def extraction_stats(spark, d):
+    rows, _, _, _, extracted = extraction_state(spark, d)
+    total = view(spark, d, "matched").agg(F.count(F.lit(1)).alias("total_items"))
+    return extraction.extraction_stats(total, extracted, model_tables.value_answers(value_responses(spark, d)))
+
+
+@query
+def all_values(spark, d):
+    """Accepted regex and model values together, counted per label."""
+    mine = extraction.regex_values(extraction_state(spark, d)[4])
+    theirs = model_tables.value_answers(value_responses(spark, d))
+    both = mine.unionByName(theirs.filter(extraction.is_accepted(F.col("extraction_confidence"))))
+    return both.groupBy("extraction_confidence").agg(F.count(F.lit(1)).alias("n_values"))
+
+
+# ---------------------------------------------------------------- model requests and answers
+@query
+def model_requests_leaf(spark, d):
+    return model_tables.leaf_requests(view(spark, d, "items"))
+
+
+@query
+def model_requests_pairs(spark, d):
+    kw = keywords.keyword_counts(view(spark, d, "items")).filter("side = 'title'")
+    return model_tables.pair_requests(model_tables.all_pairs(cut_lineage(keywords.ranked_keywords(kw))))
+
+
+@query
+def model_requests_attrs(spark, d):
+    rows = cut_lineage(template_rows(spark, d))
+    top = templates.top_clusters(templates.template_clusters(rows))
+    return model_tables.attribute_requests(templates.manifest(rows), top, taxonomy.leaves(nodes_of(spark, d)))
+
+
+@query
+def model_requests_values(spark, d):
+    _, _, attributes, _, extracted = extraction_state(spark, d)
+    return model_tables.value_requests(extraction.fallback_items(extracted), attributes)
+
+
+def leaf_responses(spark, d):
+    """Leaf answers as JSON text: numeric ids, text confidences and fences as models give them."""
+    p = view(spark, d, "predictions")
+    key = F.when(F.col("lang") == "es", F.col("doc_id").cast("string")).otherwise(F.concat(F.lit('"'), "id", F.lit('"')))
+    conf = F.when(F.col("lang") == "de", F.concat(F.lit('"'), F.col("confidence").cast("string"), F.lit('"'))).otherwise(F.col("confidence").cast("string"))
+    one = F.concat(F.lit('{"id": '), key, F.lit(', "leaf_path": "'), "leaf_path", F.lit('", "confidence": '), conf, F.lit("}"))
+    arr = F.concat(F.lit("["), F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("doc_id", one.alias("o")))), lambda x: x["o"]), ", "), F.lit("]"))
+    text = F.when(F.col("batch_no") % 2 == 1, F.concat(F.lit("Sure:\n```json\n"), "a", F.lit("\n```"))).otherwise(F.col("a"))
+    return p.groupBy("batch_no").agg(arr.alias("a")).select("batch_no", text.alias("response"))
+
+
+def leaf_answers(spark, d):
+    leaf_rows = cut_lineage(taxonomy.leaves(nodes_of(spark, d), with_catch_all=False))
+    return model_tables.valid_leaf_answers(leaf_responses(spark, d), leaf_rows)
+
+
+@query
+def model_responses_leaf(spark, d):
+    return leaf_answers(spark, d).drop("at")
+
+
+@query
+def model_batches(spark, d):
+    return model_tables.batch_report(view(spark, d, "predictions").select("batch_no", "id"), leaf_answers(spark, d))
+
+
+@query
+def model_responses_pairs(spark, d):
+    """Pair answers over all pair rules of the parts and documents, as JSON text."""
+    r = view(spark, d, "rules").withColumn("batch_no", F.expr("seq div 100"))
+    one = F.to_json(F.struct(F.array("w1", "w2").alias("bigram"), F.col("category_slug").alias("suggested_parent_category_slug"), F.col("confidence").cast("string").alias("confidence")))
+    text = r.groupBy("batch_no").agg(F.concat(F.lit("```\n["), F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("seq", one.alias("o")))), lambda x: x["o"]), ", "), F.lit("]\n```")).alias("response"))
+    allowed = taxonomy.top_level_list(nodes_of(spark, d))
+    return model_tables.valid_pair_rules(text, allowed).drop("at")
+
+
+@query
+def model_merge(spark, d):
+    items = view(spark, d, "items")
+    kept = cut_lineage(model_tables.kept_leaves(leaf_answers(spark, d)))
+    by_rule = strict_triggers(spark, d).filter("phase = 2").select("id")
+    return model_tables.merge_model_matches(items, kept, by_rule).select("id", "leaf_path", "leaf_slug", "confidence", "source")
+
+
+@query
+def model_unmatched(spark, d):
+    items = view(spark, d, "items")
+    kept = cut_lineage(model_tables.kept_leaves(leaf_answers(spark, d)))
+    return model_tables.still_unmatched(items, strict_triggers(spark, d).filter("phase = 2").select("id"), kept).select("id")
+
+
+@query
+def model_call(spark, d):
+    """A deterministic stand-in model: answers with the number of lines and characters."""
+    requests = model_tables.leaf_requests(view(spark, d, "items").select("pos", "id", "title", F.lit("").alias("subtitle")))
+    return model_tables.call_model(requests, F.col("lines"), ["batch_no"], lambda text: f"{text.count(chr(10)) + 1}/{len(text)}")
+
+
+# ---------------------------------------------------------------- publishing
+@query
+def first_store(spark, d):
+    return publish.items_with_store(view(spark, d, "shop_items"), view(spark, d, "store_items"), view(spark, d, "stores")).select("id", "title", "store_name")
+
+
+@query
+def live_categories(spark, d):
+    return publish.live(view(spark, d, "shop_categories"), ["id", "parent_id", "name", "slug"], ["id"])
+
+
+@query
+def publish_categories(spark, d):
+    return publish.publish_categories(cut_lineage(nodes_of(spark, d)), view(spark, d, "shop_categories"))[1]
+
+
+def link_state(spark, d):
+    ids, _ = publish.publish_categories(cut_lineage(nodes_of(spark, d)), view(spark, d, "shop_categories"))
+    return publish.publish_links(view(spark, d, "matched"), cut_lineage(ids), view(spark, d, "shop_items"), view(spark, d, "shop_links"))
+
+
+@query
+def publish_links(spark, d):
+    return link_state(spark, d)[0]
+
+
+@query
+def rejected_links(spark, d):
+    return link_state(spark, d)[1]
+
+
+def no_units(spark):
+    return spark.createDataFrame([("ft", "u1")], "symbol string, id string")
+
+
+def no_attributes(spark):
+    return spark.createDataFrame([], "category_id string, key string, id string")
+
+
+def attribute_state(spark, d):
+    units, attributes, _ = schema_of(spark, d)
+    unit_ids, unit_rows = publish.publish_units(units, no_units(spark))
+    unit_ids = cut_lineage(unit_ids)
+    cats = view(spark, d, "shop_categories")
+    wide = attributes.withColumn("leaf_path", F.concat_ws("/", F.slice(F.split("leaf_path", "/"), 1, 2)))
+    return wide, unit_ids, unit_rows, publish.publish_attributes(wide, unit_ids, cats, no_attributes(spark))
+
+
+@query
+def publish_units(spark, d):
+    return attribute_state(spark, d)[2].select("id", "symbol", "value_type")
+
+
+@query
+def publish_attributes(spark, d):
+    return attribute_state(spark, d)[3][1]
+
+
+@query
+def attributes_without_category(spark, d):
+    _, attributes, _ = schema_of(spark, d)
+    return publish.publish_attributes(attributes, no_units(spark), view(spark, d, "shop_categories"), no_attributes(spark))[2]
+
+
+def value_state(spark, d):
+    _, unit_ids, _, (ids, _, _) = attribute_state(spark, d)
+    values = extraction.regex_values(extraction_state(spark, d)[4]).withColumn(
+        "leaf_path", F.concat_ws("/", F.slice(F.split("leaf_path", "/"), 1, 2))
+    )
+    return publish.resolve_values(values, cut_lineage(ids), unit_ids)
+
+
+@query
+def publish_values(spark, d):
+    return publish.publish_values(value_state(spark, d), view(spark, d, "shop_values").select("item_id", "attribute_id", "value"))
+
+
+@query
+def publish_dry_run(spark, d):
+    nodes = cut_lineage(nodes_of(spark, d))
+    links, rejects = link_state(spark, d)
+    return publish.dry_run(categories=publish.publish_categories(nodes, view(spark, d, "shop_categories"))[1], links=links, rejected=rejects)
+
+
+@query
+def gap_report(spark, d):
+    return publish.gap_counts(view(spark, d, "shop_items"), view(spark, d, "shop_links"), view(spark, d, "shop_values"))
+
+
+@query
+def taxonomy_gaps(spark, d):
+    return publish.taxonomy_gaps(nodes_of(spark, d), view(spark, d, "shop_categories"))
+
+
+# ---------------------------------------------------------------- runs
+@query
+def latest_run(spark, d):
+    from shelfwise.sources import runs
+
+    r = view(spark, d, "runs")
+    return runs.latest_run(r, "prod").unionByName(runs.latest_run(r, "dev")).unionByName(runs.latest_run(r, "")).unionByName(
+        runs.latest_run(r, "staging", ["step"])
+    )
+
+
+@query
+def latest_run_of_source(spark, d):
+    from shelfwise.sources import runs
+
+    return runs.latest_for_source(view(spark, d, "runs"))
+
+
+@query
+def latest_run_pair(spark, d):
+    from shelfwise.sources import runs
+
+    return runs.latest_pair(view(spark, d, "runs"), "URGENT", "HIGH")
+
+
+@query
+def run_list(spark, d):
+    from shelfwise.sources import runs
+
+    rows = view(spark, d, "lineitem").select(F.concat(F.lit("run_"), F.lpad(F.col("l_orderkey").cast("string"), 12, "0")).alias("run_id"))
+    return runs.run_list(view(spark, d, "runs"), rows)
+
+
+@query
+def run_labels(spark, d):
+    return view(spark, d, "runs").select("run_id", tx.run_label(F.col("run_ts"), F.col("env")).alias("label"))
+
+
+@query
+def run_taxonomy(spark, d):
+    from shelfwise.sources import runs
+
+    return runs.taxonomy_of_run(view(spark, d, "runs"), "categories_default")
+
+
+@query
+def input_fingerprint(spark, d):
+    from shelfwise.sources import runs
+
+    return runs.input_fingerprint(spark.read.parquet(f"{d}/lineitem.parquet"))

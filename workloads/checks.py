@@ -193,11 +193,11 @@ check(
 )
 check(
     "taxonomy_insert",
-    """SELECT r.parent_path || '/' || slug AS path, slug, arg_min(r.display_name, seq) AS display_name, r.parent_path, any_value(n.depth) + 1 AS depth
+    """SELECT r.parent_path || '/' || r.slug AS path, r.slug, arg_min(r.display_name, seq) AS display_name, r.parent_path, any_value(n.depth) + 1 AS depth
        FROM (SELECT parent_path, trim(display_name) AS display_name, seq, trim(regexp_replace(lower(trim(display_name)), '[^a-z0-9]+', '_', 'g'), '_') AS slug FROM proposals) r
        JOIN nodes n ON n.path = r.parent_path AND n.depth >= 1
-       WHERE slug <> '' AND r.parent_path || '/' || slug NOT IN (SELECT path FROM nodes)
-       GROUP BY r.parent_path, slug""",
+       WHERE r.slug <> '' AND r.parent_path || '/' || r.slug NOT IN (SELECT path FROM nodes)
+       GROUP BY r.parent_path, r.slug""",
     "tree",
     ctes=f"""{NODES},
 proposals AS (SELECT 'services/' || replace(lower(r_name), ' ', '_') || CASE WHEN s_acctbal > 0 THEN '/' || lower(n_name) ELSE '' END AS parent_path,
@@ -228,7 +228,7 @@ parents AS (SELECT DISTINCT a.depth, h.word, a.anchor AS parent
 check("word_parents", "SELECT * FROM parents", "items", "tree", ctes=f"{NODES},\n{ANCHORS},\n{PARENTS}")
 RULES_MADE = """made AS (
     SELECT a.depth, ka.side, ka.word AS w1, kb.word AS w2, any_value(a.parent) AS category_slug,
-           CASE WHEN any_value(a.n) = 1 AND any_value(b.n) = 1 THEN 1.0 WHEN any_value(a.n) = 1 OR any_value(b.n) = 1 THEN 0.85 ELSE 0.7 END AS confidence
+           CASE WHEN any_value(a.n) = 1 AND any_value(b.n) = 1 THEN 1.0::DOUBLE WHEN any_value(a.n) = 1 OR any_value(b.n) = 1 THEN 0.85::DOUBLE ELSE 0.7::DOUBLE END AS confidence
     FROM (SELECT *, count(*) OVER (PARTITION BY depth, word) AS n FROM parents) a
     JOIN (SELECT *, count(*) OVER (PARTITION BY depth, word) AS n FROM parents) b ON a.depth = b.depth AND a.parent = b.parent
     JOIN keywords ka ON ka.word = a.word JOIN keywords kb ON kb.word = b.word AND kb.side = ka.side
