@@ -332,3 +332,324 @@ check(
         SELECT id, pos, leaf_path, 'prior' AS method, 0 AS new FROM matched UNION ALL SELECT id, pos, leaf_path, method, 1 FROM assigned) GROUP BY id""",
     *GV, "matched", ctes=ASSIGNED,
 )
+
+# ---------------------------------------------------------------- merging
+MERGED = f"""{ASSIGNED},
+{LAST_RULES},
+{trig_sql(False)},
+{RANKED},
+{SLUG_PATHS},
+by_rule AS (SELECT i.pos, i.id, i.title, i.subtitle, coalesce(s.path, t.top_category, '') AS leaf_path FROM totals t JOIN items i ON i.pos = t.pos
+    LEFT JOIN slug_paths s ON s.slug = t.top_category),
+pair_latest AS (SELECT rank, arg_max(kind, {{'t': decided_at, 's': seq}}) AS kind, arg_max(leaf_path, {{'t': decided_at, 's': seq}}) AS leaf_path FROM pair_log GROUP BY rank),
+decided AS (SELECT r.*, l.leaf_path FROM (SELECT w1, w2, row_number() OVER (ORDER BY w1, w2) AS rank FROM uniq WHERE side = 'subtitle' AND phase = 1) r
+    JOIN pair_latest l ON l.rank = r.rank WHERE l.kind = 'assign'),
+all_words AS (SELECT DISTINCT pos, f, w FROM (
+    SELECT pos, 0 AS f, unnest({LOW.format('title')}) AS w FROM items UNION ALL SELECT pos, 1, unnest({LOW.format('subtitle')}) FROM items)),
+by_pair AS (SELECT i.pos, i.id, i.title, i.subtitle, d.leaf_path FROM (
+    SELECT a.pos, min(d.rank) AS rank FROM decided d JOIN all_words a ON a.w = d.w1 JOIN all_words b ON b.w = d.w2 AND b.pos = a.pos AND b.f = a.f GROUP BY a.pos) c
+    JOIN decided d ON d.rank = c.rank JOIN items i ON i.pos = c.pos),
+by_model AS (SELECT i.pos, i.id, i.title, i.subtitle, p.leaf_path FROM predictions p JOIN items i ON i.id = p.id WHERE p.confidence >= 0.9 AND p.confidence <= 1.0),
+every AS (
+    SELECT id, title, subtitle, leaf_path, leaf_display_name, 4 AS tier, pos FROM assigned
+    UNION ALL SELECT id, title, subtitle, leaf_path, '', 1, pos FROM by_rule
+    UNION ALL SELECT id, title, subtitle, leaf_path, '', 3, pos FROM by_pair
+    UNION ALL SELECT id, title, subtitle, leaf_path, '', 2, pos FROM by_model),
+best AS (SELECT * FROM every QUALIFY row_number() OVER (PARTITION BY id ORDER BY tier DESC, pos) = 1)"""
+MV = ("items", "tree", "decision_log", "rules", "pair_log", "predictions")
+check(
+    "merge_sources",
+    """SELECT id, title, leaf_path, split_part(leaf_path, '/', -1) AS leaf_slug, leaf_display_name,
+        CASE tier WHEN 4 THEN 'interactive_similar_title_group' WHEN 3 THEN 'interactive_manual_bigram_match' WHEN 2 THEN 'llm_match'
+             ELSE CASE WHEN contains(leaf_path, '/') THEN 'cascading_bigram' ELSE 't1_bigram' END END AS method FROM best""",
+    *MV, ctes=MERGED,
+)
+check("unmatched_final", "SELECT id, title FROM items WHERE id NOT IN (SELECT id FROM every WHERE tier > 1)", *MV, ctes=MERGED)
+check(
+    "dedupe_accounting",
+    """SELECT matched_in, matched_out, matched_in - matched_out AS matched_removed, n AS unmatched_in, 0 AS unmatched_duplicates,
+        matched_out AS unmatched_already_matched, n - matched_out AS unmatched_out
+       FROM (SELECT count(*) AS matched_in, count(DISTINCT id) AS matched_out FROM every WHERE tier > 1), (SELECT count(*) AS n FROM items)""",
+    *MV, ctes=MERGED,
+)
+check("unmatched_report", "SELECT count(*) AS total_unmatched_items FROM items WHERE id NOT IN (SELECT id FROM every WHERE tier IN (2, 4))", *MV, ctes=MERGED)
+check(
+    "run_funnel",
+    """SELECT stage, n AS n_items, round(100.0 * n / (SELECT count(*) FROM items), 1) AS percent FROM (
+        SELECT 'all items' AS stage, count(*) AS n FROM items UNION ALL SELECT 'groups', count(*) FROM assigned UNION ALL SELECT 'rules', count(*) FROM by_rule
+        UNION ALL SELECT 'pairs', count(*) FROM by_pair UNION ALL SELECT 'model', count(*) FROM by_model UNION ALL SELECT 'merged', count(*) FROM best)""",
+    *MV, ctes=MERGED,
+)
+check(
+    "summary_levels",
+    """SELECT 'master' AS level, m AS key, CASE m WHEN '(empty)' THEN '(empty path)' WHEN '_unmapped' THEN 'Unmapped (path does not start with a master category)'
+          ELSE (SELECT display_name FROM nodes WHERE path = m) END AS display_name, count(*) AS count
+       FROM (SELECT CASE WHEN p = '' THEN '(empty)' WHEN known THEN m0 ELSE '_unmapped' END AS m FROM parts) GROUP BY m
+       UNION ALL
+       SELECT 'parent', k, coalesce((SELECT display_name FROM nodes WHERE path = k), split_part(k, '/', -1)), count(*)
+       FROM (SELECT m0 || '/' || split_part(p, '/', 2) AS k FROM parts WHERE known AND contains(p, '/')) GROUP BY k
+       UNION ALL SELECT 'leaf', CASE WHEN p = '' THEN '(empty)' ELSE p END, NULL, count(*) FROM parts GROUP BY 2""",
+    "matched", "tree", "part_words",
+    ctes=f"""{NODES},
+parts AS (SELECT p, split_part(p, '/', 1) AS m0, split_part(p, '/', 1) IN (SELECT path FROM nodes WHERE depth = 0) AS known FROM (
+    SELECT trim(leaf_path) AS p FROM matched UNION ALL SELECT CASE WHEN c_acctbal > 0 THEN c_mktsegment ELSE '' END FROM customer UNION ALL SELECT root FROM part_words))""",
+)
+check(
+    "validate_rows",
+    """SELECT pos, id, 'missing id' AS issue FROM rows WHERE id = ''
+       UNION ALL SELECT pos, id, 'missing leaf_path' FROM rows WHERE id <> '' AND leaf_path = ''
+       UNION ALL SELECT pos, id, 'duplicate id' FROM (SELECT * FROM full_rows QUALIFY row_number() OVER (PARTITION BY id ORDER BY pos) > 1)
+       UNION ALL SELECT pos, id, 'leaf_path not in taxonomy' FROM full_rows WHERE leaf_path NOT IN (SELECT path FROM nodes)
+       UNION ALL SELECT pos, id, 'leaf_path is not a leaf' FROM full_rows WHERE leaf_path IN (SELECT path FROM nodes WHERE NOT is_leaf)""",
+    "matched", "tree", "part_words",
+    ctes=f"""{NODES},
+rows AS (SELECT pos, id, trim(leaf_path) AS leaf_path FROM matched UNION ALL
+    SELECT p_partkey + 1000000000000, CASE WHEN p_size < 5 THEN '' ELSE 'itm_' || lpad(p_partkey::VARCHAR, 12, '0') END,
+    CASE WHEN p_size > 45 THEN '' WHEN p_size > 40 THEN 'nowhere' ELSE root || '/' || noun END FROM part_words),
+full_rows AS (SELECT * FROM rows WHERE id <> '' AND leaf_path <> '')""",
+)
+
+# ---------------------------------------------------------------- templates
+# The check engine has no look-behind: a bare decimal is found with its left neighbour.
+TEMPLATE = rf"""trim(regexp_replace(regexp_replace(regexp_replace(regexp_replace(regexp_replace(title,
+    '\b\d+\s*/\s*\d+\b', '{{FRAC}}', 'g'), '\b\d+\.\d+\b', '{{NUM}}', 'g'), '(^|[^.\d])\.\d+\b', '\1{{NUM}}', 'g'), '\b\d+\b', '{{NUM}}', 'g'), '{WS}+', ' ', 'g'))"""
+ROWS = f"""{NODES},
+rows AS (SELECT m.pos, m.id, m.title, m.leaf_path, {TEMPLATE} AS template FROM matched m WHERE leaf_path IN (SELECT path FROM nodes WHERE is_leaf AND depth > 0)),
+clustered AS (SELECT *, count(*) OVER (PARTITION BY leaf_path, template) AS n FROM rows),
+med AS (SELECT leaf_path, template, list_sort(list(length(title)))[count(*) // 2 + 1] AS median_len, count(*) AS item_count, min(pos) AS first_pos
+    FROM clustered WHERE n >= 3 GROUP BY ALL),
+reps AS (SELECT m.*, arg_min(c.title, {{'d': abs(length(c.title) - m.median_len), 'p': c.pos}}) AS representative,
+    arg_min(c.id, {{'d': abs(length(c.title) - m.median_len), 'p': c.pos}}) AS representative_id
+    FROM med m JOIN rows c ON c.leaf_path = m.leaf_path AND c.template = m.template GROUP BY ALL),
+sizes AS (SELECT leaf_path, template, count(*) AS n FROM rows GROUP BY ALL),
+manifest AS (SELECT leaf_path, sum(n)::BIGINT AS total_items, count(*) FILTER (n >= 3) AS cluster_count, coalesce(sum(n) FILTER (n < 3), 0)::BIGINT AS misc_item_count,
+    coalesce(sum(n) FILTER (n < 3), 0) / sum(n) >= 0.6 AS is_low_structure, replace(leaf_path, '/', '__') || '.json' AS file FROM sizes GROUP BY leaf_path)"""
+TV = ("matched", "tree")
+check("title_templates", "SELECT id, leaf_path, template FROM rows", *TV, ctes=ROWS)
+check("template_reps", "SELECT leaf_path, template, item_count, median_len, representative, representative_id FROM reps", *TV, ctes=ROWS)
+check("template_members", "SELECT leaf_path, CASE WHEN n >= 3 THEN template END AS template, id FROM clustered", *TV, ctes=ROWS)
+check(
+    "top_templates",
+    f"""SELECT leaf_path, template, item_count, row_number() OVER (PARTITION BY leaf_path ORDER BY item_count DESC, first_pos) AS rank FROM (
+        SELECT split_part(leaf_path, '/', 1) AS leaf_path, {TEMPLATE} AS template, count(*) AS item_count, min(pos) AS first_pos FROM matched
+        WHERE leaf_path IN (SELECT leaf_path FROM part_leaf) GROUP BY 1, 2 HAVING count(*) >= 3)
+       QUALIFY row_number() OVER (PARTITION BY leaf_path ORDER BY item_count DESC, first_pos) <= 5""",
+    "matched", "part_leaf",
+)
+check("template_manifest", "SELECT * FROM manifest", *TV, ctes=ROWS)
+check(
+    "template_totals",
+    "SELECT count(*) AS total_categories, sum(total_items)::BIGINT AS total_items, count(*) FILTER (is_low_structure) AS low_structure_count FROM manifest",
+    *TV, ctes=ROWS,
+)
+
+# ---------------------------------------------------------------- attributes
+SCHEMA = """answered AS (SELECT *, (dense_rank() OVER (ORDER BY round, leaf_path) - 1) AS place FROM attr_rows),
+current AS (SELECT * FROM answered QUALIFY round = max(round) OVER (PARTITION BY leaf_path))"""
+AV = ("attr_rows",)
+check(
+    "attribute_schema",
+    """SELECT leaf_path, attr_seq, key, label, '' AS description, vtype AS value_type, symbol IS NOT NULL AS unit_required, symbol AS unit FROM current""",
+    *AV, ctes=SCHEMA,
+)
+check("attribute_units", "SELECT symbol, 'unit of ' || arg_min(leaf_path, place) AS name, '' AS description, 'number' AS value_type FROM answered WHERE symbol IS NOT NULL GROUP BY symbol", *AV, ctes=SCHEMA)
+check("attribute_patterns", "SELECT leaf_path, key, 0 AS seq, template, regex, hint AS value_normalize FROM current", *AV, ctes=SCHEMA)
+check(
+    "schema_coverage",
+    """SELECT (SELECT count(DISTINCT leaf_path) FROM current) AS leaves_with_attributes, (SELECT count(DISTINCT leaf_path) FROM current) AS leaves_with_patterns,
+       (SELECT count(*) FILTER (is_low_structure) FROM manifest) AS low_structure_leaves, (SELECT count(DISTINCT symbol) FROM answered) AS units""",
+    "matched", "tree", "attr_rows", ctes=f"{ROWS},\n{SCHEMA}",
+)
+GOOD = f"""{ROWS},
+{SCHEMA},
+good AS (SELECT c.leaf_path, key, template, regex, hint FROM current c WHERE key <> 'broken'
+    AND (key <> 'finish' OR NOT EXISTS (SELECT 1 FROM reps r WHERE r.leaf_path = c.leaf_path AND r.template = c.template AND NOT contains(r.representative, 'zinc')))),
+raw_values AS (SELECT r.pos, r.id AS item_id, r.leaf_path, g.key AS attribute_key,
+    CASE g.key WHEN 'size' THEN trim(replace(regexp_extract(r.title, '([0-9]+/16")', 1), '"', '')) WHEN 'brand' THEN lower(regexp_extract(r.title, '(Brand#[0-9]+)', 1))
+      ELSE regexp_extract(r.title, '(zinc)', 1) END AS value, CASE g.key WHEN 'size' THEN 'in' END AS unit
+    FROM rows r JOIN good g ON g.leaf_path = r.leaf_path AND g.template = r.template
+    WHERE EXISTS (SELECT 1 FROM reps p WHERE p.leaf_path = r.leaf_path AND p.template = r.template)),
+vals AS (SELECT * FROM raw_values WHERE value <> ''),
+routed AS (SELECT r.*, r.pos IN (SELECT pos FROM vals) AS found FROM rows r WHERE r.leaf_path IN (SELECT leaf_path FROM current))"""
+XV = ("matched", "tree", "attr_rows")
+check("pattern_smoke", "SELECT leaf_path, key, 0 AS seq, template, regex, hint AS value_normalize FROM good", *XV, ctes=GOOD)
+check("regex_values", "SELECT item_id, leaf_path, attribute_key, value, unit, 'regex' AS extraction_confidence FROM vals", *XV, ctes=GOOD)
+check("extraction_routing", "SELECT id AS item_id, leaf_path FROM routed WHERE NOT found", *XV, ctes=GOOD)
+ANSWERS = """answers AS (SELECT item_id, leaf_path, attribute_key, value,
+    CASE WHEN value = '' OR conf IN ('none', 'true') THEN 'llm_none' WHEN starts_with(conf, 'llm_') THEN conf ELSE 'llm_' || lower(trim(conf)) END AS extraction_confidence
+    FROM value_answers)"""
+check(
+    "model_values",
+    "SELECT *, extraction_confidence IN ('llm_high', 'llm_medium') AS accepted, count(*) AS n FROM answers GROUP BY ALL",
+    "value_answers", ctes=ANSWERS,
+)
+check(
+    "extraction_stats",
+    """SELECT (SELECT count(*) FROM matched) AS total_items, (SELECT count(*) FROM routed WHERE found) AS regex_matched_items,
+        (SELECT count(*) FROM routed WHERE NOT found) AS llm_fallback_items, (SELECT count(*) FROM vals) AS regex_value_rows,
+        count(*) FILTER (extraction_confidence IN ('llm_high', 'llm_medium')) AS llm_accepted_rows,
+        count(*) FILTER (extraction_confidence NOT IN ('llm_high', 'llm_medium')) AS llm_rejected_rows,
+        count(*) FILTER (extraction_confidence = 'llm_high') AS llm_high, count(*) FILTER (extraction_confidence = 'llm_medium') AS llm_medium,
+        count(*) FILTER (extraction_confidence = 'llm_low') AS llm_low, count(*) FILTER (extraction_confidence = 'llm_none') AS llm_none,
+        (SELECT count(*) FROM vals) + count(*) FILTER (extraction_confidence IN ('llm_high', 'llm_medium')) AS total_value_rows FROM answers""",
+    *XV, "value_answers", ctes=f"{GOOD},\n{ANSWERS}",
+)
+check(
+    "all_values",
+    """SELECT extraction_confidence, count(*) AS n_values FROM (SELECT 'regex' AS extraction_confidence FROM vals
+       UNION ALL SELECT extraction_confidence FROM answers WHERE extraction_confidence IN ('llm_high', 'llm_medium')) GROUP BY 1""",
+    *XV, "value_answers", ctes=f"{GOOD},\n{ANSWERS}",
+)
+
+# ---------------------------------------------------------------- model tables
+check(
+    "model_requests_leaf",
+    r"""SELECT n // 25 AS batch_no, count(*) AS n_rows, string_agg('- id=' || id || ' title=' || title || ' subtitle=' || subtitle, chr(10) ORDER BY n) AS lines
+       FROM (SELECT *, row_number() OVER (ORDER BY pos) - 1 AS n FROM items) GROUP BY 1""",
+    "items",
+)
+check(
+    "model_requests_pairs",
+    """SELECT n // 100 AS batch_no, count(*) AS n_rows, string_agg('- [' || w1 || ', ' || w2 || ']', chr(10) ORDER BY n) AS lines FROM (
+        SELECT a.word AS w1, b.word AS w2, row_number() OVER (ORDER BY a.r, b.r) - 1 AS n FROM listed a JOIN listed b ON a.r < b.r) GROUP BY 1""",
+    "items", ctes=KEYWORDS + ", listed AS (SELECT word, row_number() OVER (ORDER BY item_count DESC, word) AS r FROM keywords WHERE side = 'title')",
+)
+check(
+    "model_requests_attrs",
+    """SELECT n // 3 AS batch_no, count(*) AS n_rows, string_agg(line, chr(10) ORDER BY n) AS lines FROM (
+        SELECT row_number() OVER (ORDER BY l.path) - 1 AS n,
+         concat_ws(chr(10), 'category ' || l.path || ' (' || l.display_name || ')' || CASE WHEN coalesce(m.is_low_structure, true) THEN ' [low-structure]' ELSE '' END,
+          t.lines, CASE WHEN m.misc_item_count > 0 THEN 'other titles: ' || m.misc_item_count END) AS line
+        FROM nodes l LEFT JOIN manifest m ON m.leaf_path = l.path
+        LEFT JOIN (SELECT leaf_path, string_agg('template x' || item_count || ': ' || template || chr(10) || 'example: ' || representative, chr(10) ORDER BY item_count DESC, first_pos) AS lines
+             FROM (SELECT * FROM reps QUALIFY row_number() OVER (PARTITION BY leaf_path ORDER BY item_count DESC, first_pos) <= 5) GROUP BY leaf_path) t ON t.leaf_path = l.path
+        WHERE l.is_leaf AND l.depth > 0) GROUP BY 1""",
+    *TV, ctes=ROWS,
+)
+check(
+    "model_requests_values",
+    """SELECT r.leaf_path, n // 20 AS batch_no, count(*) AS n_rows, any_value(s.schema_lines) AS schema_lines, string_agg('item_id=' || id || ' title=' || title, chr(10) ORDER BY n) AS lines
+       FROM (SELECT *, row_number() OVER (PARTITION BY leaf_path ORDER BY pos) - 1 AS n FROM routed WHERE NOT found) r
+       JOIN (SELECT leaf_path, string_agg(key || ': ' || label || CASE WHEN symbol IS NOT NULL THEN ' (unit: ' || symbol || ')' ELSE '' END || ' [' || vtype || ']', chr(10) ORDER BY attr_seq) AS schema_lines
+             FROM current GROUP BY leaf_path) s ON s.leaf_path = r.leaf_path GROUP BY 1, 2""",
+    *XV, ctes=GOOD,
+)
+LEAF_ANSWERS = f"""{NODES},
+ok AS (SELECT batch_no, doc_id, id, leaf_path, confidence FROM predictions WHERE lang <> 'es' AND confidence <= 1.0
+    AND leaf_path IN (SELECT path FROM nodes WHERE is_leaf AND depth > 0 AND NOT is_catch_all)),
+kept AS (SELECT id, arg_max(leaf_path, doc_id) AS leaf_path, arg_max(confidence, doc_id) AS confidence FROM ok WHERE confidence >= 0.9 GROUP BY id)"""
+check("model_responses_leaf", "SELECT batch_no, id, leaf_path, confidence FROM ok", "predictions", "tree", ctes=LEAF_ANSWERS)
+check(
+    "model_batches",
+    """SELECT p.batch_no, count(*) AS sent, count(*) FILTER (o.confidence >= 0.9) AS kept, count(*) FILTER (o.confidence < 0.9) AS low_confidence,
+       count(*) FILTER (o.id IS NULL) AS missing FROM predictions p LEFT JOIN ok o ON o.id = p.id AND o.batch_no = p.batch_no GROUP BY 1""",
+    "predictions", "tree", ctes=LEAF_ANSWERS,
+)
+check(
+    "model_responses_pairs",
+    """SELECT seq // 100 AS batch_no, w1, w2, category_slug, confidence, 'openai_llm' AS source FROM rules
+       WHERE confidence >= 0.85 AND category_slug IN (SELECT slug FROM nodes WHERE depth = 1 AND NOT is_catch_all)""",
+    "rules", "tree", ctes=NODES,
+)
+check(
+    "model_merge",
+    """SELECT i.id, k.leaf_path, split_part(k.leaf_path, '/', -1) AS leaf_slug, k.confidence, 'llm_1_4' AS source FROM items i JOIN kept k ON k.id = i.id
+       WHERE i.id NOT IN (SELECT id FROM trig WHERE phase = 2)""",
+    "items", "rules", "predictions", "tree", ctes=",\n".join([LEAF_ANSWERS, *STRICT]),
+)
+check(
+    "model_unmatched",
+    "SELECT id FROM items WHERE id NOT IN (SELECT id FROM trig WHERE phase = 2) AND id NOT IN (SELECT id FROM kept)",
+    "items", "rules", "predictions", "tree", ctes=",\n".join([LEAF_ANSWERS, *STRICT]),
+)
+check(
+    "model_call",
+    """SELECT batch_no, (length(lines) - length(replace(lines, chr(10), '')) + 1) || '/' || length(lines) AS response, NULL::VARCHAR AS error FROM (
+        SELECT n // 25 AS batch_no, string_agg('- id=' || id || ' title=' || title || ' subtitle=', chr(10) ORDER BY n) AS lines
+        FROM (SELECT *, row_number() OVER (ORDER BY pos) - 1 AS n FROM items) GROUP BY 1)""",
+    "items",
+)
+
+# ---------------------------------------------------------------- publishing
+check(
+    "first_store",
+    """SELECT i.id, i.title, min(s.name) AS store_name FROM shop_items i JOIN store_items x ON x.items_id = i.id JOIN stores s ON s.id = x.store_id
+       WHERE i.deleted_at IS NULL GROUP BY i.id, i.title""",
+    "shop_items", "store_items", "stores",
+)
+check("live_categories", "SELECT id, parent_id, name, slug FROM shop_categories WHERE deleted_at IS NULL", "shop_categories")
+PUB = f"""{NODES},
+stored AS (SELECT substr(id, 3) AS path, id FROM shop_categories WHERE deleted_at IS NULL),
+ids AS (SELECT n.path, coalesce(s.id, 'cat_' || left(sha256(n.path), 16)) AS id, s.id IS NULL AS fresh FROM nodes n LEFT JOIN stored s ON s.path = n.path),
+linked AS (SELECT m.id AS item_id, m.leaf_path, i.id AS category_id FROM matched m JOIN shop_items s ON s.id = m.id AND s.deleted_at IS NULL LEFT JOIN ids i ON i.path = m.leaf_path),
+new_links AS (SELECT DISTINCT item_id, category_id FROM linked WHERE category_id IS NOT NULL AND (item_id, category_id) NOT IN (SELECT (item_id, category_id) FROM shop_links)),
+rejects AS (SELECT item_id, leaf_path FROM linked WHERE category_id IS NULL),
+new_cats AS (SELECT i.id, n.display_name AS name, n.slug, p.id AS parent_id, n.depth FROM nodes n JOIN ids i ON i.path = n.path AND i.fresh LEFT JOIN ids p ON p.path = n.parent_path)"""
+PV = ("tree", "shop_categories", "shop_items", "shop_links", "matched")
+check("publish_categories", "SELECT * FROM new_cats", *PV, ctes=PUB)
+check("publish_links", "SELECT * FROM new_links", *PV, ctes=PUB)
+check("rejected_links", "SELECT * FROM rejects", *PV, ctes=PUB)
+check(
+    "publish_dry_run",
+    "SELECT 'categories' AS sink, count(*) AS n_rows FROM new_cats UNION ALL SELECT 'links', count(*) FROM new_links UNION ALL SELECT 'rejected', count(*) FROM rejects",
+    *PV, ctes=PUB,
+)
+ATTR = SCHEMA + """,
+wide AS (SELECT *, split_part(leaf_path, '/', 1) || '/' || split_part(leaf_path, '/', 2) AS wide_path FROM current),
+by_slug AS (SELECT slug, max(id) AS category_id FROM shop_categories WHERE deleted_at IS NULL GROUP BY slug),
+new_attrs AS (SELECT DISTINCT b.category_id, w.key, w.label, w.vtype, w.symbol, w.wide_path FROM wide w JOIN by_slug b ON b.slug = split_part(w.wide_path, '/', -1))"""
+check(
+    "publish_units", "SELECT 'unit_' || left(sha256(symbol), 16) AS id, symbol, 'number' AS value_type FROM answered WHERE symbol IS NOT NULL GROUP BY symbol", *AV, ctes=SCHEMA
+)
+check(
+    "publish_attributes",
+    """SELECT 'attr_' || left(sha256(category_id || chr(1) || key), 16) AS id, category_id, key, label, '' AS description, vtype AS value_type,
+       CASE WHEN symbol IS NOT NULL THEN 'unit_' || left(sha256(symbol), 16) END AS unit_id FROM new_attrs""",
+    "attr_rows", "shop_categories", ctes=ATTR,
+)
+check(
+    "attributes_without_category",
+    "SELECT DISTINCT leaf_path FROM current WHERE split_part(leaf_path, '/', -1) NOT IN (SELECT slug FROM by_slug)",
+    "attr_rows", "shop_categories", ctes=ATTR,
+)
+check(
+    "publish_values",
+    """SELECT DISTINCT v.item_id, 'attr_' || left(sha256(a.category_id || chr(1) || a.key), 16) AS attribute_id,
+        CASE WHEN v.unit IS NOT NULL THEN 'unit_' || left(sha256(v.unit), 16) END AS attribute_unit_id, v.value
+       FROM vals v JOIN new_attrs a ON a.key = v.attribute_key AND a.wide_path = split_part(v.leaf_path, '/', 1) || '/' || split_part(v.leaf_path, '/', 2)""",
+    *XV, "shop_categories", ctes=f"{GOOD},\n" + ATTR[len(SCHEMA) + 2 :],
+)
+check(
+    "gap_report",
+    """SELECT (SELECT count(*) FROM shop_items WHERE deleted_at IS NULL) AS total,
+       (SELECT count(*) FROM shop_items i WHERE deleted_at IS NULL AND NOT EXISTS (SELECT 1 FROM shop_links l WHERE l.item_id = i.id AND l.deleted_at IS NULL)) AS uncategorized,
+       (SELECT count(DISTINCT item_id) FROM shop_links l WHERE deleted_at IS NULL AND NOT EXISTS (SELECT 1 FROM shop_values v WHERE v.item_id = l.item_id AND v.deleted_at IS NULL)) AS missing_attrs""",
+    "shop_items", "shop_links", "shop_values",
+)
+check("taxonomy_gaps", "SELECT slug FROM nodes EXCEPT SELECT slug FROM shop_categories WHERE deleted_at IS NULL", "tree", "shop_categories", ctes=NODES)
+
+# ---------------------------------------------------------------- runs
+NEWEST = "{'t': run_ts, 'r': run_id}"
+check(
+    "latest_run",
+    f"""SELECT step, e AS env, coalesce(arg_max(run_id, {NEWEST}) FILTER (env = e), arg_max(run_id, {NEWEST})) AS run_id
+       FROM runs, (VALUES ('prod'), ('dev'), ('staging')) t(e) GROUP BY step, e
+       UNION ALL SELECT step, '', arg_max(run_id, {NEWEST}) FROM runs GROUP BY step""",
+    "runs",
+)
+check("latest_run_of_source", f"SELECT step, source_run_id, arg_max(run_id, {NEWEST}) AS run_id FROM runs GROUP BY ALL", "runs")
+check(
+    "latest_run_pair",
+    f"""SELECT source_run_id, first_run, second_run FROM (SELECT source_run_id, arg_max(run_id, {NEWEST}) FILTER (step = 'URGENT') AS first_run,
+        arg_max(run_id, {NEWEST}) FILTER (step = 'HIGH') AS second_run, max(run_ts) AS ts FROM runs WHERE step IN ('URGENT', 'HIGH') GROUP BY source_run_id)
+       WHERE first_run IS NOT NULL AND second_run IS NOT NULL ORDER BY ts DESC, source_run_id DESC LIMIT 1""",
+    "runs",
+)
+check(
+    "run_list",
+    f"""SELECT r.run_id, env, run_ts, coalesce(n, 0) AS n_items, r.run_id = (SELECT arg_max(run_id, {NEWEST}) FROM runs) AS is_default
+       FROM runs r LEFT JOIN (SELECT 'run_' || lpad(l_orderkey::VARCHAR, 12, '0') AS run_id, count(*) AS n FROM lineitem GROUP BY 1) c ON c.run_id = r.run_id""",
+    "runs",
+)
+check("run_labels", "SELECT run_id, strftime(run_ts, '%Y%m%d_%H%M%S') || CASE WHEN env <> '' THEN '-' || env ELSE '' END AS label FROM runs", "runs")
+check("run_taxonomy", "SELECT run_id, coalesce(taxonomy_version, 'categories_default') AS taxonomy_version FROM runs", "runs")

@@ -119,7 +119,8 @@ VIEWS: dict[str, str] = {
     # what a leaf model answered for each document
     "predictions": """
         SELECT CAST(floor(doc_id / 25) AS BIGINT) AS batch_no, doc_id, 'doc_' || CAST(doc_id AS STRING) AS id, lang,
-               coalesce(leaf_path, 'no/such/leaf') AS leaf_path, CAST(n_chars % 12 AS DOUBLE) / 10 AS confidence
+               CASE WHEN lang = 'fr' AND n_chars % 12 = 10 THEN 'no/such/leaf' ELSE coalesce(leaf_path, 'no/such/leaf') END AS leaf_path,
+               CAST(n_chars % 12 AS DOUBLE) / 10 AS confidence
         FROM {documents} LEFT JOIN {part_leaf} ON doc_id = p_partkey""",
     # final rows: parts on their own leaf, documents on the predicted one
     "matched": """
