@@ -187,7 +187,7 @@ def group_members(
     chunk_titles: int = CHUNK_TITLES,
     rows_per_bucket: int | None = None,
 ) -> DataFrame:
-    """Members of every group: ``group_no, group_id, method, pos, id, title, subtitle, norm``.
+    """Members of every group: ``group_no, group_id, method, pos, id, title, norm``.
 
     Blocks up to ``clique_limit`` items are covered by cliques, larger ones by components.
     Groups are numbered by block, then by emission order.
@@ -218,9 +218,9 @@ def group_members(
     numbered = cut_lineage(number_rows(heads, [*BLOCK, "emission"], "group_no", start=0, **args))
     named = skew_join(members, numbered, [*BLOCK, "emission"], numbered, "item_count")
     return (
-        named.join(blocked.select("pos", "id", "title", "subtitle", "norm"), "pos")
+        named.join(blocked.select("pos", "id", "title", "norm"), "pos")
         .withColumn("group_id", tx.group_label(F.col("group_no")))
-        .select("group_no", "group_id", "method", "pos", "id", "title", "subtitle", "norm")
+        .select("group_no", "group_id", "method", "pos", "id", "title", "norm")
     )
 
 

@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+import numpy as np
+import pyarrow as pa
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from shelfwise.functions import text as tx
@@ -13,6 +15,7 @@ MIN_WORD_LEN = 4
 UNMATCHED_MIN_LEN = 5
 UNMATCHED_MIN_ITEMS = 4
 MIN_ITEMS_PER_PAIR = 10
+ROWS_PER_GROUP = 20_000
 
 
 def keyword_counts(items: DataFrame, min_items: int = MIN_ITEMS_PER_WORD, min_len: int = MIN_WORD_LEN) -> DataFrame:
@@ -62,29 +65,43 @@ def vocabulary(words: DataFrame, seq: str) -> DataFrame:
     )
 
 
-def field_pairs(title_ids: Column, subtitle_ids: Column) -> Column:
-    """Structs ``(a, rest)`` that spell every word pair of a field once per item.
+def following_words(numbers: DataFrame) -> DataFrame:
+    """``(pos, a, rest)``: every word of a field with the words after it in that field.
 
-    Both inputs are sorted arrays of distinct word numbers. A title pair is left to the subtitle
-    when both words also occur there, so an item counts once and needs no distinct.
+    ``numbers`` has sorted distinct word numbers per field. A title pair is left to the subtitle
+    when both words also occur there, so an item counts once per pair without a distinct.
+    Rows are produced one word at a time; no list of pairs is ever held.
     """
+    none = F.array().cast("array<int>")
+    t, s = F.col("title_ids"), F.col("subtitle_ids")
+    views = F.array(
+        F.struct(t.alias("ids"), s.alias("skip"), F.array_except(t, s).alias("only")),
+        F.struct(s.alias("ids"), none.alias("skip"), none.alias("only")),
+    )
+    rest = F.when(F.array_contains("skip", F.col("a")), F.filter("only", lambda b: b > F.col("a"))).otherwise(
+        F.slice("ids", F.col("i") + 2, F.size("ids"))
+    )
+    return (
+        numbers.select("pos", F.inline(views))
+        .select("pos", "ids", "skip", "only", F.posexplode_outer("ids").alias("i", "a"))
+        .filter("a IS NOT NULL")
+        .select("pos", "a", rest.alias("rest"))
+    )
 
-    def spread(ids: Column, skip: Column | None) -> Column:
-        def tail(a: Column, i: Column) -> Column:
-            rest = F.slice(ids, i + 2, F.greatest(F.size(ids) - i - 1, F.lit(0)))
-            if skip is not None:
-                only = F.array_except(ids, skip)
-                rest = F.when(F.array_contains(skip, a), F.filter(only, lambda b: b > a)).otherwise(rest)
-            return F.struct(a.alias("a"), rest.alias("rest"))
-
-        return F.transform(ids, tail)
 
-    return F.concat(spread(title_ids, subtitle_ids), spread(subtitle_ids, None))
+def _count_codes(base: int, min_items: int):
+    """Arrow function of one bounded group: pair codes counted by sorting, in numpy."""
 
+    def count(table: pa.Table) -> pa.Table:
+        rest = table.column("rest").combine_chunks()
+        lens = np.diff(rest.offsets.to_numpy())
+        codes = np.repeat(table.column("a").to_numpy().astype(np.int64), lens) * base + rest.flatten().to_numpy()
+        pairs, n = np.unique(codes, return_counts=True)
+        if not table.column("hot")[0].as_py():
+            pairs, n = pairs[n >= min_items], n[n >= min_items]
+        return pa.table({"pair": pairs, "n": n.astype(np.int64)})
 
-def numbered_vocabulary(vocab: DataFrame, **kw) -> DataFrame:
-    """Number words alphabetically, so number order is word order."""
-    return number_rows(vocab.select("word_low"), ["word_low"], "word_no", **kw)
+    return count
 
 
 def item_word_numbers(items: DataFrame, numbered: DataFrame) -> DataFrame:
@@ -98,33 +115,51 @@ def item_word_numbers(items: DataFrame, numbered: DataFrame) -> DataFrame:
     return (
         known.groupBy("pos")
         .agg(
-            F.array_sort(F.collect_list(F.when(F.col("f") == 0, F.col("word_no")))).alias("title_ids"),
-            F.array_sort(F.collect_list(F.when(F.col("f") == 1, F.col("word_no")))).alias("subtitle_ids"),
+            F.sort_array(F.collect_list(F.when(F.col("f") == 0, F.col("word_no").cast("int")))).alias("title_ids"),
+            F.sort_array(F.collect_list(F.when(F.col("f") == 1, F.col("word_no").cast("int")))).alias("subtitle_ids"),
         )
     )
 
 
-def frequent_pairs(items: DataFrame, vocab: DataFrame, min_items: int = MIN_ITEMS_PER_PAIR) -> DataFrame:
+def frequent_pairs(
+    items: DataFrame, vocab: DataFrame, min_items: int = MIN_ITEMS_PER_PAIR, rows_per_group: int = ROWS_PER_GROUP
+) -> DataFrame:
     """Word pairs found together in one field of at least ``min_items`` items.
 
-    Words below the minimum cannot be part of such a pair and are dropped first. Pairs are
-    counted as one packed number, combined map-side, and spelled out at the end.
+    Words below the minimum cannot be part of such a pair and are dropped first. Each word then
+    travels with the words that follow it; a group takes about ``rows_per_group`` such rows, a
+    frequent word is salted over several groups, and only counts leave a group.
     """
     support = (
         items.select(F.explode(F.array_union(tx.token_set(F.col("title")), tx.token_set(F.col("subtitle")))).alias("word_low"))
         .groupBy("word_low").agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") >= min_items)
     )
-    numbered = cut_lineage(numbered_vocabulary(vocab.join(support, "word_low", "left_semi")))
-    words = item_word_numbers(items, numbered)
-    base = numbered.count() + 1
+    kept = cut_lineage(vocab.select("word_low").join(support, "word_low"))
+    numbered = cut_lineage(number_rows(kept, ["word_low"], "word_no"))
+    size = numbered.agg(F.count(F.lit(1)).alias("words"), F.coalesce(F.sum("n"), F.lit(0)).alias("rows")).first()
+    base = size["words"] + 1
     if base >= 2**31:
         raise ValueError("vocabulary too large for packed pairs")
-    counted = (
-        words.select(F.inline(field_pairs(F.col("title_ids"), F.col("subtitle_ids"))))
-        .select("a", F.explode("rest").alias("b"))
-        .groupBy((F.col("a") * F.lit(base) + F.col("b")).alias("pair"))
-        .agg(F.count(F.lit(1)).alias("unmatched_item_count"))
-        .filter(F.col("unmatched_item_count") >= min_items)
+    blocks = max(1, size["rows"] // rows_per_group)
+    # at most rows / rows_per_group words can be hot
+    hot = numbered.filter(F.col("n") > rows_per_group).select(
+        F.col("word_no").cast("int").alias("a"), F.ceil(F.col("n") / rows_per_group).cast("int").alias("salts")
+    )
+    spread = (
+        following_words(item_word_numbers(items, numbered.select("word_low", "word_no")))
+        .join(F.broadcast(hot), "a", "left")
+        .filter(F.size("rest") > 0)
+        .select(
+            F.when(F.col("salts").isNull(), F.pmod(F.xxhash64("a"), F.lit(blocks))).otherwise(-F.col("a").cast("long")).alias("block"),
+            F.when(F.col("salts").isNull(), F.lit(0)).otherwise(F.pmod(F.xxhash64("pos"), F.col("salts")).cast("int")).alias("salt"),
+            F.col("salts").isNotNull().alias("hot"),
+            "a",
+            "rest",
+        )
+    )
+    parts = spread.groupBy("block", "salt").applyInArrow(_count_codes(base, min_items), "pair long, n long")
+    counted = parts.groupBy("pair").agg(F.sum("n").alias("unmatched_item_count")).filter(
+        F.col("unmatched_item_count") >= min_items
     )
     first = numbered.select(F.col("word_no").alias("a"), F.col("word_low").alias("w1"))
     second = numbered.select(F.col("word_no").alias("b"), F.col("word_low").alias("w2"))

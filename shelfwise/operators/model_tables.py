@@ -265,7 +265,7 @@ def merge_model_matches(pool: DataFrame, kept: DataFrame, matched_ids: DataFrame
         pool.join(matched_ids.select("id").distinct(), "id", "left_anti")
         .join(kept, "id")
         .select(
-            "pos", "id", "title", "subtitle", "leaf_path", tx.leaf_slug(F.col("leaf_path")).alias("leaf_slug"),
+            "pos", "id", "leaf_path", tx.leaf_slug(F.col("leaf_path")).alias("leaf_slug"),
             F.lit("").alias("leaf_display_name"), "confidence", F.lit(tx.SOURCE_MODEL).alias("source"),
         )
     )

@@ -10,8 +10,7 @@ from pyspark.sql import functions as F
 
 from shelfwise.functions import text as tx
 from shelfwise.functions.similarity import length_bound, match_ratio, shared_letters_bound
-from shelfwise.operators import taxonomy
-from shelfwise.scale import BROADCAST_BYTES, cut_lineage, is_small, skew_join
+from shelfwise.scale import BROADCAST_BYTES, broadcast_if_small, cut_lineage, is_small, skew_join
 
 WORD_SIMILARITY = 0.58
 MIN_RULE_CONFIDENCE = 0.85
@@ -215,11 +214,16 @@ def rank_categories(triggers: DataFrame, slug_paths: DataFrame | None = None) ->
     order = [F.desc("real"), F.desc("matched_bigram_count"), F.desc("max_confidence"), F.asc("category_slug")]
     ranked = cats.withColumn("rank", F.row_number().over(by_item.orderBy(*order)))
     if slug_paths is not None:
-        placed = ranked.join(slug_paths.select(F.col("slug").alias("category_slug"), "path"), "category_slug", "left")
-        known = placed.filter(F.col("path").isNotNull())
-        placed = taxonomy.maximal_paths(known, ["pos"]).unionByName(placed.filter(F.col("path").isNull()))
+        paths = broadcast_if_small(slug_paths.select(F.col("slug").alias("category_slug"), "path"))
+        above = F.flatten(F.collect_set(tx.ancestors(F.col("path"))).over(by_item))
         again = [F.desc("real"), F.asc(F.col("path").isNull()), F.desc(F.length("path")), F.asc("rank")]
-        ranked = placed.withColumn("rank", F.row_number().over(by_item.orderBy(*again))).drop("path")
+        ranked = (
+            ranked.join(paths, "category_slug", "left")
+            .withColumn("above", above)
+            .filter(F.col("path").isNull() | ~F.array_contains("above", F.col("path")))
+            .withColumn("rank", F.row_number().over(by_item.orderBy(*again)))
+            .drop("path", "above")
+        )
     return ranked.withColumn("rank", F.when(F.col("real"), F.col("rank"))).drop("real")
 
 
@@ -243,12 +247,11 @@ def unmatched_items(items: DataFrame, triggers: DataFrame) -> DataFrame:
 
 def trigger_stats(ranked: DataFrame) -> DataFrame:
     """Per unordered word pair: triggers, items, best confidence, sources, first-seen spelling."""
-    totals = item_totals(ranked).select(
-        "pos", F.col("total_triggered_bigrams").alias("tot"), F.col("max_confidence").alias("best")
-    )
+    item = Window.partitionBy("pos")
     flat = (
         ranked.filter("rank IS NOT NULL")
-        .join(totals, "pos")
+        .withColumn("tot", F.sum("matched_bigram_count").over(item))
+        .withColumn("best", F.max("max_confidence").over(item))
         .select("id", "tot", "best", "rank", F.posexplode("triggers").alias("at", "t"))
     )
     seen = F.struct((-F.col("tot")).alias("a"), (-F.col("best")).alias("b"), F.col("id"), F.col("rank"), F.col("at"))

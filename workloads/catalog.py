@@ -250,7 +250,7 @@ def pair_state(spark, d):
 def pair_claims(spark, d):
     items, _, decided = pair_state(spark, d)
     claims = decisions.claim_first(decisions.pair_hits(items, decided.filter("kind = 'assign'")))
-    return decisions.assign_pairs(items, claims, decided).select("id", "leaf_path", "leaf_slug", "source")
+    return decisions.assign_pairs(claims, decided).select("id", "leaf_path", "leaf_slug", "source")
 
 
 @query
@@ -351,11 +351,11 @@ def match_lists(spark, d):
     n = nodes_of(spark, d)
     by_group = group_state(spark, d)[2]
     totals = rules.item_totals(rules.rank_categories(strict_triggers(spark, d)))
-    by_rule = merge.rule_rows(items, totals, taxonomy.slug_paths(n))
+    by_rule = merge.rule_rows(totals, taxonomy.slug_paths(n))
     log = decisions.latest_decisions(view(spark, d, "pair_log"), ["rank"])
     words = rules.last_rule_per_pair(view(spark, d, "rules")).filter("side = 'subtitle' AND phase = 1").select("w1", "w2")
     decided = cut_lineage(number_rows(words, ["w1", "w2"], "rank").join(log, "rank").filter("kind = 'assign'"))
-    by_pair = decisions.assign_pairs(items, decisions.claim_first(decisions.pair_hits(items, decided)), decided)
+    by_pair = decisions.assign_pairs(decisions.claim_first(decisions.pair_hits(items, decided)), decided)
     kept = view(spark, d, "predictions").filter("confidence >= 0.9 AND confidence <= 1.0").select("id", "leaf_path", "confidence")
     by_model = model_tables.merge_model_matches(items, kept, spark.createDataFrame([], "id string"))
     return items, [cut_lineage(m) for m in (by_group, by_rule, by_pair, by_model)]
@@ -363,8 +363,8 @@ def match_lists(spark, d):
 
 @query
 def merge_sources(spark, d):
-    _, lists = match_lists(spark, d)
-    return merge.dedupe_matched(merge.union_sources(*lists)).drop("subtitle")
+    items, lists = match_lists(spark, d)
+    return merge.with_texts(merge.dedupe_matched(merge.union_sources(*lists)), items).drop("subtitle")
 
 
 @query
