@@ -62,7 +62,7 @@ def main() -> None:
         start = time.time()
         QUERIES[name](spark, sf_dir).write.format("noop").mode("overwrite").save()
         times[name] = round(time.time() - start, 3)
-        print(f"{name}: {times[name]}s", file=sys.stderr)
+        print(f"\n{name}: {times[name]}s", file=sys.stderr)
     print(
         json.dumps(
             {
