@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from shelfwise.functions import text as tx
-from shelfwise.scale import broadcast_if_small, side_by_side
+from shelfwise.scale import broadcast_if_small, cut_lineage, is_small, side_by_side, skew_join
 
 # Labels whose rows are published; every other label is rejected.
 ACCEPTED = ("regex", "llm_high", "llm_medium")
@@ -87,9 +87,13 @@ def extract_values(rows: DataFrame, attributes: DataFrame, patterns: DataFrame,
         .groupBy("leaf_path", "template")
         .agg(F.array_sort(F.collect_list(F.struct("a_seq", "seq", "key", "regex", "value_normalize", "a_unit"))).alias("pats"))
     )
-    routed = rows.join(broadcast_if_small(with_attr), "leaf_path", "left_semi").join(
-        broadcast_if_small(packed), ["leaf_path", "template"], "left"
-    )
+    open_rows = rows.join(broadcast_if_small(with_attr), "leaf_path", "left_semi")
+    packed = cut_lineage(packed)
+    key = ["leaf_path", "template"]
+    if is_small(packed):
+        routed = open_rows.join(F.broadcast(packed), key, "left")
+    else:
+        routed = skew_join(open_rows, packed, key, clusters, "item_count", "left")
     none = F.array().cast("array<string>")
     got = routed.withColumn("raw", F.when(F.col("pats").isNotNull(), capture_all("title", F.coalesce(F.col("pats.regex"), none))))
     cleaned = F.filter(

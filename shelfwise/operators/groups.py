@@ -102,23 +102,25 @@ def connected_components(nodes: DataFrame, edges: DataFrame, max_rounds: int = 6
     checkpointed each round, and the loop ends when no label moves.
     """
     both = cut_lineage(edges.select("u", "v").unionByName(edges.select(F.col("v").alias("u"), F.col("u").alias("v"))))
+    degree = cut_lineage(both.groupBy("u").agg(F.count(F.lit(1)).alias("degree")))
     labels = nodes.select("node", F.col("node").alias("label"))
     for _ in range(max_rounds):
         near = (
-            both.join(labels.withColumnRenamed("node", "u"), "u")
+            skew_join(both, labels.withColumnRenamed("node", "u"), ["u"], degree, "degree")
             .groupBy(F.col("v").alias("node"))
             .agg(F.min("label").alias("near"))
         )
         pulled = labels.join(near, "node", "left").select(
             "node", F.col("label").alias("old"), F.least("label", F.coalesce("near", "label")).alias("label")
         )
+        pulled = cut_lineage(pulled)
+        if pulled.filter(F.col("old") != F.col("label")).isEmpty():
+            return labels
+        sizes = pulled.groupBy("label").agg(F.count(F.lit(1)).alias("n"))
         roots = pulled.select(F.col("node").alias("label"), F.col("label").alias("root"))
-        moved = cut_lineage(
-            pulled.join(roots, "label", "left").select("node", "old", F.coalesce("root", "label").alias("label"))
+        labels = skew_join(pulled, roots, ["label"], sizes, "n", "left").select(
+            "node", F.coalesce("root", "label").alias("label")
         )
-        labels = moved.select("node", "label")
-        if moved.filter(F.col("old") != F.col("label")).isEmpty():
-            return labels
     raise RuntimeError(f"components did not settle in {max_rounds} rounds")
 
 
@@ -195,7 +197,9 @@ def group_members(
     min_group = max(2, min_group)
     blocked = block_items(items)
     sizes = cut_lineage(block_sizes(blocked).filter(F.col("n_items") >= min_group))
-    sized = skew_join(blocked, sizes.select(*BLOCK, "n_items"), BLOCK, sizes, "n_items")
+    sized = cut_lineage(
+        skew_join(blocked.select("pos", "norm", *BLOCK), sizes.select(*BLOCK, "n_items"), BLOCK, sizes, "n_items")
+    )
 
     small = clique_members(sized.filter(F.col("n_items") <= clique_limit), min_sim, min_group).select(
         *BLOCK, "emission", "pos", F.lit("clique").alias("method")

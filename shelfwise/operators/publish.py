@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from shelfwise.functions import text as tx
 from shelfwise.operators import taxonomy
-from shelfwise.scale import broadcast_if_small, side_by_side
+from shelfwise.scale import broadcast_if_small, cut_lineage, is_small, side_by_side, skew_join
 
 LIVE = "deleted_at IS NULL"
 
@@ -27,12 +27,16 @@ def validate(rows: DataFrame, nodes: DataFrame) -> DataFrame:
         "pos", F.coalesce("id", F.lit("")).alias("id"), tx.strip(F.coalesce("leaf_path", F.lit(""))).alias("leaf_path")
     )
     filled = clean.filter("id <> '' AND leaf_path <> ''")
-    repeats = filled.groupBy("id").agg(F.min("pos").alias("first_pos"), F.count(F.lit(1)).alias("n")).filter("n > 1")
-    known = nodes.groupBy(F.col("path").alias("leaf_path")).agg(F.max("is_leaf").alias("is_leaf"))
-    checked = (
-        clean.join(broadcast_if_small(known), "leaf_path", "left")
-        .join(broadcast_if_small(repeats.select("id", "first_pos")), "id", "left")
+    repeats = cut_lineage(
+        filled.groupBy("id").agg(F.min("pos").alias("first_pos"), F.count(F.lit(1)).alias("n")).filter("n > 1")
     )
+    known = nodes.groupBy(F.col("path").alias("leaf_path")).agg(F.max("is_leaf").alias("is_leaf"))
+    placed = clean.join(broadcast_if_small(known), "leaf_path", "left")
+    first = repeats.select("id", "first_pos")
+    if is_small(first):
+        checked = placed.join(F.broadcast(first), "id", "left")
+    else:
+        checked = skew_join(placed, first, ["id"], repeats, "n", "left")
     full = (F.col("id") != "") & (F.col("leaf_path") != "")
     issues = F.array(
         F.when(F.col("id") == "", "missing id"),

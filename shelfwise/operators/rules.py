@@ -16,6 +16,7 @@ WORD_SIMILARITY = 0.58
 MIN_RULE_CONFIDENCE = 0.85
 UNKNOWN_DEPTH = 10_000
 PREFIX = 3
+HOT_PARENT_WORDS = 10_000
 
 
 # ---------------------------------------------------------------- rule generation
@@ -76,17 +77,14 @@ def pair_rules(
         lone = flat.filter(F.size("parents") == 1)
     else:
         lone = flat
-    a, b = lone.alias("a"), flat.alias("b")
-    # one side always has a single parent above 0.7, so the join starts from those words
-    joined = a.join(b, ["depth", "side", "parent"]).select(
-        "depth",
-        "side",
-        "parent",
-        F.struct((-F.col("a.item_count")).alias("n"), F.col("a.word").alias("w")).alias("ka"),
-        F.struct((-F.col("b.item_count")).alias("n"), F.col("b.word").alias("w")).alias("kb"),
-        F.col("a.parents").alias("pa"),
-        F.col("b.parents").alias("pb"),
-    )
+    # above 0.7 one word has a single parent, so the join starts from those words
+    on = ["depth", "side", "parent"]
+    place = lambda k: F.struct((-F.col("item_count")).alias("n"), F.col("word").alias("w")).alias(k)
+    left = lone.select(*on, place("ka"), F.col("parents").alias("pa"))
+    right = flat.select(*on, place("kb"), F.col("parents").alias("pb"))
+    busy = left.groupBy(*on).agg(F.count(F.lit(1)).alias("n_words"))
+    # the words of a busy parent are salted: its pairs are output, but of many tasks
+    joined = skew_join(left, right, on, busy, "n_words", hot_rows=HOT_PARENT_WORDS)
     both_lone = (F.size("pa") == 1) & (F.size("pb") == 1)
     if min_confidence > 0.7:
         keep = F.when(both_lone, F.col("ka") < F.col("kb")).otherwise(F.col("ka") != F.col("kb"))
@@ -178,8 +176,8 @@ def match_triggers(
         .agg(F.min_by("t.toks", "at").alias("cased"))
     )
     first = seen if cross else seen.withColumn("side", F.col("source"))
-    uses = seen.groupBy("word").agg(F.count(F.lit(1)).alias("n_items"))
-    cand = skew_join(first, probe, on, uses, "n_items") if cross else first.join(probe, on)
+    uses = first.groupBy(*on).agg(F.count(F.lit(1)).alias("n_items"))
+    cand = skew_join(first, probe, on, uses, "n_items")
     second = seen.select("pos", "source", F.col("word").alias("partner"), F.col("cased").alias("partner_cased"))
     return cand.join(second, ["pos", "source", "partner"]).select(
         "pos", "id", "phase", "category_slug",
