@@ -49,15 +49,12 @@ def shared_letters_bound(a: Column, b: Column) -> Column:
 
 def char_counts(texts: list[str]) -> np.ndarray:
     """One row per text, one column per character of the collection."""
-    index: dict[str, int] = {}
-    for t in texts:
-        for ch in t:
-            index.setdefault(ch, len(index))
-    out = np.zeros((len(texts), max(len(index), 1)), dtype=np.int32)
-    for i, t in enumerate(texts):
-        if t:
-            np.add.at(out[i], [index[ch] for ch in t], 1)
-    return out
+    lens = np.array([len(t) for t in texts], dtype=np.int64)
+    codes = np.frombuffer("".join(texts).encode("utf-32-le", "surrogatepass"), dtype=np.uint32)
+    chars, column = np.unique(codes, return_inverse=True)
+    width = max(len(chars), 1)
+    cells = np.repeat(np.arange(len(texts)), lens) * width + column
+    return np.bincount(cells, minlength=len(texts) * width).reshape(len(texts), width).astype(np.int32)
 
 
 def tile_edges(
@@ -80,45 +77,36 @@ def tile_edges(
     cross = bool(side.any())
     counts = char_counts(texts)
     lengths = counts.sum(axis=1)
-    parent = list(range(n))
-
-    def find(x: int) -> int:
-        while parent[x] != x:
-            parent[x] = parent[parent[x]]
-            x = parent[x]
-        return x
+    label = np.arange(n)
+    others = np.flatnonzero(side == 0) if cross else None
 
     edges: list[tuple[int, int]] = []
-    for j in range(n):
-        if cross:
-            if side[j] == 0:
-                continue
-            cand = np.flatnonzero(side == 0)
-        else:
-            cand = np.arange(j)
+    for j in np.flatnonzero(side == 1) if cross else range(1, n):
+        cand = others if cross else np.arange(j)
+        if forest:
+            cand = cand[label[cand] != label[j]]
         if not len(cand):
             continue
         overlap = np.minimum(counts[cand], counts[j]).sum(axis=1)
-        total = lengths[cand] + lengths[j]
-        bound = np.where(total > 0, 2.0 * overlap / np.maximum(total, 1), 1.0)
-        keep = cand[bound >= threshold - 1e-9]
+        total = np.maximum(lengths[cand] + lengths[j], 1)
+        bound = 2.0 * overlap / total
+        close = bound >= threshold - 1e-9
+        # likely matches first: one hit removes its whole component from the list
+        keep = cand[close][np.argsort(-bound[close], kind="stable")]
         if not len(keep):
             continue
-        as_right, as_left = SequenceMatcher(), None
-        as_right.set_seq2(texts[j])
-        for i in keep:
-            i = int(i)
-            if forest and find(i) == find(j):
-                continue
+        as_right = SequenceMatcher(None, "", texts[j])
+        while len(keep):
+            i, keep = int(keep[0]), keep[1:]
             hit = False
             if first[i] < last[j]:
                 as_right.set_seq1(texts[i])
-                hit = as_right.real_quick_ratio() >= threshold and as_right.ratio() >= threshold
+                hit = as_right.ratio() >= threshold
             if not hit and first[j] < last[i]:
-                as_left = SequenceMatcher(None, texts[j], texts[i])
-                hit = as_left.ratio() >= threshold
+                hit = SequenceMatcher(None, texts[j], texts[i]).ratio() >= threshold
             if hit:
-                edges.append((i, j))
+                edges.append((i, int(j)))
                 if forest:
-                    parent[find(i)] = find(j)
+                    label[label == label[i]] = label[j]
+                    keep = keep[label[keep] != label[j]]
     return edges

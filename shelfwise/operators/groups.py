@@ -17,12 +17,12 @@ from pyspark.sql import functions as F
 
 from shelfwise.functions import text as tx
 from shelfwise.functions.similarity import tile_edges
-from shelfwise.scale import cut_lineage, number_rows, side_by_side, skew_join
+from shelfwise.scale import cut_lineage, number_rows, side_by_side, skew_join, spread
 
 MIN_SIMILARITY = 0.7
 MIN_GROUP = 5
 CLIQUE_LIMIT = 30
-CHUNK_TITLES = 400
+CHUNK_TITLES = 1000
 BLOCK = ["token", "band"]
 
 
@@ -87,7 +87,8 @@ def similar_title_edges(
         at = np.array(pairs, dtype=np.int64).reshape(-1, 2)
         return pd.DataFrame({"u": np.minimum(first[at[:, 0]], first[at[:, 1]]), "v": np.maximum(first[at[:, 0]], first[at[:, 1]])})
 
-    return _tiles(titles, chunk_titles).groupBy(*BLOCK, "lo", "hi").applyInPandas(compare, "u long, v long")
+    tile = [*BLOCK, "lo", "hi"]
+    return spread(_tiles(titles, chunk_titles), *tile).groupBy(*tile).applyInPandas(compare, "u long, v long")
 
 
 def similar_pairs(items: DataFrame, min_sim: float = MIN_SIMILARITY, chunk_titles: int = CHUNK_TITLES) -> DataFrame:
@@ -101,7 +102,8 @@ def connected_components(nodes: DataFrame, edges: DataFrame, max_rounds: int = 6
     ``nodes`` has ``node``; ``edges`` has ``u, v``. Minimum is combined map-side, labels are
     checkpointed each round, and the loop ends when no label moves.
     """
-    both = cut_lineage(edges.select("u", "v").unionByName(edges.select(F.col("v").alias("u"), F.col("u").alias("v"))))
+    back = F.struct(F.col("v").alias("u"), F.col("u").alias("v"))
+    both = cut_lineage(edges.select(F.inline(F.array(F.struct("u", "v"), back))))
     degree = cut_lineage(both.groupBy("u").agg(F.count(F.lit(1)).alias("degree")))
     labels = nodes.select("node", F.col("node").alias("label"))
     for _ in range(max_rounds):
@@ -177,7 +179,7 @@ def clique_members(blocked_small: DataFrame, min_sim: float = MIN_SIMILARITY, mi
             yield pd.Series(out)
 
     cover = F.pandas_udf(cover, "array<struct<emission:long,pos:long>>")
-    packed = blocked_small.groupBy(*BLOCK).agg(F.collect_list(F.struct("pos", "norm")).alias("rows"))
+    packed = spread(blocked_small, *BLOCK).groupBy(*BLOCK).agg(F.collect_list(F.struct("pos", "norm")).alias("rows"))
     return packed.select(*BLOCK, F.explode(cover("rows")).alias("m")).select(*BLOCK, "m.emission", "m.pos")
 
 

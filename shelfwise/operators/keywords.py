@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from shelfwise.functions import text as tx
-from shelfwise.scale import broadcast_if_small, cut_lineage, number_rows
+from shelfwise.scale import broadcast_if_small, cut_lineage, number_rows, spread
 
 MIN_ITEMS_PER_WORD = 3
 MIN_WORD_LEN = 4
@@ -145,7 +145,7 @@ def frequent_pairs(
     hot = numbered.filter(F.col("n") > rows_per_group).select(
         F.col("word_no").cast("int").alias("a"), F.ceil(F.col("n") / rows_per_group).cast("int").alias("salts")
     )
-    spread = (
+    words = (
         following_words(item_word_numbers(items, numbered.select("word_low", "word_no")))
         .join(F.broadcast(hot), "a", "left")
         .filter(F.size("rest") > 0)
@@ -157,7 +157,7 @@ def frequent_pairs(
             "rest",
         )
     )
-    parts = spread.groupBy("block", "salt").applyInArrow(_count_codes(base, min_items), "pair long, n long")
+    parts = spread(words, "block", "salt").groupBy("block", "salt").applyInArrow(_count_codes(base, min_items), "pair long, n long")
     counted = parts.groupBy("pair").agg(F.sum("n").alias("unmatched_item_count")).filter(
         F.col("unmatched_item_count") >= min_items
     )

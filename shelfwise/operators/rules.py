@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from shelfwise.functions import text as tx
 from shelfwise.functions.similarity import length_bound, match_ratio, shared_letters_bound
-from shelfwise.scale import BROADCAST_BYTES, broadcast_if_small, cut_lineage, is_small, skew_join
+from shelfwise.scale import BROADCAST_BYTES, broadcast_if_small, cut_lineage, is_small, skew_join, spread
 
 WORD_SIMILARITY = 0.58
 MIN_RULE_CONFIDENCE = 0.85
@@ -161,12 +161,12 @@ def match_triggers(
     views = _views(items, cross)
     on = ["word"] if cross else ["word", "side"]
     if is_small(probe, broadcast_bytes):
-        spread = views.withColumn("words", F.array_distinct("low")).withColumn("word", F.explode_outer("words"))
+        exploded = views.withColumn("words", F.array_distinct("low")).withColumn("word", F.explode_outer("words"))
         if not cross:
-            spread = spread.withColumn("side", F.col("source"))
+            exploded = exploded.withColumn("side", F.col("source"))
         cased = lambda w: F.element_at("toks", F.array_position("low", w).cast("int"))
         return (
-            spread.join(F.broadcast(probe), on)
+            exploded.join(F.broadcast(probe), on)
             .filter(F.array_contains("words", F.col("partner")))
             .select(*[cased(F.col(c)).alias(c) if c in ("w1", "w2") else F.col(c) for c in out])
         )
@@ -199,7 +199,7 @@ def rank_categories(triggers: DataFrame, slug_paths: DataFrame | None = None) ->
     )
     by_item = Window.partitionBy("pos")
     cats = (
-        triggers.repartition("pos")
+        spread(triggers, "pos")
         .groupBy("pos", "id", "phase", "category_slug")
         .agg(F.array_sort(F.collect_set(trig)).alias("triggers"))
         .withColumn("lowest", F.min("phase").over(by_item))

@@ -41,6 +41,15 @@ def cut_lineage(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
+def spread(df: DataFrame, *keys: str) -> DataFrame:
+    """Hash rows to the configured number of shuffle partitions.
+
+    For steps that are heavy on CPU but light in bytes: adaptive execution sizes partitions by
+    bytes and would run them in too few tasks.
+    """
+    return df.repartition(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")), *keys)
+
+
 def measured_bytes(df: DataFrame) -> int:
     """Upper estimate of the in-memory row bytes of a flat table (runs one aggregate job)."""
     width = F.lit(16)
