@@ -247,6 +247,12 @@ def group_heads(members: DataFrame) -> DataFrame:
     return agg.select("group_id", "method", "item_count", label.alias("master_title"))
 
 
+def preview(members: DataFrame, k: int = 12) -> DataFrame:
+    """First ``k`` members of each group, for display (partial top-k before the shuffle)."""
+    w = Window.partitionBy("group_id").orderBy("pos")
+    return members.withColumn("rank", F.row_number().over(w)).filter(F.col("rank") <= k)
+
+
 def ungrouped(items: DataFrame, members: DataFrame) -> DataFrame:
     return items.join(members.select("pos"), "pos", "left_anti")
 

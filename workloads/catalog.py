@@ -777,3 +777,36 @@ def input_fingerprint(spark, d):
     from shelfwise.sources import runs
 
     return runs.input_fingerprint(spark.read.parquet(f"{d}/lineitem.parquet"))
+
+
+# ---------------------------------------------------------------- documents and previews
+@query
+def match_document(spark, d):
+    """The nested result document, summarized per item."""
+    items = view(spark, d, "items")
+    doc = rules.result_document(items, cut_lineage(rules.rank_categories(cross_triggers(spark, d))))
+    best = F.get("categories", F.lit(0))
+    return doc.select(
+        "id", "total_triggered_bigrams", "max_confidence", F.size("categories").cast("long").alias("n_categories"),
+        best["category_slug"].alias("first_category"),
+        F.array_join(F.get(best["triggering_bigrams"], F.lit(0))["bigram"], " ").alias("first_bigram"),
+    )
+
+
+@query
+def group_preview(spark, d):
+    return groups.preview(equal_title_groups(spark, d)).select("group_id", "rank", "id")
+
+
+@query
+def handover_items(spark, d):
+    members, latest, matched = group_state(spark, d)
+    return decisions.handover(decisions.remaining_items(view(spark, d, "items"), members, latest, matched)).drop("subtitle")
+
+
+@query
+def row_paths(spark, d):
+    """Path used in summaries: the predicted leaf where it is not blank, else the top rule category."""
+    totals = rules.item_totals(rules.rank_categories(strict_triggers(spark, d)))
+    p = view(spark, d, "predictions").select("id", F.when(F.col("confidence") < 0.3, " ").when(F.col("confidence") > 0.5, F.col("leaf_path")).alias("leaf_path"))
+    return totals.join(p, "id", "left").select("id", merge.row_path(F.col("leaf_path"), F.col("top_category")).alias("path"))

@@ -653,3 +653,24 @@ check(
 )
 check("run_labels", "SELECT run_id, strftime(run_ts, '%Y%m%d_%H%M%S') || CASE WHEN env <> '' THEN '-' || env ELSE '' END AS label FROM runs", "runs")
 check("run_taxonomy", "SELECT run_id, coalesce(taxonomy_version, 'categories_default') AS taxonomy_version FROM runs", "runs")
+
+# ---------------------------------------------------------------- documents and previews
+check(
+    "match_document",
+    """SELECT t.id, t.total_triggered_bigrams, t.max_confidence, (SELECT count(*) FROM ranked r WHERE r.pos = t.pos AND r.rank IS NOT NULL) AS n_categories,
+       f.category_slug AS first_category, split_part(f.triggers, ':', 1) || ' ' || split_part(f.triggers, ':', 2) AS first_bigram
+       FROM totals t LEFT JOIN ranked f ON f.pos = t.pos AND f.rank = 1""",
+    "items", "rules", ctes=",\n".join([*CROSS, RANKED]),
+)
+check(
+    "group_preview",
+    "SELECT group_id, row_number() OVER (PARTITION BY group_id ORDER BY pos) AS rank, id FROM members QUALIFY row_number() OVER (PARTITION BY group_id ORDER BY pos) <= 12",
+    "items", ctes=GROUPS,
+)
+check("handover_items", "SELECT id, title FROM items WHERE id NOT IN (SELECT id FROM assigned)", *GV, ctes=ASSIGNED)
+check(
+    "row_paths",
+    """SELECT t.id, coalesce(nullif(trim(CASE WHEN p.confidence < 0.3 THEN ' ' WHEN p.confidence > 0.5 THEN p.leaf_path END), ''), t.top_category, '') AS path
+       FROM totals t LEFT JOIN predictions p ON p.id = t.id""",
+    "items", "rules", "predictions", ctes=",\n".join([*STRICT, RANKED]),
+)
