@@ -137,13 +137,14 @@ VIEWS: dict[str, str] = {
         SELECT DISTINCT root || '/' || noun || '/' || adj || '_' || noun || '/' || kind, adj || ' ' || noun || ' {{FRAC}}" Brand#{{NUM}}', 1, kind
         FROM {part_words} WHERE kind = 'promo'""",
     "attr_rows": """
-        SELECT leaf_path, template, round, a.attr_seq, a.key, a.label, a.vtype, a.regex, a.hint, a.symbol
-        FROM {attr_defs} CROSS JOIN (
-            SELECT 0 AS attr_seq, 'size' AS key, 'Size' AS label, 'number' AS vtype, '(?P<val>[0-9]+/16")' AS regex, 'measurement_inches' AS hint, 'in' AS symbol
-            UNION ALL SELECT 1, 'brand', 'Brand', 'text', '(?P<val>Brand#[0-9]+)', 'text_lower', CAST(NULL AS STRING)
-            UNION ALL SELECT 2, 'finish', 'Finish', 'text', '(?P<val>zinc)', 'text_raw', CAST(NULL AS STRING)
-            UNION ALL SELECT 3, 'broken', 'Broken', 'text', '(?P<val>[', 'text_raw', CAST(NULL AS STRING)) a
-        WHERE round = 0 OR a.attr_seq = 0""",
+        SELECT leaf_path, template, round, 0 AS attr_seq, 'size' AS key, 'Size' AS label, 'number' AS vtype,
+               '(?P<val>[0-9]+/16")' AS regex, 'measurement_inches' AS hint, 'in' AS symbol FROM {attr_defs}
+        UNION ALL
+        SELECT leaf_path, template, round, 1, 'brand', 'Brand', 'text', '(?P<val>Brand#[0-9]+)', 'text_lower', NULL FROM {attr_defs} WHERE round = 0
+        UNION ALL
+        SELECT leaf_path, template, round, 2, 'finish', 'Finish', 'text', '(?P<val>zinc)', 'text_raw', NULL FROM {attr_defs} WHERE round = 0
+        UNION ALL
+        SELECT leaf_path, template, round, 3, 'broken', 'Broken', 'text', '(?P<val>[', 'text_raw', NULL FROM {attr_defs} WHERE round = 0""",
     # fallback answers of a value model, one per order line
     "value_answers": """
         SELECT 'itm_' || lpad(CAST(l_partkey AS STRING), 12, '0') AS item_id, leaf_path, l_returnflag AS attribute_key,
