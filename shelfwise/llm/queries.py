@@ -10,6 +10,8 @@ from shelfwise.llm.common import table
 from shelfwise.llm.decontaminate import containment
 from shelfwise.llm.exact_dedup import exact_dedup
 from shelfwise.llm.mixing import mix_report
+from shelfwise.llm.language_id import language_report
+from shelfwise.llm.near_dedup import near_dedup
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -26,9 +28,17 @@ def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mix_report(table(spark, sf_dir, "documents"))
 
 
+def op6_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_dedup(table(spark, sf_dir, "documents")).drop("text_class")
+
+
+def op3_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return language_report(table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Query] = {
     f.__name__: f
-    for f in (op2_exact_dedup, op7_decontaminate, op10_mixing)
+    for f in (op3_language_id, op6_near_dedup, op2_exact_dedup, op7_decontaminate, op10_mixing)
 }
 
 ORACLE: dict[str, str] = {}
@@ -96,3 +106,21 @@ SELECT doc_id, size, source_size, target,
        (least(floor(place * rate + off) - floor((place - 1) * rate + off), ceil(rate)) * size)::BIGINT AS taken
 FROM c
 """
+
+ORACLE["op6_near_dedup"] = r"""
+WITH RECURSIVE w AS (
+  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS w
+  FROM documents),
+s AS (
+  SELECT DISTINCT doc_id, array_to_string(w[i:i+3], ' ') AS s
+  FROM (SELECT doc_id, w, unnest(range(1, greatest(len(w) - 2, 2))) AS i FROM w WHERE len(w) > 0)),
+n AS (SELECT doc_id, count(*) AS n FROM s GROUP BY 1),
+p AS (SELECT a.doc_id AS u, b.doc_id AS v, count(*) AS common FROM s a JOIN s b ON a.s = b.s AND a.doc_id <> b.doc_id GROUP BY 1, 2),
+e AS (
+  SELECT u, v FROM p JOIN n x ON x.doc_id = u JOIN n y ON y.doc_id = v
+  WHERE 100 * common >= 80 * (x.n + y.n - common)),
+r AS (SELECT doc_id AS node, doc_id AS reach FROM documents UNION SELECT r.node, e.v FROM r JOIN e ON e.u = r.reach),
+c AS (SELECT node, min(reach) AS component_id FROM r GROUP BY 1)
+SELECT d.doc_id, coalesce(n.n, 0)::BIGINT AS n_shingles, component_id, d.doc_id = component_id AS kept
+FROM documents d JOIN c ON c.node = d.doc_id LEFT JOIN n USING (doc_id)
+"""
