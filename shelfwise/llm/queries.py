@@ -10,6 +10,8 @@ from shelfwise.llm.common import table
 from shelfwise.llm.decontaminate import containment
 from shelfwise.llm.exact_dedup import exact_dedup
 from shelfwise.llm.mixing import mix_report
+from shelfwise.llm.token_blocks import token_files
+from shelfwise.llm.toxicity import toxicity_report
 from shelfwise.llm.language_id import language_report
 from shelfwise.llm.near_dedup import near_dedup
 
@@ -36,9 +38,17 @@ def op3_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return language_report(table(spark, sf_dir, "documents"))
 
 
+def op8_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity_report(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+def op4_token_blocks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_files(table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Query] = {
     f.__name__: f
-    for f in (op3_language_id, op6_near_dedup, op2_exact_dedup, op7_decontaminate, op10_mixing)
+    for f in (op4_token_blocks, op8_toxicity, op3_language_id, op6_near_dedup, op2_exact_dedup, op7_decontaminate, op10_mixing)
 }
 
 ORACLE: dict[str, str] = {}
@@ -58,10 +68,10 @@ FROM t
 
 ORACLE["op7_decontaminate"] = r"""
 WITH dw AS (
-  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS w
+  SELECT doc_id, regexp_extract_all(lower(coalesce(text, '')), '[^\x20\x09-\x0D]+') AS w
   FROM documents),
 bw AS (
-  SELECT item_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS w
+  SELECT item_id, regexp_extract_all(lower(coalesce(text, '')), '[^\x20\x09-\x0D]+') AS w
   FROM benchmark),
 ds AS (SELECT DISTINCT doc_id, array_to_string(w[i:i+4], ' ') AS s FROM (SELECT doc_id, w, unnest(range(1, len(w) - 3)) AS i FROM dw)),
 bs AS (SELECT DISTINCT item_id, array_to_string(w[i:i+4], ' ') AS s FROM (SELECT item_id, w, unnest(range(1, len(w) - 3)) AS i FROM bw)),
