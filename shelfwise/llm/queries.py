@@ -10,6 +10,7 @@ from shelfwise.llm.common import table
 from shelfwise.llm.decontaminate import containment
 from shelfwise.llm.exact_dedup import exact_dedup
 from shelfwise.llm.mixing import mix_report
+from shelfwise.llm.warc import warc_report
 from shelfwise.llm.token_blocks import token_files
 from shelfwise.llm.toxicity import toxicity_report
 from shelfwise.llm.language_id import language_report
@@ -46,9 +47,13 @@ def op4_token_blocks(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_files(table(spark, sf_dir, "documents"))
 
 
+def op5_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return warc_report(table(spark, sf_dir, "pages")).drop("complete")
+
+
 QUERIES: dict[str, Query] = {
     f.__name__: f
-    for f in (op4_token_blocks, op8_toxicity, op3_language_id, op6_near_dedup, op2_exact_dedup, op7_decontaminate, op10_mixing)
+    for f in (op5_warc, op4_token_blocks, op8_toxicity, op3_language_id, op6_near_dedup, op2_exact_dedup, op7_decontaminate, op10_mixing)
 }
 
 ORACLE: dict[str, str] = {}
@@ -134,3 +139,19 @@ c AS (SELECT node, min(reach) AS component_id FROM r GROUP BY 1)
 SELECT d.doc_id, coalesce(n.n, 0)::BIGINT AS n_shingles, component_id, d.doc_id = component_id AS kept
 FROM documents d JOIN c ON c.node = d.doc_id LEFT JOIN n USING (doc_id)
 """
+
+ORACLE["op5_warc"] = r"""
+WITH p AS (
+  SELECT page_id, encode(coalesce(html, '')) AS body FROM pages),
+h AS (SELECT page_id, octet_length(body)::BIGINT AS payload_bytes, sha1(body) AS sha FROM p),
+b AS (
+  SELECT *, list_transform(range(32), lambda k:
+    ((('0x' || rpad(sha[(k * 5 // 4 + 1)::INT:(k * 5 // 4 + 2)::INT], 2, '0'))::INT >> (3 - (k * 5 - (k * 5 // 4) * 4))::INT) % 32)::INT) AS d,
+         max(page_id) OVER (PARTITION BY sha, payload_bytes) AS largest
+  FROM h)
+SELECT page_id, payload_bytes,
+       array_to_string(list_transform(d, lambda v: 'ABCDEFGHIJKLMNOPQRSTUVWXYZ234567'[v + 1]), '') AS payload_digest,
+       CASE WHEN page_id = largest THEN 'response' ELSE 'revisit' END AS record_type,
+       CASE WHEN page_id = largest THEN NULL ELSE largest END AS refers_to
+FROM b
+"""
