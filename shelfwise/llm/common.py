@@ -12,7 +12,7 @@ from shelfwise.scale import ensure_checkpoint_dir
 
 #: The white space of the contracts, [\x20\x09-\x0D].
 SPACES = " \t\n\x0b\x0c\r"
-UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
+WORD_GAPS = "[\\x20\\x09-\\x0D]+"
 #: Most keys that ``attach`` broadcasts; a key is hot from rows / HOT_KEYS rows on.
 HOT_KEYS = 10_000
 
@@ -25,24 +25,13 @@ def text_or_empty(name: str) -> Column:
     return F.coalesce(F.col(name).cast("string"), F.lit(""))
 
 
-def spaced(text: Column) -> Column:
-    """All white space of the contracts as blanks, none at the ends."""
-    return F.trim(F.translate(text, SPACES, " " * len(SPACES)))
-
-
 def words(text: Column) -> Column:
     """Words ``[^\\x20\\x09-\\x0D]+`` as an array; empty for a text without words."""
-    t = spaced(text)
-    return F.when(t == "", F.array().cast("array<string>")).otherwise(F.split(t, " +"))
+    return F.array_remove(F.split(text, WORD_GAPS), "")
 
 
 def word_count(text: Column) -> Column:
-    t = spaced(text)
-    return F.when(t == "", 0).otherwise(F.size(F.split(t, " +"))).cast("long")
-
-
-def lower_ascii(text: Column) -> Column:
-    return F.translate(text, UPPER, UPPER.lower())
+    return F.size(words(text)).cast("long")
 
 
 def crc_mod(id_col: str, n: int) -> Column:

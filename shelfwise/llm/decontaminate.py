@@ -16,7 +16,7 @@ Sketches and item sets are broadcast only if their measured bytes are small; oth
 that adaptive execution can split. No text is ever shuffled: a pass emits hits only, and those are combined before
 they move, so a passage in a third of all documents is no hot key.
 
-Words are ``[^\\x20\\x09-\\x0D]+`` after lower-casing A-Z. Items with fewer words than a shingle have no shingle and
+Words are ``[^\\x20\\x09-\\x0D]+`` after lower-casing. Items with fewer words than a shingle have no shingle and
 match nothing, likewise documents, null and empty texts included. Rows with one doc_id count as one document, rows
 with one item_id as one item; null identifiers are identifiers of their own. Other columns are not read.
 """
@@ -26,7 +26,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from shelfwise.llm.common import lower_ascii, text_or_empty, words
+from shelfwise.llm.common import text_or_empty, words
 from shelfwise.scale import broadcast_if_small, cut_lineage
 
 WIDTH = 5
@@ -39,7 +39,7 @@ def _shingle(width: int) -> Column:
 
 def _shingles(table: DataFrame, id_col: str, text_col: str, width: int, keep: str) -> DataFrame:
     """(id, hash, w, i): one row per shingle with its words' array and place, joined to text only where needed."""
-    w = table.select(F.col(id_col).alias(keep), words(lower_ascii(text_or_empty(text_col))).alias("w"))
+    w = table.select(F.col(id_col).alias(keep), words(F.lower(text_or_empty(text_col))).alias("w"))
     w = w.filter(F.size("w") >= width)
     at = w.select(keep, "w", F.explode(F.sequence(F.lit(1), F.size("w") - (width - 1))).alias("i"))
     parts = [F.element_at("w", F.col("i") + j) for j in range(width)]
