@@ -212,3 +212,14 @@ def near_dedup(
         F.coalesce(F.col("doc_id") == F.col("component_id"), F.col("component_id").isNull()).alias("kept"),
         F.hex("cls").alias("text_class"),
     )
+
+
+def deduplicated(docs: DataFrame, id_col: str = "doc_id", **options) -> DataFrame:
+    """One document of every group, with all columns; of rows that share an identifier one stays."""
+    report = cut_lineage(near_dedup(docs, id_col=id_col, **options).select(F.col("doc_id").alias("__id"), "kept"))
+    ids = cut_lineage(report.groupBy("__id").agg(F.max("kept").alias("kept"), F.count(F.lit(1)).alias("rows")))
+    drop = broadcast_if_small(ids.filter("not kept or rows > 1").select("__id"))
+    once = docs.join(drop, docs[id_col].eqNullSafe(drop["__id"]), "left_anti")
+    repeated = broadcast_if_small(ids.filter("kept and rows > 1").select("__id"))
+    more = docs.join(repeated, docs[id_col].eqNullSafe(repeated["__id"]), "left_semi").dropDuplicates([id_col])
+    return once.unionByName(more)

@@ -10,6 +10,8 @@ from shelfwise.llm.common import table
 from shelfwise.llm.decontaminate import containment
 from shelfwise.llm.exact_dedup import exact_dedup
 from shelfwise.llm.mixing import mix_report
+from shelfwise.llm.quality_lm import quality_report
+from shelfwise.llm.html_extract import extract
 from shelfwise.llm.warc import warc_report
 from shelfwise.llm.token_blocks import token_files
 from shelfwise.llm.toxicity import toxicity_report
@@ -51,9 +53,17 @@ def op5_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return warc_report(table(spark, sf_dir, "pages")).drop("complete")
 
 
+def op1_html_extract(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return extract(table(spark, sf_dir, "pages"))
+
+
+def op9_quality_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality_report(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 QUERIES: dict[str, Query] = {
     f.__name__: f
-    for f in (op5_warc, op4_token_blocks, op8_toxicity, op3_language_id, op6_near_dedup, op2_exact_dedup, op7_decontaminate, op10_mixing)
+    for f in (op9_quality_lm, op1_html_extract, op5_warc, op4_token_blocks, op8_toxicity, op3_language_id, op6_near_dedup, op2_exact_dedup, op7_decontaminate, op10_mixing)
 }
 
 ORACLE: dict[str, str] = {}
