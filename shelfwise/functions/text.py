@@ -65,6 +65,10 @@ def combined_text(title: Column, subtitle: Column) -> Column:
     return strip(F.concat(F.coalesce(title, F.lit("")), F.lit(" "), F.coalesce(subtitle, F.lit(""))))
 
 
+#: Fixed value: longest attribute value that counts as one.
+LONGEST_VALUE = 120
+
+
 def title_template(title: Column) -> Column:
     """Replace fractions, decimals, bare decimals and integers by placeholders."""
     t = F.coalesce(title, F.lit(""))
@@ -75,7 +79,7 @@ def title_template(title: Column) -> Column:
     return squeeze(t)
 
 
-def normalize_value(raw: Column, hint: Column) -> Column:
+def normalize_value(raw: Column, hint: Column, longest: int = LONGEST_VALUE) -> Column:
     """Clean a captured value by its hint; null when nothing plausible is left."""
     v = strip(raw)
     inches = strip(F.regexp_replace(v, r'(?iU)"|(?<!\w)in\.?(?!\w)|inches?', ""))
@@ -86,11 +90,12 @@ def normalize_value(raw: Column, hint: Column) -> Column:
         .when(hint == "text_lower", strip(F.lower(v)))
         .otherwise(v)
     )
-    return F.when(plausible(out), out)
+    return F.when(plausible(out, longest), out)
 
 
-def plausible(v: Column) -> Column:
-    return F.coalesce(F.length(v).between(1, 120), F.lit(False))
+def plausible(v: Column, longest: int = LONGEST_VALUE) -> Column:
+    """A value of at least one and at most ``longest`` characters."""
+    return F.coalesce(F.length(v).between(1, longest), F.lit(False))
 
 
 def common_prefix(a: Column, b: Column) -> Column:

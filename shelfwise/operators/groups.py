@@ -21,7 +21,6 @@ from shelfwise.scale import cut_lineage, number_rows, side_by_side, skew_join, s
 
 MIN_SIMILARITY = 0.7
 MIN_GROUP = 5
-CLIQUE_LIMIT = 30
 CHUNK_TITLES = 1000
 BLOCK = ["token", "band"]
 
@@ -96,7 +95,7 @@ def similar_pairs(items: DataFrame, min_sim: float = MIN_SIMILARITY, chunk_title
     return similar_title_edges(distinct_titles(block_items(items)), min_sim, False, chunk_titles)
 
 
-def connected_components(nodes: DataFrame, edges: DataFrame, max_rounds: int = 60) -> DataFrame:
+def connected_components(nodes: DataFrame, edges: DataFrame) -> DataFrame:
     """Smallest node of each component: neighbour minimum plus pointer jumping per round.
 
     ``nodes`` has ``node``; ``edges`` has ``u, v``. Minimum is combined map-side, labels are
@@ -106,7 +105,7 @@ def connected_components(nodes: DataFrame, edges: DataFrame, max_rounds: int = 6
     both = cut_lineage(edges.select(F.inline(F.array(F.struct("u", "v"), back))))
     degree = cut_lineage(both.groupBy("u").agg(F.count(F.lit(1)).alias("degree")))
     labels = nodes.select("node", F.col("node").alias("label"))
-    for _ in range(max_rounds):
+    while True:
         near = (
             skew_join(both, labels.withColumnRenamed("node", "u"), ["u"], degree, "degree")
             .groupBy(F.col("v").alias("node"))
@@ -123,11 +122,10 @@ def connected_components(nodes: DataFrame, edges: DataFrame, max_rounds: int = 6
         labels = skew_join(pulled, roots, ["label"], sizes, "n", "left").select(
             "node", F.coalesce("root", "label").alias("label")
         )
-    raise RuntimeError(f"components did not settle in {max_rounds} rounds")
 
 
 def _largest_clique(adj: dict[int, set[int]], nodes: set[int]) -> list[int]:
-    """Largest clique of a graph of at most CLIQUE_LIMIT nodes; ties go to the smallest sorted list."""
+    """Largest clique of a graph; ties go to the smallest sorted list."""
     best: list[int] = []
 
     def grow(chosen: list[int], pool: list[int]) -> None:
@@ -167,7 +165,7 @@ def _cliques(norms: list[str], min_sim: float, min_group: int) -> list[list[int]
 
 
 def clique_members(blocked_small: DataFrame, min_sim: float = MIN_SIMILARITY, min_group: int = MIN_GROUP) -> DataFrame:
-    """``(token, band, emission, pos)`` of the clique cover; input blocks hold at most 30 items."""
+    """``(token, band, emission, pos)`` of the clique cover. Exponential in a block's titles: a caller's choice."""
 
     def cover(blocks: Iterator[pd.Series]) -> Iterator[pd.Series]:
         for batch in blocks:
@@ -187,13 +185,13 @@ def group_members(
     items: DataFrame,
     min_sim: float = MIN_SIMILARITY,
     min_group: int = MIN_GROUP,
-    clique_limit: int = CLIQUE_LIMIT,
+    method: str = "component",
     chunk_titles: int = CHUNK_TITLES,
     rows_per_bucket: int | None = None,
 ) -> DataFrame:
     """Members of every group: ``group_no, group_id, method, pos, id, title, norm``.
 
-    Blocks up to ``clique_limit`` items are covered by cliques, larger ones by components.
+    ``method`` is ``component`` (linked titles) or ``clique`` (all titles alike), for blocks of any size.
     Groups are numbered by block, then by emission order.
     """
     min_group = max(2, min_group)
@@ -203,22 +201,21 @@ def group_members(
         skew_join(blocked.select("pos", "norm", *BLOCK), sizes.select(*BLOCK, "n_items"), BLOCK, sizes, "n_items")
     )
 
-    small = clique_members(sized.filter(F.col("n_items") <= clique_limit), min_sim, min_group).select(
-        *BLOCK, "emission", "pos", F.lit("clique").alias("method")
-    )
-
-    large = sized.filter(F.col("n_items") > clique_limit)
-    titles = cut_lineage(distinct_titles(large))
-    edges = similar_title_edges(titles, min_sim, True, chunk_titles)
-    labels = connected_components(titles.select(F.col("first_pos").alias("node")), edges)
-    labelled = titles.join(labels, titles["first_pos"] == labels["node"]).drop("node")
-    wide = labelled.groupBy("label").agg(F.sum("n_items").alias("total")).filter(F.col("total") >= min_group)
-    labelled = labelled.join(wide, "label", "left_semi")
-    comp = skew_join(
-        large.select(*BLOCK, "norm", "pos"), labelled.select("norm", "label", *BLOCK), BLOCK + ["norm"], titles, "n_items"
-    ).select(*BLOCK, F.col("label").alias("emission"), "pos", F.lit("component").alias("method"))
-
-    members = cut_lineage(small.unionByName(comp))
+    if method == "clique":
+        members = clique_members(sized, min_sim, min_group).select(*BLOCK, "emission", "pos", F.lit("clique").alias("method"))
+    elif method == "component":
+        titles = cut_lineage(distinct_titles(sized))
+        edges = similar_title_edges(titles, min_sim, True, chunk_titles)
+        labels = connected_components(titles.select(F.col("first_pos").alias("node")), edges)
+        labelled = titles.join(labels, titles["first_pos"] == labels["node"]).drop("node")
+        wide = labelled.groupBy("label").agg(F.sum("n_items").alias("total")).filter(F.col("total") >= min_group)
+        labelled = labelled.join(wide, "label", "left_semi")
+        members = skew_join(
+            sized.select(*BLOCK, "norm", "pos"), labelled.select("norm", "label", *BLOCK), BLOCK + ["norm"], titles, "n_items"
+        ).select(*BLOCK, F.col("label").alias("emission"), "pos", F.lit("component").alias("method"))
+    else:
+        raise ValueError(f"unknown method {method}")
+    members = cut_lineage(members)
     heads = members.groupBy(*BLOCK, "emission").agg(F.count(F.lit(1)).alias("item_count"))
     args = {} if rows_per_bucket is None else {"rows_per_bucket": rows_per_bucket}
     numbered = cut_lineage(number_rows(heads, [*BLOCK, "emission"], "group_no", start=0, **args))
@@ -257,12 +254,11 @@ def ungrouped(items: DataFrame, members: DataFrame) -> DataFrame:
     return items.join(members.select("pos"), "pos", "left_anti")
 
 
-def group_stats(items: DataFrame, members: DataFrame, min_group: int = MIN_GROUP, clique_limit: int = CLIQUE_LIMIT) -> DataFrame:
+def group_stats(items: DataFrame, members: DataFrame, min_group: int = MIN_GROUP, method: str = "component") -> DataFrame:
     """One row: items in, groups, grouped, ungrouped, and blocks per method."""
     sizes = block_sizes(block_items(items)).agg(
         F.coalesce(F.sum("n_items"), F.lit(0)).alias("items_in"),
-        F.count_if((F.col("n_items") >= min_group) & (F.col("n_items") <= clique_limit)).alias("clique_blocks"),
-        F.count_if((F.col("n_items") >= min_group) & (F.col("n_items") > clique_limit)).alias("component_blocks"),
+        *[F.count_if((F.col("n_items") >= min_group) & F.lit(method == m)).alias(f"{m}_blocks") for m in ("clique", "component")],
     )
     grouped = members.groupBy("group_id").agg(F.count(F.lit(1)).alias("n")).agg(
         F.count(F.lit(1)).alias("groups_emitted"), F.coalesce(F.sum("n"), F.lit(0)).alias("items_in_groups")

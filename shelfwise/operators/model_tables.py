@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 
 from shelfwise.functions import text as tx
 from shelfwise.operators.extraction import VALUE_COLUMNS
-from shelfwise.scale import BROADCAST_BYTES, broadcast_if_small, number_rows, side_by_side
+from shelfwise.scale import broadcast_if_small, number_rows, side_by_side
 
 PAIRS_PER_BATCH = 100
 ITEMS_PER_BATCH = 25
@@ -73,14 +73,15 @@ def pair_requests(pairs: DataFrame, size: int = PAIRS_PER_BATCH) -> DataFrame:
     """``(batch_no, n_rows, lines)``: one line per word pair."""
     rows = (
         pairs.withColumn("batch_no", F.expr(f"pair_no div {int(size)}"))
-        .withColumn("line", F.format_string("- [%s, %s]", "w1", "w2"))
+        .withColumn("line", F.to_json(F.array("w1", "w2")))
     )
     return joined_lines(rows, ["batch_no"], "pair_no", "line")
 
 
 def leaf_requests(items: DataFrame, size: int = ITEMS_PER_BATCH, **kw) -> DataFrame:
-    """``(batch_no, n_rows, lines)``: one line per item to place on a leaf."""
-    line = F.format_string("- id=%s title=%s subtitle=%s", "id", F.coalesce("title", F.lit("")), F.coalesce("subtitle", F.lit("")))
+    """``(batch_no, n_rows, lines)``: one JSON object per item to place on a leaf."""
+    text = lambda c: F.coalesce(c, F.lit("")).alias(c)
+    line = F.to_json(F.struct("id", text("title"), text("subtitle")))
     rows = batch_rows(items.select("pos", "id", line.alias("line")), ["pos"], size, **kw)
     return joined_lines(rows, ["batch_no"], "slot", "line")
 
@@ -120,12 +121,11 @@ def attribute_requests(
 
 def value_requests(items: DataFrame, attributes: DataFrame, size: int = VALUES_PER_BATCH, **kw) -> DataFrame:
     """``(leaf_path, batch_no, n_rows, schema_lines, lines)``: one leaf per batch."""
-    unit = F.when(F.coalesce("unit", F.lit("")) != "", F.concat(F.lit(" (unit: "), "unit", F.lit(")"))).otherwise("")
-    schema_line = F.concat(F.col("key"), F.lit(": "), "label", unit, F.lit(" ["), "value_type", F.lit("]"))
+    schema_line = F.to_json(F.struct("key", "label", F.coalesce("unit", F.lit("")).alias("unit"), "value_type"))
     schema = attributes.groupBy("leaf_path").agg(
         F.array_join(F.array_sort(F.collect_list(F.struct("attr_seq", schema_line.alias("l"))))["l"], "\n").alias("schema_lines")
     )
-    line = F.concat(F.lit("item_id="), "item_id", F.lit(" title="), "title")
+    line = F.to_json(F.struct("item_id", "title"))
     rows = batch_rows(
         items.select("pos", "item_id", "leaf_path", line.alias("line")), ["pos"], size, within=["leaf_path"], **kw
     )
@@ -172,11 +172,15 @@ def call_model(
     return rows.mapInPandas(run, schema)
 
 
-def check_context(text: str, max_bytes: int = BROADCAST_BYTES) -> str:
-    """A leaf or category list sent with every prompt must stay below a fixed size."""
-    if len(text.encode()) > max_bytes:
-        raise ValueError("model context exceeds the bound; narrow the category list")
-    return text
+def with_context(requests: DataFrame, choices: DataFrame, fields: list[str], order: str) -> DataFrame:
+    """Requests with ``context``: the choices an answer may use, one JSON object per line in ``order``.
+
+    The list goes into every prompt, so it is as large as the model reads; it is made once and broadcast if small.
+    """
+    one = F.struct(F.col(order).alias("o"), F.to_json(F.struct(*fields)).alias("l"))
+    listed = choices.agg(F.array_join(F.array_sort(F.collect_list(one))["l"], "\n").alias("context"))
+    both = requests.withColumn("__k", F.lit(0)).join(broadcast_if_small(listed.withColumn("__k", F.lit(0))), "__k")
+    return both.drop("__k")
 
 
 # ---------------------------------------------------------------- responses
@@ -279,7 +283,7 @@ def still_unmatched(pool: DataFrame, decided_ids: DataFrame, kept: DataFrame) ->
 PATTERN_TYPE = "template: string, regex: string, value_normalize: string"
 UNIT_TYPE = "symbol: string, name: string, description: string, value_type: string"
 ATTRIBUTE_TYPE = (
-    "struct<key: string, label: string, description: string, value_type: string, unit_required: boolean, "
+    "struct<key: string, label: string, description: string, value_type: string, unit_required: string, "
     f"unit: struct<{UNIT_TYPE}>, patterns: array<struct<{PATTERN_TYPE}>>>"
 )
 SCHEMA_ANSWER = f"categories array<struct<path: string, attributes: array<{ATTRIBUTE_TYPE}>>>"
@@ -314,7 +318,9 @@ def attribute_schema(responses: DataFrame) -> tuple[DataFrame, DataFrame, DataFr
     attributes = current.select(
         "leaf_path", "attr_seq", blank("a.key").alias("key"), blank("a.label").alias("label"),
         blank("a.description").alias("description"), F.coalesce("a.value_type", F.lit("text")).alias("value_type"),
-        F.coalesce("a.unit_required", F.lit(False)).alias("unit_required"), F.col("symbol").alias("unit"),
+        # any answer but an empty, false or zero one counts as true
+        (~F.lower(F.trim(F.coalesce("a.unit_required", F.lit("")))).isin("", "false", "0", "null", "[]", "{}")).alias("unit_required"),
+        F.col("symbol").alias("unit"),
     )
     patterns = current.select("leaf_path", blank("a.key").alias("key"), F.posexplode("a.patterns").alias("seq", "p")).select(
         "leaf_path", "key", "seq", blank("p.template").alias("template"), blank("p.regex").alias("regex"),

@@ -166,6 +166,13 @@ def resolve_values(values: DataFrame, attribute_ids: DataFrame, unit_ids: DataFr
     )
 
 
+def skipped_values(resolved: DataFrame) -> DataFrame:
+    """Rows that cannot be published, with the first reason."""
+    empty = lambda c: F.coalesce(c, F.lit("")) == ""
+    why = F.when(F.col("attribute_id").isNull(), "attribute").when(empty("item_id"), "item").when(empty("value"), "value")
+    return resolved.filter(~F.col("ok")).select("item_id", "attribute_id", "value", why.alias("missing"))
+
+
 def publish_values(resolved: DataFrame, target: DataFrame) -> DataFrame:
     return insert_absent(resolved.filter("ok").drop("ok"), target, ["item_id", "attribute_id", "value"])
 

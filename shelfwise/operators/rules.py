@@ -261,7 +261,7 @@ def trigger_stats(ranked: DataFrame) -> DataFrame:
         F.max(-F.col("t.neg")).alias("max_confidence"),
         F.array_join(F.array_sort(F.collect_set("t.source")), ",").alias("sources"),
         F.min_by(F.concat_ws(" ", "t.w1", "t.w2"), seen).alias("display"),
-    )
+    ).orderBy(F.desc("trigger_count"), "w_low", "w_high")
 
 
 def result_document(items: DataFrame, ranked: DataFrame) -> DataFrame:

@@ -12,11 +12,10 @@ from pyspark.sql import functions as F
 from shelfwise.functions import text as tx
 from shelfwise.scale import cut_lineage
 
-MAX_LEVELS = 64
 SEP = "\u0001"
 
 
-def flatten_tree(tree: DataFrame, max_levels: int = MAX_LEVELS, keep_key: bool = False) -> DataFrame:
+def flatten_tree(tree: DataFrame, keep_key: bool = False) -> DataFrame:
     """Flatten ``tree(node_key, parent_key, slug, display_name, sib)`` level by level.
 
     Nodes without a slug are left out together with everything below them.
@@ -38,7 +37,12 @@ def flatten_tree(tree: DataFrame, max_levels: int = MAX_LEVELS, keep_key: bool =
     )
     level = cut_lineage(level)
     levels = [level]
-    for depth in range(1, max_levels + 1):
+    n_nodes = tree.count()
+    depth = 0
+    while True:
+        depth += 1
+        if depth > n_nodes:  # a path longer than the number of nodes repeats a node
+            raise ValueError("the tree is cyclic")
         level = cut_lineage(
             children.join(level.select("node_key", "path", "ord"), "node_key").select(
                 F.col("child_key").alias("node_key"),
@@ -53,8 +57,6 @@ def flatten_tree(tree: DataFrame, max_levels: int = MAX_LEVELS, keep_key: bool =
         if level.isEmpty():
             break
         levels.append(level)
-    else:
-        raise ValueError(f"tree deeper than {max_levels} levels, or cyclic")
     out = levels[0]
     for more in levels[1:]:
         out = out.unionByName(more)
@@ -156,22 +158,20 @@ def maximal_paths(rows: DataFrame, keys: list[str], path: str = "path") -> DataF
 def search_leaves(leaf_rows: DataFrame, terms: DataFrame) -> DataFrame:
     """Leaves whose ``path slug name`` contains the query; ``narrow`` filters hits further.
 
-    ``terms(query, narrow)`` is a small literal list; an empty query finds nothing, an empty
-    narrowing keeps all hits. A substring predicate has no equi-key, so the leaf table is
-    scanned once with the terms (checked to be few) folded into each row.
+    ``terms(query, narrow)`` may be of any length; an empty query finds nothing, an empty narrowing keeps all hits.
+    A leaf text is cut to its distinct pieces of one to three letters; a query meets the leaves that hold its first
+    three letters (all of a shorter one), and ``contains`` decides.
     """
-    listed = [(r["query"], r["narrow"]) for r in terms.limit(1001).collect()]
-    if len(listed) > 1000:
-        raise ValueError("search at most 1000 terms at once")
+    clean = lambda c: F.lower(tx.strip(F.coalesce(c, F.lit(""))))
     hay = F.lower(F.concat_ws(" ", "leaf_path", "leaf_slug", "display_name"))
-    packed = F.array(*[F.struct(F.lit(q).alias("query"), F.lit(n).alias("narrow")) for q, n in listed])
-    clean = lambda c: F.lower(tx.strip(c))
-    hit = lambda t: (clean(t["query"]) != "") & F.contains(F.col("hay"), clean(t["query"])) & F.contains(
-        F.col("hay"), clean(t["narrow"])
+    cuts = F.transform(F.sequence(F.lit(1), F.length("hay")), lambda i: F.array(*[F.substring(F.col("hay"), i, F.lit(k)) for k in (1, 2, 3)]))
+    leaf_pieces = leaf_rows.withColumn("hay", hay).filter(F.col("hay") != "").withColumn("piece", F.explode(F.array_distinct(F.flatten(cuts))))
+    asked = terms.withColumn("q", clean("query")).withColumn("more", clean("narrow")).filter("q <> ''").withColumn("piece", F.left("q", F.lit(3)))
+    return (
+        leaf_pieces.join(asked, "piece")
+        .filter(F.contains("hay", F.col("q")) & F.contains("hay", F.col("more")))
+        .select("query", "narrow", "leaf_path", "leaf_slug", "display_name")
     )
-    return leaf_rows.withColumn("hay", hay).select(
-        F.explode(F.filter(packed, hit)).alias("t"), "leaf_path", "leaf_slug", "display_name"
-    ).select("t.query", "t.narrow", "leaf_path", "leaf_slug", "display_name")
 
 
 def insert_leaves(nodes: DataFrame, proposals: DataFrame) -> DataFrame:

@@ -8,6 +8,7 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 from collections.abc import Sequence
 
@@ -29,7 +30,7 @@ def ensure_checkpoint_dir(spark: SparkSession) -> None:
         return
     if configured:
         sc.setCheckpointDir(configured)
-    elif sc.master.startswith("local"):
+    elif re.match(r"local(\[|$)", sc.master):  # tests and trials on one machine
         sc.setCheckpointDir(tempfile.mkdtemp(prefix="shelfwise-ckpt-"))
     else:
         raise RuntimeError("set spark.checkpoint.dir to a shared folder")

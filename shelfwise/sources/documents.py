@@ -1,13 +1,15 @@
 """Readers for catalog, result, rule, keyword, schema and tree documents.
 
-Schemas are explicit. A document may be a bare JSON array or an object that wraps the array.
+A document may be a bare JSON array or an object that wraps the array; it is one file and one task. Catalogs that
+are too large for that are read from JSON lines or parquet. Broken files raise, elements that are no objects are
+dropped one by one.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from shelfwise.operators import taxonomy
@@ -26,21 +28,60 @@ def valid_items(raw: DataFrame) -> DataFrame:
     ).filter(F.col("id").isNotNull())
 
 
-def _rows(spark: SparkSession, path: str | Sequence[str], row: str, wrappers: Sequence[str]) -> DataFrame:
-    """Array elements in file order; the first wrapper field that is present wins."""
-    fields = [f.strip().split(" ")[0] for f in row.split(", ")]
-    schema = row + "".join(f", {w} array<struct<{', '.join(p.replace(' ', ': ', 1) for p in row.split(', '))}>>" for w in wrappers)
-    read = spark.read.schema(schema).option("multiLine", True).option("mode", "PERMISSIVE").json(path)
-    placed = read.select("*", F.col("_metadata.file_path").alias("__f"), F.monotonically_increasing_id().alias("__m"))
-    bare = F.array(F.struct(*fields))
-    wrapped = F.coalesce(*[F.col(w) for w in wrappers], bare) if wrappers else bare
-    return placed.select("__f", "__m", F.posexplode(wrapped).alias("__i", "r")).select("__f", "__m", "__i", "r.*")
+def _kind(v: Column) -> Column:
+    return F.schema_of_variant(v)
+
+
+def _fields(elements: DataFrame, keep: Sequence[str], row: str) -> DataFrame:
+    """Fields of the objects in the VARIANT column ``v``; other elements are dropped one by one.
+
+    An identifier counts only if it is a JSON string; other fields are read as text.
+    """
+    names = [f.strip().split(" ")[0] for f in row.split(", ")]
+    objects = elements.filter(F.startswith(_kind(F.col("v")), F.lit("OBJECT")))
+    out = []
+    for name in names:
+        text = F.try_variant_get("v", f"$.{name}", "string")
+        if name in ("id", "item_id"):
+            text = F.when(_kind(F.try_variant_get("v", f"$.{name}", "variant")) == "STRING", text)
+        out.append(text.alias(name))
+    return objects.select(*keep, *out)
+
+
+def _elements(spark: SparkSession, path: str | Sequence[str], wrappers: Sequence[str]) -> DataFrame:
+    """(file, at, v): array elements in file order; the first wrapper field that is an array wins, a bare object is
+    one element. A file that is not whole JSON raises."""
+    text = spark.read.text(path, wholetext=True).select(F.col("_metadata.file_path").alias("__f"), F.parse_json("value").alias("doc"))
+    array = lambda p: F.try_variant_get("doc", p, "array<variant>")
+    single = F.when(F.startswith(_kind(F.col("doc")), F.lit("OBJECT")), F.array("doc"))
+    found = F.coalesce(array("$"), *[array(f"$.{w}") for w in wrappers], single)
+    return text.select("__f", F.posexplode(found).alias("__i", "v"))
 
 
 def read_rows(spark: SparkSession, path, row: str, wrappers: Sequence[str] = ("matched_items", "items")) -> DataFrame:
     """Rows of a result document with ``pos`` fixed once, by file and place in the file."""
-    rows = cut_lineage(_rows(spark, path, row, wrappers))
-    return number_rows(rows, ["__f", "__m", "__i"], "pos", start=0).drop("__f", "__m", "__i")
+    rows = cut_lineage(_fields(_elements(spark, path, wrappers), ["__f", "__i"], row))
+    return number_rows(rows, ["__f", "__i"], "pos", start=0).drop("__f", "__i")
+
+
+def read_item_lines(spark: SparkSession, path) -> DataFrame:
+    """Item catalog with one JSON object per line: files are split, so a catalog of any size is read in parallel.
+
+    Lines that are no JSON raise, lines that are no object are dropped.
+    """
+    lines = spark.read.text(path).filter(F.trim("value") != "")
+    placed = lines.select(F.col("_metadata.file_path").alias("__f"), F.monotonically_increasing_id().alias("__i"), F.parse_json("value").alias("v"))
+    rows = cut_lineage(_fields(placed, ["__f", "__i"], ITEM))
+    return valid_items(number_rows(rows, ["__f", "__i"], "pos", start=0).drop("__f", "__i"))
+
+
+def read_item_table(spark: SparkSession, path) -> DataFrame:
+    """Item catalog from parquet; absent columns are null, only the item's columns are read."""
+    table = spark.read.parquet(path)
+    names = [f.split(" ")[0] for f in ITEM.split(", ")]
+    columns = [F.col(n).cast("string").alias(n) if n in table.columns else F.lit(None).cast("string").alias(n) for n in names]
+    rows = cut_lineage(table.select(F.col("_metadata.file_path").alias("__f"), F.monotonically_increasing_id().alias("__i"), *columns))
+    return valid_items(number_rows(rows, ["__f", "__i"], "pos", start=0).drop("__f", "__i"))
 
 
 def read_items(spark: SparkSession, path, wrappers: Sequence[str] = ("items", "unmatched_items")) -> DataFrame:
@@ -63,17 +104,22 @@ def two_sides(docs: DataFrame, title: str, subtitle: str, keep: Sequence[str] =
 
 def read_keywords(spark: SparkSession, path) -> DataFrame:
     word = "array<struct<word: string, item_count: bigint>>"
-    docs = spark.read.schema(f"title {word}, subtitle {word}").option("multiLine", True).json(path)
+    docs = spark.read.schema(f"title {word}, subtitle {word}").option("multiLine", True).option("mode", "FAILFAST").json(path)
     return two_sides(docs, "title", "subtitle").select("side", "word", "item_count", (F.col("seq") + 1).alias("rank"))
 
 
 def read_rules(spark: SparkSession, path) -> DataFrame:
     rule = "array<struct<" + ", ".join(p.replace(" ", ": ", 1) for p in PAIR.split(", ")) + ">>"
     schema = f"taxonomy_depth int, title_bigrams {rule}, subtitle_bigrams {rule}"
-    docs = spark.read.schema(schema).option("multiLine", True).json(path)
-    flat = two_sides(docs, "title_bigrams", "subtitle_bigrams", ["taxonomy_depth"])
+    docs = spark.read.schema(schema).option("multiLine", True).option("mode", "FAILFAST").json(path)
+    docs = docs.withColumn("__f", F.col("_metadata.file_path"))
+    # files by name; a file's number goes before the place in it, so "last wins" is the same in every run
+    names = docs.select("__f").distinct()
+    numbers = names.withColumn("file_no", F.row_number().over(Window.partitionBy(F.lit(1)).orderBy("__f")) - 1)
+    flat = two_sides(docs, "title_bigrams", "subtitle_bigrams", ["taxonomy_depth", "__f"])
+    flat = flat.join(F.broadcast(numbers), "__f").withColumn("seq", F.col("seq") + F.col("file_no") * (1 << 32))
     return flat.select(
-        F.col("taxonomy_depth").alias("depth"), "side", F.get("bigram", F.lit(0)).alias("w1"), F.get("bigram", F.lit(1)).alias("w2"),
+        F.col("taxonomy_depth").alias("depth"), "file_no", "side", F.get("bigram", F.lit(0)).alias("w1"), F.get("bigram", F.lit(1)).alias("w2"),
         F.col("suggested_parent_category_slug").alias("category_slug"), "confidence", "source", "seq",
     )
 
@@ -101,14 +147,14 @@ SCHEMA_DOC = (
 
 
 def read_attribute_schema(spark: SparkSession, path) -> tuple[DataFrame, DataFrame, DataFrame]:
-    return schema_tables(spark.read.schema(SCHEMA_DOC).option("multiLine", True).json(path))
+    return schema_tables(spark.read.schema(SCHEMA_DOC).option("multiLine", True).option("mode", "FAILFAST").json(path))
 
 
 # Keys of the three root categories, in their order.
 ROOT_KEYS = ("materials", "tools_and_gear", "services")
 
 
-def tree_rows(docs: DataFrame, roots: Sequence[str] = ROOT_KEYS, max_levels: int = taxonomy.MAX_LEVELS) -> DataFrame:
+def tree_rows(docs: DataFrame, roots: Sequence[str] = ROOT_KEYS) -> DataFrame:
     """Adjacency rows of a nested category document in the column ``value``.
 
     The nesting has no fixed depth, so it is unfolded level by level as VARIANT.
@@ -118,7 +164,7 @@ def tree_rows(docs: DataFrame, roots: Sequence[str] = ROOT_KEYS, max_levels: int
         F.col("n.slug").alias("node_key"), F.lit(None).cast("string").alias("parent_key"), F.col("n.slug").alias("slug"), "i", F.col("n.v").alias("v")
     ).filter(F.col("v").isNotNull() & F.startswith(F.schema_of_variant("v"), F.lit("OBJECT")))
     out = None
-    for _ in range(max_levels):
+    while True:
         level = cut_lineage(
             level.withColumn("display_name", F.try_variant_get("v", "$.display_name", "string"))
             .withColumn("kids", F.try_variant_get("v", "$.subcategories", "array<variant>"))

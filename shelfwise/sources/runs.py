@@ -68,9 +68,11 @@ def taxonomy_of_run(runs: DataFrame, default: str) -> DataFrame:
     return runs.select("run_id", F.coalesce(F.nullif(tx.strip(F.col("taxonomy_version")), F.lit("")), F.lit(default)).alias("taxonomy_version"))
 
 
-def input_fingerprint(files: DataFrame) -> DataFrame:
-    """16 hex digits over path, size and change time of every input file; per-file, from metadata only."""
-    meta = files.select("_metadata.file_path", "_metadata.file_size", "_metadata.file_modification_time").distinct()
+def input_fingerprint(spark: SparkSession, path: str) -> DataFrame:
+    """16 hex digits over path, size and change time of every input file; one row per file, contents are not read."""
+    meta = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(path).select(
+        F.col("path").alias("file_path"), F.col("length").alias("file_size"), F.col("modificationTime").alias("file_modification_time")
+    )
     return meta.select(
         "file_path", "file_size",
         F.left(F.sha2(F.concat_ws("|", "file_path", "file_size", "file_modification_time"), 256), F.lit(16)).alias("fingerprint"),
@@ -78,9 +80,12 @@ def input_fingerprint(files: DataFrame) -> DataFrame:
 
 
 def write_run(df: DataFrame, base: str, table: str, env: str, run_id: str, fmt: str = "parquet", by: tuple[str, ...] = ()) -> None:
-    """One table of a run; ``by`` adds partition columns (one folder per category, for example)."""
+    """One table of a run; ``by`` adds partition columns (one folder per category, for example).
+
+    Writing a run again replaces it: only the partitions that are written change.
+    """
     tagged = df.withColumn("env", F.lit(env or "unset")).withColumn("run_id", F.lit(run_id))
-    tagged.write.mode("append").partitionBy("env", "run_id", *by).format(fmt).save(f"{base}/{table}")
+    tagged.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("env", "run_id", *by).format(fmt).save(f"{base}/{table}")
 
 
 def write_summary(spark: SparkSession, base: str, env: str, run_id: str, step: str, counts: DataFrame, **extra: str) -> None:
@@ -89,7 +94,7 @@ def write_summary(spark: SparkSession, base: str, env: str, run_id: str, step: s
     flat = counts.select(F.inline(F.array(*[F.struct(F.lit(c).alias("name"), F.col(c).cast("string").alias("value")) for c in names])))
     for k, v in extra.items():
         flat = flat.unionByName(spark.createDataFrame([(k, v)], "name string, value string"))
-    write_run(flat.withColumn("step", F.lit(step)), base, "run_summary", env, run_id)
+    write_run(flat.withColumn("step", F.lit(step)), base, "run_summary", env, run_id, by=("step",))
 
 
 def read_run(spark: SparkSession, base: str, table: str, env: str, run_id: str) -> DataFrame:

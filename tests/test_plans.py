@@ -1,4 +1,4 @@
-import re
+import json
 
 from pyspark.sql import functions as F
 
@@ -18,7 +18,10 @@ def test_whole_run(spark, sf):
     leaf = taxonomy.leaves(nodes, with_catch_all=False).first()["leaf_path"]
 
     def answer(prompt):
-        ids = re.findall(r"^- id=(\S+)", prompt, re.M)
+        given, _, asked = prompt.partition("\nItems:\n")
+        leaves = [json.loads(x)["leaf_path"] for x in given.split("\n")[1:]]
+        assert leaf in leaves
+        ids = [json.loads(x)["id"] for x in asked.split("\n")]
         return "[" + ", ".join(f'{{"id": "{i}", "leaf_path": "{leaf}", "confidence": 0.95}}' for i in ids) + "]"
 
     taken = by_group.select("id").unionByName(by_rule.select("id"))

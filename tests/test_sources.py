@@ -22,6 +22,53 @@ def test_items(spark, tmp_path, wrap):
     assert [r.pos for r in got] == sorted({r.pos for r in got})
 
 
+@pytest.mark.parametrize("wrap", [lambda r: r, lambda r: {"items": r}])
+def test_one_bad_element_drops_alone(spark, tmp_path, wrap):
+    rows = [{"id": "a"}, "str", 5, None, [1], {"id": 7}, {"id": True, "item_id": "b"}, {"id": "c", "title": 3}]
+    got = documents.read_items(spark, dump(tmp_path / "i.json", wrap(rows))).orderBy("pos").collect()
+    assert [(r.id, r.title) for r in got] == [("a", ""), ("b", ""), ("c", "3")]
+
+
+def test_a_cut_file_raises(spark, tmp_path):
+    (tmp_path / "i.json").write_text('[{"id": "a"}, {"id": "b"')
+    with pytest.raises(Exception, match="MALFORMED|parse"):
+        documents.read_items(spark, str(tmp_path / "i.json")).count()
+
+
+def test_item_lines_and_tables(spark, tmp_path):
+    (tmp_path / "i.jsonl").write_text("\n".join(json.dumps(r) for r in [*ROWS, 5, "x"]))
+    got = documents.read_item_lines(spark, str(tmp_path / "i.jsonl")).orderBy("pos").collect()
+    assert [(r.id, r.title, r.subtitle) for r in got] == [("a", "T1", ""), ("b", "", "s"), ("c", "T3", "")]
+    spark.createDataFrame([("a", "T1", 1), (None, "T2", 2)], "id string, title string, extra int").coalesce(1).write.parquet(str(tmp_path / "t"))
+    assert [(r.id, r.title) for r in documents.read_item_table(spark, str(tmp_path / "t")).collect()] == [("a", "T1")]
+
+
+def test_rule_files_are_numbered(spark, tmp_path):
+    rule = {"bigram": ["a", "b"], "suggested_parent_category_slug": "s", "confidence": 1.0, "source": "t"}
+    for name in ("r1.json", "r2.json"):
+        dump(tmp_path / name, {"taxonomy_depth": 2, "title_bigrams": [rule], "subtitle_bigrams": []})
+    got = sorted((r.file_no, r.seq) for r in documents.read_rules(spark, str(tmp_path / "r*.json")).collect())
+    assert got == [(0, 0), (1, 1 << 32)]
+
+
+def test_deep_trees_are_read_whole(spark, tmp_path):
+    tree = {"slug": "n0"}
+    for k in range(1, 12):
+        tree = {"slug": f"n{k}", "subcategories": [tree]}
+    nodes = documents.read_tree(spark, dump(tmp_path / "t.json", {"services": {"subcategories": [tree]}}))
+    assert nodes.count() == 13 and nodes.agg(F.max("depth")).first()[0] == 12
+    rows = [("r", None, "r", "R", "0"), ("a", "r", "a", "A", "0"), ("a", "b", "a", "A", "0"), ("b", "a", "b", "B", "0")]
+    with pytest.raises(ValueError, match="cyclic"):
+        taxonomy.flatten_tree(spark.createDataFrame(rows, "node_key string, parent_key string, slug string, display_name string, sib string"))
+
+
+def test_a_run_written_again_replaces_itself(spark, tmp_path):
+    df = spark.createDataFrame([(1,), (2,)], "v long")
+    for run in ("r1", "r2", "r1"):
+        runs.write_run(df, str(tmp_path), "t", "dev", run)
+    assert spark.read.parquet(str(tmp_path / "t")).count() == 4
+
+
 def test_rules_keywords_and_schema(spark, tmp_path):
     rule = {"bigram": ["a", "b"], "suggested_parent_category_slug": "s", "confidence": 1.0, "source": "t"}
     got = documents.read_rules(spark, dump(tmp_path / "r.json", {"taxonomy_depth": 2, "title_bigrams": [rule], "subtitle_bigrams": [rule, rule]}))
@@ -64,7 +111,7 @@ def test_runs_round_trip(spark, tmp_path):
     runs.require_source(registry, "r1", "s1")
     with pytest.raises(ValueError):
         runs.require_source(registry, "r1", "s2")
-    assert len(runs.input_fingerprint(spark.read.parquet(base + "/matched")).first()["fingerprint"]) == 16
+    assert len(runs.input_fingerprint(spark, base + "/matched").first()["fingerprint"]) == 16
 
 
 def test_model_call_retries(spark):

@@ -272,11 +272,6 @@ def block_sizes(spark, d):
     return groups.block_sizes(groups.block_items(view(spark, d, "items")))
 
 
-@query
-def similar_pairs(spark, d):
-    return groups.similar_pairs(view(spark, d, "items"))
-
-
 @query
 def similar_groups(spark, d):
     return groups.group_members(view(spark, d, "items")).select("group_id", "method", "id")
@@ -553,13 +548,18 @@ def all_values(spark, d):
 # ---------------------------------------------------------------- model requests and answers
 @query
 def model_requests_leaf(spark, d):
-    return model_tables.leaf_requests(view(spark, d, "items"))
+    """Item requests with the leaves an answer may name."""
+    leaf_rows = taxonomy.leaves(nodes_of(spark, d), with_catch_all=False)
+    requests = model_tables.leaf_requests(view(spark, d, "items"))
+    return model_tables.with_context(requests, leaf_rows, ["leaf_path", "display_name"], "ord")
 
 
 @query
 def model_requests_pairs(spark, d):
-    kw = keywords.keyword_counts(view(spark, d, "items")).filter("side = 'title'")
-    return model_tables.pair_requests(model_tables.all_pairs(cut_lineage(keywords.ranked_keywords(kw))))
+    """Pairs that occur together in items, in list order."""
+    items = view(spark, d, "items")
+    ranked = keywords.ranked_pairs(cut_lineage(keywords.frequent_pairs(items, vocabulary_of(items))))
+    return model_tables.pair_requests(ranked.withColumn("pair_no", F.col("rank") - 1))
 
 
 @query
@@ -626,13 +626,6 @@ def model_unmatched(spark, d):
     return model_tables.still_unmatched(items, strict_triggers(spark, d).filter("phase = 2").select("id"), kept).select("id")
 
 
-@query
-def model_call(spark, d):
-    """A deterministic stand-in model: answers with the number of lines and characters."""
-    requests = model_tables.leaf_requests(view(spark, d, "items").select("pos", "id", "title", F.lit("").alias("subtitle")))
-    return model_tables.call_model(requests, F.col("lines"), ["batch_no"], lambda text: f"{text.count(chr(10)) + 1}/{len(text)}")
-
-
 # ---------------------------------------------------------------- publishing
 @query
 def first_store(spark, d):
@@ -772,13 +765,6 @@ def run_taxonomy(spark, d):
     return runs.taxonomy_of_run(view(spark, d, "runs"), "categories_default")
 
 
-@query
-def input_fingerprint(spark, d):
-    from shelfwise.sources import runs
-
-    return runs.input_fingerprint(spark.read.parquet(f"{d}/lineitem.parquet"))
-
-
 # ---------------------------------------------------------------- documents and previews
 @query
 def match_document(spark, d):

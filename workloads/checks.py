@@ -284,8 +284,8 @@ check(
 GROUPS = BLOCKED + """,
 sized AS (SELECT *, count(*) OVER (PARTITION BY token, band) AS k FROM blocked),
 heads AS (SELECT token, band, norm, k, count(*) AS item_count, min(pos) AS first_pos FROM sized GROUP BY ALL HAVING count(*) >= 5),
-numbered AS (SELECT *, 'g_' || lpad((row_number() OVER (ORDER BY token, band, CASE WHEN k <= 30 THEN -item_count ELSE 0 END, first_pos) - 1)::VARCHAR, 6, '0') AS group_id,
-    CASE WHEN k <= 30 THEN 'clique' ELSE 'component' END AS method FROM heads),
+numbered AS (SELECT *, 'g_' || lpad((row_number() OVER (ORDER BY token, band, first_pos) - 1)::VARCHAR, 6, '0') AS group_id,
+    'component' AS method FROM heads),
 members AS (SELECT b.*, n.group_id, n.method FROM blocked b JOIN numbered n ON n.token = b.token AND n.band = b.band AND n.norm = b.norm)"""
 check("equal_groups", "SELECT group_id, method, id FROM members", "items", ctes=GROUPS)
 check(
@@ -297,8 +297,8 @@ check(
 )
 check(
     "group_stats",
-    """SELECT (SELECT count(*) FROM items) AS items_in, (SELECT count(DISTINCT (token, band)) FROM sized WHERE k BETWEEN 5 AND 30) AS clique_blocks,
-       (SELECT count(DISTINCT (token, band)) FROM sized WHERE k > 30) AS component_blocks, (SELECT count(*) FROM numbered) AS groups_emitted,
+    """SELECT (SELECT count(*) FROM items) AS items_in, 0 AS clique_blocks,
+       (SELECT count(DISTINCT (token, band)) FROM sized WHERE k >= 5) AS component_blocks, (SELECT count(*) FROM numbered) AS groups_emitted,
        (SELECT count(*) FROM members) AS items_in_groups, (SELECT count(*) FROM items) - (SELECT count(*) FROM members) AS items_ungrouped""",
     "items", ctes=GROUPS,
 )
@@ -504,15 +504,17 @@ check(
 # ---------------------------------------------------------------- model tables
 check(
     "model_requests_leaf",
-    r"""SELECT n // 25 AS batch_no, count(*) AS n_rows, string_agg('- id=' || id || ' title=' || title || ' subtitle=' || subtitle, chr(10) ORDER BY n) AS lines
-       FROM (SELECT *, row_number() OVER (ORDER BY pos) - 1 AS n FROM items) GROUP BY 1""",
-    "items",
+    r"""SELECT n // 25 AS batch_no, count(*) AS n_rows, string_agg(to_json({'id': id, 'title': title, 'subtitle': subtitle})::VARCHAR, chr(10) ORDER BY n) AS lines, any_value(context) AS context
+       FROM (SELECT *, row_number() OVER (ORDER BY pos) - 1 AS n FROM items),
+         (SELECT string_agg(to_json({'leaf_path': path, 'display_name': display_name})::VARCHAR, chr(10) ORDER BY ord) AS context FROM nodes WHERE is_leaf AND depth > 0 AND NOT is_catch_all)
+       GROUP BY 1""",
+    "items", "tree", ctes=NODES,
 )
 check(
     "model_requests_pairs",
-    """SELECT n // 100 AS batch_no, count(*) AS n_rows, string_agg('- [' || w1 || ', ' || w2 || ']', chr(10) ORDER BY n) AS lines FROM (
-        SELECT a.word AS w1, b.word AS w2, row_number() OVER (ORDER BY a.r, b.r) - 1 AS n FROM listed a JOIN listed b ON a.r < b.r) GROUP BY 1""",
-    "items", ctes=KEYWORDS + ", listed AS (SELECT word, row_number() OVER (ORDER BY item_count DESC, word) AS r FROM keywords WHERE side = 'title')",
+    """SELECT n // 100 AS batch_no, count(*) AS n_rows, string_agg(to_json([w1, w2])::VARCHAR, chr(10) ORDER BY n) AS lines FROM (
+        SELECT w1, w2, rank - 1 AS n FROM ranked_pairs) GROUP BY 1""",
+    "items", "pair_log", ctes=PAIR_STATE,
 )
 check(
     "model_requests_attrs",
@@ -528,9 +530,9 @@ check(
 )
 check(
     "model_requests_values",
-    """SELECT r.leaf_path, n // 20 AS batch_no, count(*) AS n_rows, any_value(s.schema_lines) AS schema_lines, string_agg('item_id=' || id || ' title=' || title, chr(10) ORDER BY n) AS lines
+    """SELECT r.leaf_path, n // 20 AS batch_no, count(*) AS n_rows, any_value(s.schema_lines) AS schema_lines, string_agg(to_json({'item_id': id, 'title': title})::VARCHAR, chr(10) ORDER BY n) AS lines
        FROM (SELECT *, row_number() OVER (PARTITION BY leaf_path ORDER BY pos) - 1 AS n FROM routed WHERE NOT found) r
-       JOIN (SELECT leaf_path, string_agg(key || ': ' || label || CASE WHEN symbol IS NOT NULL THEN ' (unit: ' || symbol || ')' ELSE '' END || ' [' || vtype || ']', chr(10) ORDER BY attr_seq) AS schema_lines
+       JOIN (SELECT leaf_path, string_agg(to_json({'key': key, 'label': label, 'unit': coalesce(symbol, ''), 'value_type': vtype})::VARCHAR, chr(10) ORDER BY attr_seq) AS schema_lines
              FROM current GROUP BY leaf_path) s ON s.leaf_path = r.leaf_path GROUP BY 1, 2""",
     *XV, ctes=GOOD,
 )
@@ -562,13 +564,6 @@ check(
     "SELECT id FROM items WHERE id NOT IN (SELECT id FROM trig WHERE phase = 2) AND id NOT IN (SELECT id FROM kept)",
     "items", "rules", "predictions", "tree", ctes=",\n".join([LEAF_ANSWERS, *STRICT]),
 )
-check(
-    "model_call",
-    """SELECT batch_no, (length(lines) - length(replace(lines, chr(10), '')) + 1) || '/' || length(lines) AS response, NULL::VARCHAR AS error FROM (
-        SELECT n // 25 AS batch_no, string_agg('- id=' || id || ' title=' || title || ' subtitle=', chr(10) ORDER BY n) AS lines
-        FROM (SELECT *, row_number() OVER (ORDER BY pos) - 1 AS n FROM items) GROUP BY 1)""",
-    "items",
-)
 
 # ---------------------------------------------------------------- publishing
 check(
