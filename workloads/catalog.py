@@ -228,8 +228,9 @@ def vocabulary_of(items):
 @query
 def vocabulary(spark, d):
     """Words of the raw part and type lists, first spelling kept."""
-    raw = view(spark, d, "part").select(F.explode(F.array("p_type", F.initcap("p_type"), "p_brand", "p_name")).alias("word"), F.col("p_partkey").alias("seq"))
-    return keywords.vocabulary(raw, "seq").select("word_low", "seq")
+    spellings = F.posexplode(F.array("p_type", F.initcap("p_type"), "p_brand", "p_name")).alias("at", "word")
+    raw = view(spark, d, "part").select("p_partkey", spellings).select("word", (F.col("p_partkey") * 4 + F.col("at")).alias("seq"))
+    return keywords.vocabulary(raw, "seq")
 
 
 @query

@@ -243,8 +243,9 @@ for name, least_conf in (("pair_rules", 0.85), ("pair_rules_all_tiers", 0.7)):
 # ---------------------------------------------------------------- frequent pairs
 check(
     "vocabulary",
-    """SELECT lower(word) AS word_low, min(p_partkey) AS seq
-       FROM (SELECT unnest([p_type, upper(left(p_type, 1)) || lower(substr(p_type, 2)), p_brand, p_name]) AS word, p_partkey FROM part) GROUP BY 1""",
+    """SELECT lower(word) AS word_low, arg_min(word, seq) AS display, min(seq) AS seq
+       FROM (SELECT unnest([p_type, upper(left(p_type, 1)) || lower(substr(p_type, 2)), p_brand, p_name]) AS word,
+             p_partkey * 4 + unnest([0, 1, 2, 3]) AS seq FROM part) GROUP BY 1""",
 )
 PAIRS = UNMATCHED_WORDS.replace("FROM unmatched", "FROM items") + f""",
 post AS (SELECT DISTINCT pos, f, w FROM (
