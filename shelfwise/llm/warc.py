@@ -14,7 +14,7 @@ their concurrent-to identifier and emits one nested row per capture.
 
 Nulls: a null payload is empty; a null URL is written without WARC-Target-URI and read as null. Pages with a null
 identifier are captures without one. Repeated rows are captures of their own: record identifiers are drawn from the
-identifier and a number among rows that share it. An empty table gives no rows. Columns other than the
+identifier, the digest and a number among rows that share both. An empty table gives no rows. Columns other than the
 three named are not read.
 """
 
@@ -43,6 +43,7 @@ PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
 DATE = "2024-01-01T00:00:00Z"
 ALPHABET = "ABCDEFGHIJKLMNOPQRSTUVWXYZ234567"
 SPACE = uuid.UUID("6ba7b811-9dad-11d1-80b4-00c04fd430c8")
+FEED = 1 << 14
 
 
 def base32(sha1_hex: Column) -> Column:
@@ -93,7 +94,7 @@ def transaction(page_id: int | None, url: str | None, payload: bytes, digest: st
     """Request, response or revisit, and metadata of one capture."""
     target = [] if url is None else [("WARC-Target-URI", re.sub(r"[\r\n]", "", url))]
     common = [("WARC-Date", DATE), *target]
-    main = record_name("main", page_id, copy)
+    main = record_name("main", page_id, digest, copy)
     state = b"HTTP/1.1 200 OK\r\nContent-Type: text/html; charset=utf-8\r\nContent-Length: %d\r\n\r\n" % len(payload)
     about = [
         ("WARC-Record-ID", main), *common, ("Content-Type", "application/http; msgtype=response"),
@@ -102,12 +103,12 @@ def transaction(page_id: int | None, url: str | None, payload: bytes, digest: st
     if refers_to is None:
         body = record([("WARC-Type", "response"), *about], state + payload)
     else:
-        about += [("WARC-Profile", PROFILE), ("WARC-Refers-To", record_name("main", refers_to, 0)), ("X-Refers-To-Page", str(refers_to))]
+        about += [("WARC-Profile", PROFILE), ("WARC-Refers-To", record_name("main", refers_to, digest, 0)), ("X-Refers-To-Page", str(refers_to))]
         body = record([("WARC-Type", "revisit"), *about], state)
     path = "/" if url is None else re.sub(r"^[a-z]+://[^/?#]*", "", url).partition("#")[0] or "/"
-    ask = [("WARC-Type", "request"), ("WARC-Record-ID", record_name("request", page_id, copy)), *common,
+    ask = [("WARC-Type", "request"), ("WARC-Record-ID", record_name("request", page_id, digest, copy)), *common,
            ("WARC-Concurrent-To", main), ("Content-Type", "application/http; msgtype=request")]
-    note = [("WARC-Type", "metadata"), ("WARC-Record-ID", record_name("metadata", page_id, copy)), *common,
+    note = [("WARC-Type", "metadata"), ("WARC-Record-ID", record_name("metadata", page_id, digest, copy)), *common,
             ("WARC-Concurrent-To", main), ("Content-Type", "application/warc-fields")]
     return [
         record(ask, f"GET {path} HTTP/1.1\r\n\r\n".encode("utf-8", "replace")),
@@ -128,9 +129,9 @@ def write_archives(pages: DataFrame, folder: str, least_bytes: int = 0, id_col:
     same = ["sha1", "payload_bytes"]
     on = full["page_id"].eqNullSafe(role["page_id"]) & (full["sha1"] == role["sha1"]) & (full["payload_bytes"] == role["payload_bytes"])
     rows = full.join(role, on).select(full["page_id"], "url", "payload", *[full[c] for c in same], "refers_to")
-    parts = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     rows = rows.withColumn("digest", base32(F.col("sha1"))).select("page_id", "url", "payload", "digest", "refers_to")
-    dealt = rows.repartition(parts, "page_id").sortWithinPartitions("page_id", "url", "digest")
+    # equal captures meet in the join's partitions; the payload moves once
+    dealt = rows.sortWithinPartitions("page_id", "digest", "url")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         part = TaskContext.get().partitionId()
@@ -140,8 +141,9 @@ def write_archives(pages: DataFrame, folder: str, least_bytes: int = 0, id_col:
                 if out is None:
                     opened = writing(folder, f"part-{part:06d}.warc.gz")
                     out = opened.__enter__()
-                copy = copy + 1 if n and row["page_id"] == last else 0
-                last = row["page_id"]
+                same = (row["page_id"], row["digest"])
+                copy = copy + 1 if n and same == last else 0
+                last = same
                 for data in transaction(row["page_id"], row["url"], row["payload"], row["digest"], row["refers_to"], copy):
                     out.write(data)
                 n += 1
@@ -153,12 +155,17 @@ def write_archives(pages: DataFrame, folder: str, least_bytes: int = 0, id_col:
 
 
 def members(data: bytes) -> Iterator[bytes]:
-    """The gzip members of an archive, one at a time."""
-    view = memoryview(data)
-    while view:
-        one = zlib.decompressobj(wbits=31)
-        yield one.decompress(view) + one.flush()
-        view = view[len(view) - len(one.unused_data) :] if one.unused_data else view[:0]
+    """The gzip members of an archive, one at a time; fed in small pieces, so nothing is copied twice."""
+    view, at = memoryview(data), 0
+    while at < len(view):
+        one, parts = zlib.decompressobj(wbits=31), []
+        while not one.eof:
+            piece = view[at : at + FEED]
+            if not piece:
+                raise ValueError("archive is cut short")
+            parts.append(one.decompress(piece))
+            at += len(piece) - len(one.unused_data)
+        yield b"".join(parts)
 
 
 def parse(member: bytes) -> tuple[dict[str, str], bytes]:
