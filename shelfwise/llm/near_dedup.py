@@ -7,11 +7,14 @@ at 0.85.
 
 Plan. Equal texts (same word sequence) collapse to a class first, so groups of copies cost one row. A half key that
 only one class has can make no table key that two share, so it is dropped before the keys are combined. Inside a
-table bucket all classes are compared with the bucket's smallest class only (a star); similarities are confirmed on
-the full shingle sets. Linked classes are contracted to components. A pair is then still open only if its classes
-share a bucket, lie in different components, and neither size nor the triangle inequality of Jaccard distance
-(|d(x, leader) - d(y, leader)| <= d(x, y)) excludes a link; those pairs are confirmed as well, so no candidate link is
-lost and a group of near copies is never expanded into all pairs.
+table bucket all classes are compared with one leader only (a star): the class that meets most others over all
+tables, so that the buckets of a group of near copies agree on few leaders. Similarities are confirmed on the full
+shingle sets and linked classes contracted to components. A pair of one bucket is then still open only if its classes
+lie in different components. The members x, y of a leader L know which shingles of L they miss and in which of PARTS parts by hash their others
+fall, and |x & y| <= |L| - |missed by x or y| + parts that hold others of both + min(others beyond the first of their
+part, of x or y). Pairs whose bound allows no link are dropped where they meet, in tiles of bounded size; the few that
+are left are confirmed on full sets. So no candidate link is lost, and a group of near copies, or of texts that share
+a passage, is never expanded into all pairs.
 
 A hot class reaches its documents through a broadcast of at most HOT_KEYS rows (``attach``).
 
@@ -26,7 +29,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from shelfwise.llm.common import attach
@@ -38,6 +41,10 @@ THRESHOLD = 0.8
 HALF = 3
 SIDE = 11
 SEED = 20240
+#: Members of a leader that meet in one task, from each of two chunks.
+TILE = 1000
+#: Parts by hash in which shingles that a leader lacks are told apart before sets are compared.
+PARTS = 4096
 
 
 def signatures(docs: DataFrame, id_col: str, text_col: str, shingle: int) -> DataFrame:
@@ -89,21 +96,63 @@ def shingle_sets(docs: DataFrame, wanted: DataFrame, id_col: str, text_col: str,
     return sets.join(wanted.select("cls"), "cls", "left_semi").groupBy("cls").agg(F.first("set").alias("set"))
 
 
-def confirm(pairs: DataFrame, sets: DataFrame, threshold: float) -> DataFrame:
-    """(u, v, sim, linked) of the pairs, on full sets."""
+def compare(pairs: DataFrame, sets: DataFrame) -> DataFrame:
+    """(u, v, set_u, set_v, both) of the pairs, on full sets."""
     left = sets.select(F.col("cls").alias("u"), F.col("set").alias("set_u"))
     right = sets.select(F.col("cls").alias("v"), F.col("set").alias("set_v"))
-    both = F.size(F.array_intersect("set_u", "set_v"))
-    sized = pairs.join(left, "u").join(right, "v").select(
-        "u", "v", both.alias("both"), (F.size("set_u") + F.size("set_v")).alias("sum")
-    )
-    either = F.col("sum") - F.col("both")
-    return sized.select(
-        "u",
-        "v",
-        (F.col("both") / either).alias("sim"),
-        (F.col("both") * 100 >= either * round(threshold * 100)).alias("linked"),
+    joined = pairs.join(left, "u").join(right, "v")
+    return joined.withColumn("both", F.size(F.array_intersect("set_u", "set_v")))
+
+
+def linked(threshold: float) -> Column:
+    either = F.size("set_u") + F.size("set_v") - F.col("both")
+    return F.col("both") * 100 >= either * round(threshold * 100)
+
+
+def open_pairs(members: DataFrame, threshold: float, tile: int = TILE) -> DataFrame:
+    """(u, v) of members (leader, n_leader, cls, label, n, miss, parts) of one leader that the bound leaves open.
+
+    Members are dealt to chunks of about ``tile`` by hash; every two chunks of a leader meet in one tile.
+    """
+    sizes = members.groupBy("leader").agg(
+        F.count(F.lit(1)).alias("rows"), F.min("label").alias("lo"), F.max("label").alias("hi")
     )
+    sizes = sizes.filter("lo != hi").select("leader", F.ceil(F.col("rows") / tile).cast("int").alias("chunks"))
+    dealt = members.join(sizes, "leader").withColumn("chunk", F.pmod(F.xxhash64("cls"), F.col("chunks")).cast("int"))
+    other = F.explode(F.sequence(F.lit(0), F.col("chunks") - 1))
+    tiled = dealt.withColumn("other", other).select(
+        "leader", "n_leader", "cls", "label", "n", "miss", "parts", "chunk",
+        F.least("chunk", "other").alias("lo"), F.greatest("chunk", "other").alias("hi"),
+    )
+
+    def run(key, table):
+        lo, hi = key[1].as_py(), key[2].as_py()
+        n = table.column("n").to_numpy()
+        n_leader = int(table.column("n_leader")[0].as_py())
+        cls = np.array(table.column("cls").to_pylist(), dtype=object)
+        label = np.unique(np.array(table.column("label").to_pylist(), dtype=object), return_inverse=True)[1]
+        chunk = table.column("chunk").to_numpy()
+        miss = [np.asarray(m, np.int64) for m in table.column("miss").to_pylist()]
+        parts = [np.asarray(m, np.int64) for m in table.column("parts").to_pylist()]
+        lens, n_parts = np.array([len(m) for m in miss]), np.array([len(m) for m in parts])
+        place = np.unique(np.concatenate(miss), return_inverse=True)[1]
+        grid = np.zeros((len(n), int(place.max()) + 1 if len(place) else 1), np.float32)
+        grid[np.repeat(np.arange(len(n)), lens), place] = 1
+        other = np.zeros((len(n), PARTS), np.float32)
+        other[np.repeat(np.arange(len(n)), n_parts), np.concatenate(parts)] = 1
+        beyond = n - (n_leader - lens) - n_parts
+        rows, cols = (np.arange(len(n)),) * 2 if lo == hi else (np.flatnonzero(chunk == lo), np.flatnonzero(chunk == hi))
+        inside = n_leader - (lens[rows][:, None] + lens[cols] - grid[rows] @ grid[cols].T)
+        bound = inside + other[rows] @ other[cols].T + np.minimum(beyond[rows][:, None], beyond[cols])
+        total = n[rows][:, None] + n[cols]
+        maybe = (bound * 100 >= (total - bound) * round(threshold * 100)) & (label[rows][:, None] != label[cols])
+        if lo == hi:
+            maybe &= rows[:, None] < cols
+        i, j = np.nonzero(maybe)
+        pairs = [(min(a, b), max(a, b)) for a, b in zip(cls[rows[i]], cls[cols[j]])]
+        return pa.table({"u": pa.array([a for a, _ in pairs], pa.binary()), "v": pa.array([b for _, b in pairs], pa.binary())})
+
+    return tiled.groupBy("leader", "lo", "hi").applyInArrow(run, "u binary, v binary").distinct()
 
 
 def components(edges: DataFrame) -> DataFrame:
@@ -139,41 +188,32 @@ def table_keys(classes: DataFrame) -> DataFrame:
 def links(docs: DataFrame, classes: DataFrame, id_col: str, text_col: str, shingle: int, threshold: float) -> DataFrame:
     """(u, v): confirmed links that connect every component of the candidate graph."""
     keys = cut_lineage(table_keys(classes))
-    leaders = keys.groupBy("key").agg(F.min("cls").alias("leader"), F.count(F.lit(1)).alias("size")).filter("size > 1")
-    keys = cut_lineage(keys.join(leaders.select("key", "leader"), "key"))
+    buckets = keys.groupBy("key").agg(F.count(F.lit(1)).alias("size")).filter("size > 1")
+    keys = cut_lineage(keys.join(buckets, "key"))
+    met = keys.groupBy("cls").agg(F.sum("size").alias("met"))
+    ranked = keys.select("key", "cls").join(met, "cls")
+    leaders = ranked.groupBy("key").agg(F.max(F.struct("met", "cls")).alias("leader"))
     stars = cut_lineage(
-        keys.filter(F.col("cls") != F.col("leader")).select(F.col("leader").alias("u"), F.col("cls").alias("v")).distinct()
-    )
-    ids = classes.select("cls", "doc_id").join(
-        keys.select("cls").distinct(), "cls", "left_semi"
-    )
-    sets = cut_lineage(shingle_sets(docs, cut_lineage(ids), id_col, text_col, shingle))
-    first = cut_lineage(confirm(stars, sets, threshold))
-    found = first.filter("linked").select("u", "v")
-    labels = components(found)
-
-    # buckets that hold more than one component: the pairs across are still open
-    placed = (
-        keys.join(labels.withColumnRenamed("node", "cls"), "cls", "left")
-        .withColumn("label", F.coalesce("label", "cls"))
-        .join(first.select(F.col("u").alias("leader"), F.col("v").alias("cls"), "sim"), ["leader", "cls"], "left")
-        .withColumn("dist", F.coalesce(1 - F.col("sim"), F.lit(0.0)))
-        .join(classes.select("cls", "n"), "cls")
-        .select("key", "cls", "label", "dist", "n", (F.col("cls") == F.col("leader")).alias("leads"))
-    )
-    mixed = placed.groupBy("key").agg(F.min("label").alias("lo"), F.max("label").alias("hi")).filter("lo != hi")
-    rows = cut_lineage(placed.filter("not leads").join(mixed.select("key"), "key", "left_semi"))
-    other = rows.select("key", *[F.col(c).alias(f"{c}_2") for c in ("cls", "label", "dist", "n")])
-    open_pairs = (
-        rows.join(other, "key")
-        .filter("cls < cls_2 and label != label_2")
-        .filter(F.least("n", "n_2") >= F.lit(threshold) * F.greatest("n", "n_2"))
-        .filter(F.abs(F.col("dist") - F.col("dist_2")) <= 1 - threshold + 1e-9)
-        .select(F.col("cls").alias("u"), F.col("cls_2").alias("v"))
+        keys.join(leaders.select("key", F.col("leader.cls").alias("u")), "key")
+        .filter(F.col("cls") != F.col("u"))
+        .select("u", F.col("cls").alias("v"))
         .distinct()
     )
-    second = confirm(cut_lineage(open_pairs), sets, threshold).filter("linked").select("u", "v")
-    return cut_lineage(found.unionByName(second))
+    ids = cut_lineage(classes.select("cls", "doc_id").join(met.select("cls"), "cls", "left_semi"))
+    sets = cut_lineage(shingle_sets(docs, ids, id_col, text_col, shingle))
+    first = cut_lineage(
+        compare(stars, sets).select(
+            "u", "v", linked(threshold).alias("linked"), F.size("set_u").alias("n_leader"), F.size("set_v").alias("n"),
+            F.array_except("set_u", "set_v").alias("miss"),
+            F.array_distinct(F.transform(F.array_except("set_v", "set_u"), lambda x: F.pmod(x, F.lit(PARTS)).cast("int"))).alias("parts"),
+        )
+    )
+    found = first.filter("linked").select("u", "v")
+    labels = components(found).withColumnRenamed("node", "cls")
+    members = first.select(F.col("u").alias("leader"), "n_leader", F.col("v").alias("cls"), "n", "miss", "parts")
+    members = members.join(labels, "cls", "left").withColumn("label", F.coalesce("label", "cls"))
+    more = compare(cut_lineage(open_pairs(members, threshold)), sets).filter(linked(threshold)).select("u", "v")
+    return cut_lineage(found.unionByName(more))
 
 
 def near_dedup(
