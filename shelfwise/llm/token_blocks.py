@@ -14,8 +14,8 @@ Reading uses the index alone to find blocks, so any range of ids can be read by
 a prefix sum over one row per file.
 
 Tokenizer: the pre-tokenizer cuts before a blank that stands before a visible character, so text between such places
-can be encoded by itself. Each worker remembers the ids of at most CACHE pieces and encodes only new ones, all at
-once. Every document ends with END.
+can be encoded by itself. Each worker remembers the ids of the pieces it met lately, 2 * CACHE at most, and encodes only
+new ones, those of a document at once. Every document ends with END.
 
 Nulls: a null or empty text is the end id alone. Repeated identifiers are documents of their own, ordered by text.
 An empty table gives no files and no rows. Only the identifier and the text are read.
@@ -27,6 +27,7 @@ import re
 import struct
 import zlib
 from collections.abc import Iterator
+from functools import cache
 
 import numpy as np
 import pyarrow as pa
@@ -40,7 +41,7 @@ from shelfwise.llm.files import contents, writing
 END = 2
 BLOCK = 1024
 PERCENT = 95
-CACHE = 300_000
+CACHE = 400_000
 FILE_BYTES = 16 << 20
 #: Marks and layouts of the file format.
 MAGIC = b"PFORIDS1"
@@ -145,10 +146,15 @@ def read_file(data: bytes) -> Iterator[tuple[int | None, np.ndarray]]:
 
 
 class Encoder:
-    """Token ids of texts; pieces seen before are not encoded again."""
+    """Token ids of texts; pieces seen lately are not encoded again.
+
+    Pieces live in two generations of at most CACHE; when the young one is full it becomes the old one, and what is
+    used again moves up.
+    """
 
     cut = re.compile(r"(?= \S)")
     odd = re.compile(r" (?:\s|\Z)")
+    inner = re.compile(r"(?s:.)\s")
 
     def __init__(self, path: str):
         from tokenizers import Tokenizer
@@ -156,39 +162,46 @@ class Encoder:
         self.tokenizer = Tokenizer.from_file(path)
         line = self.tokenizer.encode("\n", add_special_tokens=False).ids
         self.line = line[0] if len(line) == 1 else None
-        self.known: dict[str, np.ndarray] = {}
+        self.known: dict[str, bytes] = {}
+        self.old: dict[str, bytes] = {}
 
-    def _learn(self, pieces: list[str]) -> None:
-        if len(self.known) > CACHE:
-            self.known.clear()
+    def _learn(self, pieces: set[str]) -> None:
+        known, old = self.known, self.old
+        known.update({p: old[p] for p in pieces if p in old})
+        new = [p for p in pieces if p not in known]
         # a line break between pieces is a token of its own and marks the borders
-        plain = [p for p in pieces if self.line is not None and not any(c.isspace() for c in p[1:]) and p != " "]
+        inner = self.inner.search
+        plain = [p for p in new if p != " " and not inner(p)] if self.line is not None else []
         if plain:
-            ids = np.array(self.tokenizer.encode("\n".join(plain), add_special_tokens=False).ids, np.uint32)
+            ids = np.array(self.tokenizer.encode_batch_fast(["\n".join(plain)], add_special_tokens=False)[0].ids, "<u4")
             borders = np.flatnonzero(ids == self.line)
             if len(borders) == len(plain) - 1:
-                self.known.update(zip(plain, np.split(ids, borders)))
-                # all but the first start with the border
-                for p in plain[1:]:
-                    self.known[p] = self.known[p][1:]
-        rest = [p for p in pieces if p not in self.known]
-        for p, e in zip(rest, self.tokenizer.encode_batch(rest, add_special_tokens=False)):
-            self.known[p] = np.array(e.ids, np.uint32)
+                raw = ids.tobytes()
+                ends = (4 * borders).tolist() + [len(raw)]
+                starts = [0] + [e + 4 for e in ends[:-1]]
+                known.update({p: raw[i:j] for p, i, j in zip(plain, starts, ends)})
+        rest = [p for p in new if p not in known]
+        for p, e in zip(rest, self.tokenizer.encode_batch_fast(rest, add_special_tokens=False)):
+            known[p] = np.array(e.ids, "<u4").tobytes()
 
     def encode(self, text: str) -> np.ndarray:
         if self.odd.search(text):
             pieces = self.cut.split(text)
         else:
-            first, *more = text.split(" ")
-            pieces = [first, *[" " + p for p in more]]
+            pieces = text.replace(" ", "\0 ").split("\0") if "\0" not in text else self.cut.split(text)
+        if len(self.known) > CACHE:
+            self.known, self.old = {}, self.known
         known = self.known
         new = {p for p in pieces if p not in known}
         if new:
-            self._learn(list(new))
-            if any(p not in self.known for p in pieces):  # the memory was emptied
-                self._learn(list(set(pieces)))
-            known = self.known
-        return np.concatenate([*map(known.__getitem__, pieces), np.array([END], np.uint32)])
+            self._learn(new)
+        return np.frombuffer(b"".join(map(known.__getitem__, pieces)) + END.to_bytes(4, "little"), "<u4")
+
+
+@cache
+def encoder_of(path: str) -> Encoder:
+    """The encoder of this worker, kept from task to task."""
+    return Encoder(path)
 
 
 def default_tokenizer() -> str:
@@ -210,7 +223,7 @@ def write_tokens(docs: DataFrame, folder: str, tokenizer: str | None = None, id_
         first = next((b for b in batches if b.num_rows), None)
         if first is None:
             return
-        encoder = Encoder(tokenizer)
+        encoder = encoder_of(tokenizer)
         with writing(folder, f"part-{part:06d}.pfor") as out:
             writer = BlockWriter(out)
             batch = first
