@@ -21,10 +21,15 @@ A hot class reaches its documents through a broadcast of at most HOT_KEYS rows (
 Nulls: null and empty texts have no words, an empty set, and are linked with nothing. A text with fewer words than
 a shingle is one shingle. Identifiers may repeat: texts are told apart by digest. A null identifier never names a
 component unless nothing else does. Only the identifier and the text are read; an empty table gives no rows.
+
+``deduplicated`` leaves one row of every component: of the class that holds its smallest identifier, and there of the
+rows with the smallest one. A row is known by identifier and class, so different texts under one identifier or under
+null are judged one by one; rows without words all stay.
 """
 
 from __future__ import annotations
 
+import string
 from collections.abc import Iterator
 
 import numpy as np
@@ -32,7 +37,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from shelfwise.llm.common import attach
+from shelfwise.llm.common import attach, text_or_empty, words
 from shelfwise.llm.hashing import digest, minhash, mix64, shingle_set, tokens
 from shelfwise.scale import broadcast_if_small, cut_lineage
 
@@ -47,6 +52,12 @@ TILE = 1000
 PARTS = 4096
 
 
+def text_class(text_col: str) -> tuple[Column, Column]:
+    """(class digest of a text, number of its words) as native columns."""
+    w = words(F.translate(text_or_empty(text_col), string.ascii_uppercase, string.ascii_lowercase))
+    return F.unhex(F.substring(F.sha2(F.array_join(w, " "), 256), 1, 32)), F.size(w)
+
+
 def signatures(docs: DataFrame, id_col: str, text_col: str, shingle: int) -> DataFrame:
     """(doc_id, cls, n, halves): class digest, set size, half keys of both collections."""
 
@@ -216,14 +227,8 @@ def links(docs: DataFrame, classes: DataFrame, id_col: str, text_col: str, shing
     return cut_lineage(found.unionByName(more))
 
 
-def near_dedup(
-    docs: DataFrame,
-    id_col: str = "doc_id",
-    text_col: str = "text",
-    shingle: int = SHINGLE,
-    threshold: float = THRESHOLD,
-) -> DataFrame:
-    """One row per document: doc_id, n_shingles, component_id, kept, and the class of equal texts."""
+def grouped(docs: DataFrame, id_col: str, text_col: str, shingle: int, threshold: float) -> DataFrame:
+    """(doc_id, n, cls, component_id, chosen) of every row; the chosen rows of a component share identifier and class."""
     rows = cut_lineage(signatures(docs, id_col, text_col, shingle))
     full = rows.filter("n > 0")
     classes = cut_lineage(
@@ -238,14 +243,30 @@ def near_dedup(
     named = classes.join(labels.withColumnRenamed("node", "cls"), "cls", "left").withColumn(
         "label", F.coalesce("label", "cls")
     )
-    smallest = named.groupBy("label").agg(F.min("doc_id").alias("component_id"))
-    groups = cut_lineage(named.select("cls", "label", "copies").join(smallest, "label").select("cls", "copies", "component_id"))
+    # nulls last; identifiers are no names of components, as two of them may hold one
+    first = F.min(F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "cls"))
+    smallest = named.groupBy("label").agg(first.alias("first"))
+    groups = cut_lineage(
+        named.select("cls", "label", "copies")
+        .join(smallest, "label")
+        .select("cls", "copies", F.col("first.doc_id").alias("component_id"), (F.col("cls") == F.col("first.cls")).alias("chosen"))
+    )
     placed = attach(full.select("doc_id", "n", "cls"), groups, ["cls"], "copies").select(
-        "doc_id", "n", "cls", "component_id"
+        "doc_id", "n", "cls", "component_id", (F.col("chosen") & F.col("doc_id").eqNullSafe(F.col("component_id"))).alias("chosen")
     )
-    alone = rows.filter("n = 0").select("doc_id", "n", "cls", F.col("doc_id").alias("component_id"))
-    out = placed.unionByName(alone)
-    return out.select(
+    alone = rows.filter("n = 0").select("doc_id", "n", "cls", F.col("doc_id").alias("component_id"), F.lit(True).alias("chosen"))
+    return placed.unionByName(alone)
+
+
+def near_dedup(
+    docs: DataFrame,
+    id_col: str = "doc_id",
+    text_col: str = "text",
+    shingle: int = SHINGLE,
+    threshold: float = THRESHOLD,
+) -> DataFrame:
+    """One row per document: doc_id, n_shingles, component_id, kept, and the class of equal texts."""
+    return grouped(docs, id_col, text_col, shingle, threshold).select(
         "doc_id",
         F.col("n").alias("n_shingles"),
         "component_id",
@@ -254,12 +275,34 @@ def near_dedup(
     )
 
 
-def deduplicated(docs: DataFrame, id_col: str = "doc_id", **options) -> DataFrame:
-    """One document of every group, with all columns; of rows that share an identifier one stays."""
-    report = cut_lineage(near_dedup(docs, id_col=id_col, **options).select(F.col("doc_id").alias("__id"), "kept"))
-    ids = cut_lineage(report.groupBy("__id").agg(F.max("kept").alias("kept"), F.count(F.lit(1)).alias("rows")))
-    drop = broadcast_if_small(ids.filter("not kept or rows > 1").select("__id"))
-    once = docs.join(drop, docs[id_col].eqNullSafe(drop["__id"]), "left_anti")
-    repeated = broadcast_if_small(ids.filter("kept and rows > 1").select("__id"))
-    more = docs.join(repeated, docs[id_col].eqNullSafe(repeated["__id"]), "left_semi").dropDuplicates([id_col])
-    return once.unionByName(more)
+def deduplicated(
+    docs: DataFrame,
+    id_col: str = "doc_id",
+    text_col: str = "text",
+    shingle: int = SHINGLE,
+    threshold: float = THRESHOLD,
+) -> DataFrame:
+    """One document of every group, with all columns."""
+    report = cut_lineage(
+        grouped(docs, id_col, text_col, shingle, threshold).select(F.col("doc_id").alias("__id"), F.col("cls").alias("__cls"), "n", "chosen")
+    )
+    named = report.filter("__id is not null")
+    ids = cut_lineage(named.groupBy("__id").agg(F.max("chosen").alias("chosen"), F.count(F.lit(1)).alias("rows")))
+    # an identifier of one row decides alone, without a digest
+    drop = broadcast_if_small(ids.filter("not chosen or rows > 1").select("__id"))
+    once = docs.filter(F.col(id_col).isNotNull()).join(drop, docs[id_col] == drop["__id"], "left_anti")
+    repeated = broadcast_if_small(ids.filter("chosen and rows > 1").select("__id"))
+    shared = docs.join(repeated, docs[id_col] == repeated["__id"], "left_semi")
+    cls, n_words = text_class(text_col)
+    shared = shared.unionByName(docs.filter(F.col(id_col).isNull())).withColumn("__own", cls).withColumn("__words", n_words)
+    unclear = report.join(repeated, "__id", "left_semi").unionByName(report.filter("__id is null"))
+    keys = broadcast_if_small(cut_lineage(unclear.filter("chosen and n > 0").select("__id", "__cls").distinct()))
+    kept = shared.filter("__words > 0").join(
+        keys, (shared["__own"] == keys["__cls"]) & shared[id_col].eqNullSafe(keys["__id"]), "left_semi"
+    )
+    # equal words under one identifier: the smallest text, of equal texts the smallest row
+    whole = F.struct(*[F.col(f"`{c}`") for c in docs.columns])
+    order = F.struct(F.col(text_col).cast("string"), F.to_json(whole))
+    single = kept.groupBy(F.col(id_col).alias("__id"), "__own").agg(F.min_by(whole, order).alias("__row")).select("__row.*")
+    empty = shared.filter("__words = 0").select(*[F.col(f"`{c}`") for c in docs.columns])
+    return once.unionByName(single).unionByName(empty)

@@ -109,6 +109,37 @@ def test_deduplicated_keeps_one_row_of_a_group(odd_docs):
     assert Counter(ids)[3] == 0 and Counter(ids)[1] == 1 and 10 not in ids and ids.count(None) >= 1
 
 
+def test_deduplicated_loses_no_text_to_a_shared_identifier(spark):
+    texts = [prose(300 + k, 60) for k in range(7)]
+    near = texts[0].replace(texts[0].split()[30], "changed", 1)
+    rows = [
+        (1, texts[0], "a"), (2, near, "b"), (2, texts[1], "c"),  # a near copy and a text of its own under one identifier
+        (None, texts[2], "d"), (None, texts[3], "e"), (None, texts[3].upper(), "f"), (None, texts[0], "g"),
+        (None, None, "h"), (None, "", "i"), (7, texts[4], "j"), (7, texts[5], "k"), (7, texts[5] + " ", "l"), (8, " ", "m"),
+    ]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, name string")
+    want = sorted([(1, "a"), (2, "c"), (-1, "d"), (-1, "f"), (-1, "h"), (-1, "i"), (7, "j"), (7, "k"), (8, "m")])
+    for parts in (1, 5):
+        got = deduplicated(docs.repartition(parts)).collect()
+        assert sorted((-1 if r["doc_id"] is None else r["doc_id"], r["name"]) for r in got) == want
+
+
+def test_one_row_of_near_copies_without_identifier(spark):
+    base = prose(311, 80)
+    rows = [(None, base), (None, base + " end"), (None, base + " tail"), (4, prose(312, 80)), (4, prose(312, 80) + " end")]
+    got = deduplicated(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    assert sorted(str(r["doc_id"]) for r in got) == ["4", "None"]
+
+
+def test_native_class_equals_digest(spark):
+    from shelfwise.llm.near_dedup import text_class
+
+    texts = [None, "", " \x0b", "A b\r\nC", "É ß İ\x85x", "\x1cq  Q", prose(1, 500)]
+    docs = spark.createDataFrame([(t,) for t in texts], "text string")
+    got = docs.select("text", text_class("text")[0].alias("c"), text_class("text")[1].alias("n")).collect()
+    assert all(bytes(r["c"]) == digest(tokens(r["text"])) and r["n"] == len(tokens(r["text"])) for r in got)
+
+
 def test_components_of_a_long_chain(spark):
     edges = spark.createDataFrame([(f"{k:03d}".encode(), f"{k + 1:03d}".encode()) for k in range(60)], "u binary, v binary")
     assert {bytes(r["label"]) for r in components(edges).collect()} == {b"000"}
