@@ -207,6 +207,21 @@ def test_containment_against_sets(odd_docs, spark):
     assert Counter(r["doc_id"] for r in left.collect()) == Counter(d for d, *_ in odd_rows() if d not in bad)
 
 
+def test_clean_judges_texts_of_one_identifier_alone(spark):
+    item = prose(400, 40)
+    half = [" ".join(item.split()[:22]), " ".join(item.split()[18:])]
+    rows = [
+        (None, prose(401, 60)), (None, prose(402, 30) + " " + item), (None, None),  # one of them holds the item
+        (5, prose(403, 30) + " " + half[0]), (5, prose(404, 30) + " " + half[1]),  # half of it each
+        (6, prose(405, 30)), (6, item + " more"), (6, item + " more"),
+    ]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    items = spark.createDataFrame([(1, item)], "item_id long, text string")
+    assert Counter(r["doc_id"] for r in containment(docs, items).collect()) == Counter([None, 6])
+    bad = {rows[1], rows[6]}
+    assert Counter(tuple(r) for r in clean(docs, items).collect()) == Counter(r for r in rows if r not in bad)
+
+
 def brute_targets(sizes, weights=(5, 2, 1), share=1.5, cap=2):
     names = sorted(sizes, key=lambda s: (s is None, s or ""))
     weight = {s: weights[k % 3] for k, s in enumerate(names)}
