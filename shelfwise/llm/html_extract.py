@@ -5,9 +5,9 @@ below boilerplate elements (menus, headers, footers, sidebars, notices, adverts,
 parts, scripts, styles) get no vote. For every path of the rest the number of nodes, the length of their text and
 their punctuation are summed: length per node and punctuation per node are the ratios of the path. Along the page
 both ratios are smoothed with a Gaussian over neighbouring nodes and fused to their product with the path's text
-length; nodes at or above a share of the mean are content nodes. Their text votes for the elements it stands in, and
-the deepest element that holds most of it is the article; every block of the article without boilerplate is its
-text. So a short heading or a line of few words inside the article is kept, and a long notice outside is not.
+length; nodes at or above a share of the mean are content nodes. The deepest element that holds all of them is the
+article (without a marked article, the h1 headings too), and every block of it without boilerplate is its text. So no
+content node is lost, and a short heading or a line of few words between them is kept.
 
 Blocks are runs of inline text between block tags. White space inside a block becomes one blank; blocks are joined in
 page order by a line break. Character references are decoded, markup is dropped, nothing else is.
@@ -32,7 +32,6 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 SHARE = 0.3
-HOLDS = 0.6
 SMOOTH = np.array([0.25, 0.5, 1.0, 0.5, 0.25])
 
 #: Elements by their role in HTML.
@@ -218,32 +217,41 @@ def fused_scores(found: list[tuple[Element, str]]) -> np.ndarray:
     return np.log1p(smooth(per_length)) * np.log1p(1 + smooth(per_mark)) * np.log1p(total)
 
 
+def common(one: Element, other: Element) -> Element:
+    """Deepest element that holds both."""
+    while one is not other:
+        if one.depth >= other.depth:
+            one = one.parent
+        else:
+            other = other.parent
+    return one
+
+
+def marked(element: Element | None) -> Element | None:
+    """The nearest article or main element around an element."""
+    while element is not None and element.name not in ARTICLES:
+        element = element.parent
+    return element
+
+
 def main_text(page: str | None) -> str:
     found = blocks(page or "")
     if not found:
         return ""
     score = fused_scores(found)
-    chosen = score >= SHARE * score.mean()
-    votes: Counter = Counter()
-    places: dict[int, Element] = {}
-    for (element, text), good in zip(found, chosen):
-        up = element if good else None
-        while up is not None:
-            votes[id(up)] += len(text)
-            places[id(up)] = up
-            up = up.parent
-    total = max(votes.values())
-    holders = [places[k] for k, v in votes.items() if v >= HOLDS * total]
-    article = max(holders, key=lambda e: e.depth)
+    voters = [element for (element, _), s in zip(found, score) if s >= SHARE * score.mean()]
+    article = voters[0]
+    for element in voters:
+        article = common(article, element)
+    if marked(article) is None:
+        # no mark says where the article starts: its title is an h1
+        for element, _ in found:
+            if element.name == "h1":
+                article = common(article, element)
     # a paragraph or heading is not an article: take what it stands in; a marked article around it wins
     while article.parent is not None and (article.name in HEADINGS or article.name in ("p", "li", "ul", "ol", "blockquote", "pre", "td", "tr", "tbody", "table")):
         article = article.parent
-    up = article
-    while up is not None:
-        if up.name in ARTICLES:
-            article = up
-            break
-        up = up.parent
+    article = marked(article) or article
 
     def inside(element: Element | None) -> bool:
         while element is not None and element is not article:

@@ -185,6 +185,19 @@ def test_article_blocks(open, close):
     assert main_text(PAGE.format(open=open, close=close, body=body)) == want
 
 
+LONG = "A long sentence, with marks; it goes on, and on. " * 12
+
+
+@pytest.mark.parametrize("body, want", [
+    (f"<h1>Title here</h1><div class=intro><p>{LONG}</p></div><div class=body><p>{LONG * 4}</p></div>", ["Title here", LONG, LONG * 4]),
+    (f"<div>{LONG}</div><div>{LONG * 9}</div><div>Last, short.</div>", [LONG, LONG * 9, "Last, short."]),
+    (f"<article><p>{LONG * 5}</p></article><article><p>{LONG}</p></article>", [LONG * 5, LONG]),
+])
+def test_no_content_node_is_left_outside(body, want):
+    page = f"<body><nav><p>Home, no.</p></nav><div id=content>{body}</div><footer><p>No, no.</p></footer></body>"
+    assert main_text(page) == "\n".join(w.strip() for w in want)
+
+
 @pytest.mark.parametrize("page, want", [
     (None, ""), ("", ""), (" \n ", ""), ("plain &eacute; text", "plain é text"), ("<p>open <!-- never closed", "open"),
     ("<nav>only</nav>", ""), ("<p>a<script>b", "a"), ("</div></p>x", "x"), ("a < b", "a < b"), ("<p title='>'>q</p>", "q"),
