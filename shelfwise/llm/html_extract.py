@@ -12,7 +12,10 @@ content node is lost, and a short heading or a line of few words between them is
 Blocks are runs of inline text between block tags. White space inside a block becomes one blank; blocks are joined in
 page order by a line break. Character references are decoded, markup is dropped, nothing else is.
 
-Nulls and empty pages give an empty text, pages of boilerplate alone too. Broken markup is read as browsers do in
+A class or id is a cue only as a whole token and never against <article>, <main>, what holds them or what holds most
+of the content (``without_cued``).
+
+Nulls and empty pages give an empty text, pages of boilerplate elements alone too. Broken markup is read as browsers do in
 the common cases: unclosed paragraphs and list items end at the next one, end tags without a start are skipped, an
 open comment, script or style runs to the end. Pages are independent rows of one narrow pass; repeated rows give
 repeated results. Only the three named columns are read.
@@ -55,23 +58,31 @@ CUES = set(
     "login signin register comment comments commentlist disqus reply replies respond discussion share sharing social follow related "
     "recommended recommendations widget widgets toolbar pagination pager copyright legal disclaimer hidden".split()
 )
+#: Cues of parts that hold <article> elements of others: comments of readers, teasers.
+OTHERS = set(
+    "comment comments commentlist disqus reply replies respond discussion related recommended recommendations widget widgets promo "
+    "promotion promoted sponsor sponsored".split()
+)
 #: Start tags that end an open element of the same group.
 SIBLINGS = [{"li"}, {"dt", "dd"}, {"tr"}, {"td", "th"}, {"option"}, {"thead", "tbody", "tfoot"}]
 
 TAG = re.compile(r"<(?:!--|/?[a-zA-Z]|[!?])")
-END = re.compile(r"""(?:[^>"']|"[^"]*"|'[^']*')*>""")
+#: Rest of a tag: a quote counts only where an attribute value starts, and only if it is closed.
+END = re.compile(r"""(?>[\s/]+|[^\s/>][^\s/>=]*(?:\s*=\s*(?:"[^"]*"|'[^']*'|[^\s>]*))?)*+>""")
 NAME = re.compile(r"[a-zA-Z][^\s/>]*")
 ATTRIBUTE = re.compile(r"""([^\s"'>/=]+)(?:\s*=\s*("[^"]*"|'[^']*'|[^\s"'=<>`]+))?""")
-SPLIT = re.compile(r"[^a-z0-9]+")
+SPLIT = re.compile(r"[-_]+")
 PUNCTUATION = re.compile(r"[,.;:!?…、。，！？；]")
 SPACE = re.compile(r"\s+")
 
 
 class Element:
-    __slots__ = ("name", "parent", "path", "dropped", "depth")
+    __slots__ = ("name", "parent", "path", "dropped", "cues", "holds", "depth")
 
-    def __init__(self, name: str, parent: Element | None, dropped: bool):
-        self.name, self.parent, self.dropped = name, parent, dropped
+    def __init__(self, name: str, parent: Element | None, dropped: bool, cues: set[str] = frozenset()):
+        self.name, self.parent, self.dropped, self.cues = name, parent, dropped, cues
+        #: whether an article or main element stands in it
+        self.holds = False
         self.path = name if parent is None else f"{parent.path}>{name}"
         self.depth = 0 if parent is None else parent.depth + 1
 
@@ -83,26 +94,32 @@ def attributes(text: str) -> dict[str, str]:
     return found
 
 
-def is_boilerplate(name: str, attrs: str, inside_article: bool) -> bool:
-    """Whether an element starts a part of the page that is never article text."""
+def is_boilerplate(name: str, a: dict[str, str], inside_article: bool) -> bool:
+    """Whether an element by its name, role or visibility starts a part of the page that is never article text."""
     if name in DROPPED or (name == "header" and not inside_article):
         return True
-    if not attrs.strip(" /"):
-        return False
-    a = attributes(attrs)
     if "hidden" in a or a.get("aria-hidden", "").lower() == "true":
         return True
     if re.search(r"display\s*:\s*none|visibility\s*:\s*hidden", a.get("style", "").lower()):
         return True
-    if a.get("role", "").lower() in ROLES:
-        return True
-    if name in HEADINGS or name in ("html", "body"):
-        return False
-    return any(t in CUES for key in ("class", "id") for t in SPLIT.split(a.get(key, "").lower()))
+    return a.get("role", "").lower() in ROLES
+
+
+def cues_of(name: str, a: dict[str, str], inside_article: bool) -> set[str]:
+    """Cues among the class and id tokens of an element: a token all of whose parts are cues ("cookie-notice")."""
+    if name in HEADINGS or name in ARTICLES or name in ("html", "body"):
+        return frozenset()
+    found: set[str] = set()
+    for key in ("class", "id"):
+        for token in a.get(key, "").lower().split():
+            parts = [t for t in SPLIT.split(token) if t]
+            if parts and all(t in CUES for t in parts):
+                found.update(parts)
+    return found - {"header"} if inside_article else found
 
 
 def blocks(page: str) -> list[tuple[Element, str]]:
-    """(element, text) of all text blocks outside boilerplate, in page order."""
+    """(element, text) of all text blocks outside boilerplate by name, role or visibility, in page order."""
     root = Element("#", None, False)
     at, out, run = 0, [], []
     here = owner = root
@@ -120,14 +137,14 @@ def blocks(page: str) -> list[tuple[Element, str]]:
         if end > at and not here.dropped:
             if not run:
                 owner = here
-                while owner.name in INLINE and owner.parent is not None:
+                while owner.name in INLINE and not owner.cues and owner.parent is not None:
                     owner = owner.parent
             run.append(page[at:end])
 
     def close(to: Element) -> None:
         nonlocal here, articles
         while here is not to:
-            if here.name not in INLINE:
+            if here.name not in INLINE or here.cues:
                 flush()
             if here.name in ARTICLES:
                 articles -= 1
@@ -152,7 +169,7 @@ def blocks(page: str) -> list[tuple[Element, str]]:
         name = NAME.match(page, start).group().lower()
         e = END.match(page, start + len(name))
         # a tag that never ends swallows the rest of the page
-        at = e.end() if e else len(page)
+        at = e.end() if e else page.find(">", start) + 1 or len(page)
         if mark[1] == "/":
             up = here
             while up is not root and up.name != name:
@@ -185,16 +202,23 @@ def blocks(page: str) -> list[tuple[Element, str]]:
                 if up.name in group:
                     close(up.parent)
             flush()
-        dropped = here.dropped or is_boilerplate(name, attrs, articles > 0)
+        a = attributes(attrs) if attrs.strip(" /") else {}
+        dropped = here.dropped or is_boilerplate(name, a, articles > 0)
+        cues = frozenset() if dropped else cues_of(name, a, articles > 0)
         if attrs.endswith("/") and name in RAW:
             continue
         if name in RAW:
             k = re.compile(rf"</{re.escape(name)}(?=[\s/>])", re.I).search(page, at)
             at = len(page) if k is None else k.start()
-        if dropped and not here.dropped and name in INLINE:
+        if (dropped and not here.dropped or cues) and name in INLINE:
             flush()
-        here = Element(name, here, dropped)
-        articles += name in ARTICLES
+        here = Element(name, here, dropped, cues)
+        if name in ARTICLES:
+            articles += 1
+            up = here.parent
+            while up is not None and not dropped and not up.holds:
+                up.holds = True
+                up = up.parent
     flush()
     return out
 
@@ -217,6 +241,37 @@ def fused_scores(found: list[tuple[Element, str]]) -> np.ndarray:
     return np.log1p(smooth(per_length)) * np.log1p(1 + smooth(per_mark)) * np.log1p(total)
 
 
+def without_cued(found: list[tuple[Element, str]]) -> list[tuple[Element, str]]:
+    """Blocks outside elements that a cue drops.
+
+    A cue drops no element that holds most of the content score (score by length of text) or an article or main
+    element, unless it names parts that hold those of others. A paragraph with a cue stays where the article holds it.
+    """
+    if not any(up.cues for element, _ in found for up in chain(element)):
+        return found
+    score = [s * len(text) for s, (_, text) in zip(fused_scores(found), found)]
+    held: Counter = Counter()
+    for s, (element, _) in zip(score, found):
+        for up in chain(element):
+            if up.cues:
+                held[id(up)] += s
+    total = sum(score)
+
+    def drops(e: Element) -> bool:
+        if not e.cues or e.name == "p" or 2 * held[id(e)] > total:
+            return False
+        return not e.holds or bool(e.cues & OTHERS)
+
+    return [(element, text) for element, text in found if not any(drops(up) for up in chain(element))]
+
+
+def chain(element: Element | None) -> Iterator[Element]:
+    """The element and all around it."""
+    while element is not None:
+        yield element
+        element = element.parent
+
+
 def common(one: Element, other: Element) -> Element:
     """Deepest element that holds both."""
     while one is not other:
@@ -235,11 +290,13 @@ def marked(element: Element | None) -> Element | None:
 
 
 def main_text(page: str | None) -> str:
-    found = blocks(page or "")
+    found = without_cued(blocks(page or ""))
     if not found:
         return ""
     score = fused_scores(found)
-    voters = [element for (element, _), s in zip(found, score) if s >= SHARE * score.mean()]
+    good = [element for (element, _), s in zip(found, score) if s >= SHARE * score.mean()]
+    # a paragraph with a cue is text of the article around it, but says nothing about where that is
+    voters = [element for element in good if not element.cues] or good
     article = voters[0]
     for element in voters:
         article = common(article, element)

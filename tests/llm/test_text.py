@@ -198,6 +198,18 @@ def test_no_content_node_is_left_outside(body, want):
     assert main_text(page) == "\n".join(w.strip() for w in want)
 
 
+@pytest.mark.parametrize("page", [
+    "<div id=page class='site right-sidebar'><article>{}</article></div>", "<div class=header><main>{}</main></div>",
+    "<article class='post has-comments'>{}</article>", "<main class='no-sidebar comments'>{}</main>", "<div class=sidebar><div>{}</div></div>",
+    "<article><div class='article-header'>{}</div></article>", "<div id=content><p title=it's>{}</div>", "<p title='it>{}",
+    '<p title="a > b" data-x=a"b>{}<p class="ad">', "<div id=a\"b>{}<div class=ad>It's bad, no.</div></div>",
+])
+def test_cues_and_quotes_drop_no_article(page):
+    body = f"<h2>Title</h2><p>{LONG}</p><p class=notice>Note, this.</p><p>{LONG}</p>"
+    page = "<div class='cookie-notice'>Cookies, no.</div>" + page.format(body)
+    assert main_text(page) == "\n".join(["Title", LONG.strip(), "Note, this.", LONG.strip()])
+
+
 @pytest.mark.parametrize("page, want", [
     (None, ""), ("", ""), (" \n ", ""), ("plain &eacute; text", "plain é text"), ("<p>open <!-- never closed", "open"),
     ("<nav>only</nav>", ""), ("<p>a<script>b", "a"), ("</div></p>x", "x"), ("a < b", "a < b"), ("<p title='>'>q</p>", "q"),
