@@ -17,6 +17,7 @@ from shelfwise.llm.token_blocks import token_files
 from shelfwise.llm.toxicity import toxicity_report
 from shelfwise.llm.language_id import language_report
 from shelfwise.llm.near_dedup import near_dedup
+from shelfwise.llm.url_filter import judge
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -61,9 +62,24 @@ def op9_quality_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_report(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+#: The rules of the query.
+URL_RULES = [
+    ("org", "/", "allow"),
+    ("example.org", "/es/", "block"),
+    ("example.org", "/en/1", "block"),
+    ("com", "/fr/", "allow"),
+    ("com", "/de/", "block"),
+]
+
+
+def op13_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rules = spark.createDataFrame(URL_RULES, "host string, path string, verdict string")
+    return judge(table(spark, sf_dir, "pages"), rules)
+
+
 QUERIES: dict[str, Query] = {
     f.__name__: f
-    for f in (op9_quality_lm, op1_html_extract, op5_warc, op4_token_blocks, op8_toxicity, op3_language_id, op6_near_dedup, op2_exact_dedup, op7_decontaminate, op10_mixing)
+    for f in (op13_url_filter, op9_quality_lm, op1_html_extract, op5_warc, op4_token_blocks, op8_toxicity, op3_language_id, op6_near_dedup, op2_exact_dedup, op7_decontaminate, op10_mixing)
 }
 
 ORACLE: dict[str, str] = {}
@@ -165,3 +181,20 @@ SELECT page_id, payload_bytes,
        CASE WHEN page_id = largest THEN NULL ELSE largest END AS refers_to
 FROM b
 """
+
+ORACLE["op13_url_filter"] = r"""
+WITH u AS (
+  SELECT page_id, CASE WHEN contains(coalesce(url, ''), '://') THEN url[strpos(url, '://') + 3:] ELSE '' END AS rest FROM pages),
+h AS (SELECT page_id, rest, regexp_extract(rest, '^[^/?#]*') AS host FROM u),
+p AS (
+  SELECT page_id, translate(host, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS host,
+         regexp_extract(rest[length(host) + 1:], '^[^?#]*') AS path
+  FROM h),
+r(rule_host, rule_path, verdict) AS (
+  VALUES ('org', '/', 'allow'), ('example.org', '/es/', 'block'), ('example.org', '/en/1', 'block'),
+         ('com', '/fr/', 'allow'), ('com', '/de/', 'block'))
+SELECT page_id, host, path, arg_max(rule_host || rule_path, length(rule_host || rule_path)) AS rule,
+       coalesce(arg_max(verdict, length(rule_host || rule_path)), 'allow') AS verdict
+FROM p LEFT JOIN r ON (host = rule_host OR ends_with(host, '.' || rule_host)) AND starts_with(path, rule_path)
+GROUP BY page_id, host, path
+"""
