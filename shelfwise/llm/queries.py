@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from shelfwise.llm.common import table
 from shelfwise.llm.decontaminate import containment
 from shelfwise.llm.exact_dedup import exact_dedup
+from shelfwise.llm.lexical_search import search
 from shelfwise.llm.mixing import mix_report
 from shelfwise.llm.quality_lm import quality_report
 from shelfwise.llm.html_extract import extract
@@ -77,9 +78,13 @@ def op13_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return judge(table(spark, sf_dir, "pages"), rules)
 
 
+def op12_lexical_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return search(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 QUERIES: dict[str, Query] = {
     f.__name__: f
-    for f in (op13_url_filter, op9_quality_lm, op1_html_extract, op5_warc, op4_token_blocks, op8_toxicity, op3_language_id, op6_near_dedup, op2_exact_dedup, op7_decontaminate, op10_mixing)
+    for f in (op12_lexical_search, op13_url_filter, op9_quality_lm, op1_html_extract, op5_warc, op4_token_blocks, op8_toxicity, op3_language_id, op6_near_dedup, op2_exact_dedup, op7_decontaminate, op10_mixing)
 }
 
 ORACLE: dict[str, str] = {}
@@ -198,3 +203,22 @@ SELECT page_id, host, path, arg_max(rule_host || rule_path, length(rule_host ||
 FROM p LEFT JOIN r ON (host = rule_host OR ends_with(host, '.' || rule_host)) AND starts_with(path, rule_path)
 GROUP BY page_id, host, path
 """
+
+ORACLE["op12_lexical_search"] = r"""
+WITH dt AS (
+  SELECT doc_id, unnest(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) AS term
+  FROM documents),
+it AS (
+  SELECT DISTINCT item_id, unnest(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) AS term
+  FROM benchmark),
+p AS (SELECT doc_id, term, count(*)::BIGINT AS tf FROM dt GROUP BY 1, 2),
+d AS (SELECT doc_id, sum(tf)::BIGINT AS n FROM p GROUP BY 1),
+c AS (SELECT count(*)::BIGINT AS n_docs, sum(n)::BIGINT AS n_terms FROM d),
+w AS (SELECT term, floor(1000 * ln((2 * n_docs + 2)::DOUBLE / (2 * count(*) + 1)))::BIGINT AS w FROM p, c GROUP BY term, n_docs),
+m AS (SELECT doc_id, 100 - 90 + ((90 * n * n_docs) // n_terms) AS m FROM d, c),
+s AS (
+  SELECT item_id, doc_id, sum(w * ((1000000000 * tf) // (1000 * tf + 8 * m)))::BIGINT AS score
+  FROM it JOIN p USING (term) JOIN w USING (term) JOIN m USING (doc_id) GROUP BY 1, 2),
+r AS (SELECT *, row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id)::INT AS rank FROM s WHERE score > 0)
+SELECT item_id, rank, doc_id, score FROM r WHERE rank <= 10
+"""

@@ -1,7 +1,13 @@
 """Url filter, lexical search, whitening: each against a brute-force version."""
 
+import math
 import random
+import re
+from collections import Counter
 
+import numpy as np
+
+from shelfwise.llm.lexical_search import Searcher, search
 from shelfwise.llm.url_filter import judge
 
 
@@ -53,3 +59,64 @@ def test_block_wins_and_empty_tables(spark):
     none = spark.createDataFrame([], schema)
     assert [tuple(r)[3:] for r in judge(pages, none, default="block").collect()] == [(None, "block")]
     assert judge(pages.filter("page_id = 2"), both).count() == 0
+
+
+def found_terms(text):
+    return re.findall(r"[^\x00-\x2f\x3a-\x40\x5b-\x60\x7b-\x7f]+", re.sub("[A-Z]", lambda m: m[0].lower(), text or ""))
+
+
+def ranked(docs, items, k):
+    """Brute force: every item against every document."""
+    counts = [(d, Counter(found_terms(t))) for d, t in docs]
+    n, length = sum(bool(c) for _, c in counts), sum(c.total() for _, c in counts)
+    df = Counter(t for _, c in counts for t in c)
+    wanted = {}
+    for i, t in items:
+        wanted.setdefault(i, set()).update(found_terms(t))
+    out = []
+    for i, ts in wanted.items():
+        scores = []
+        for d, c in counts:
+            m = 10 + (90 * c.total() * n) // max(length, 1)
+            s = sum(math.floor(1000 * math.log((2 * n + 2) / (2 * df[t] + 1))) * ((10**9 * c[t]) // (1000 * c[t] + 8 * m)) for t in ts if t in c)
+            scores += [(-s, d is None, d or 0)] if s > 0 else []
+        out += [(i, r, None if null else d, -s) for r, (s, null, d) in enumerate(sorted(scores)[:k], 1)]
+    return sorted(out, key=repr)
+
+
+def test_search_equals_brute_force(spark, odd_docs):
+    rng = random.Random(3)
+    names = [f"w{int(rng.paretovariate(0.7))}" for _ in range(400)]
+    docs = [(k // 2 if k % 50 == 0 else k, " ".join(rng.choices(names, k=rng.choice([1, 5, 40, 200])))) for k in range(700)]
+    docs += [(r["doc_id"], r["text"]) for r in odd_docs.collect()] + [(10**15, "Über W1-w2,W3_é " * 50), (7, "w1"), (7, "w1")]
+    items = [(k, " ".join(rng.choices(names, k=rng.choice([1, 3, 30])))) for k in range(40)]
+    items += [(3, "stone river"), (None, "the bright"), (None, "w1 w2"), (99, None), (100, " ,;"), (101, "nowhere"), (102, "Über É w1")]
+    table = spark.createDataFrame([(*d, 1, 2) for d in docs], "doc_id long, text string, item int, score int").repartition(5)
+    queries = spark.createDataFrame([(*i, 1) for i in items], "item_id long, text string, term int").repartition(2)
+    want = ranked(docs, items, 10)
+    for options in ({}, {"shard_bytes": 20_000, "span": 4, "block_terms": 60}, {"short": 1.0}, {"short": 0.0, "span": 8}):
+        got = search(table, queries, **options)
+        assert got.columns == ["item_id", "rank", "doc_id", "score"]
+        assert sorted(map(tuple, got.collect()), key=repr) == want, options
+
+
+def test_search_without_rows(spark):
+    docs = spark.createDataFrame([(1, "a b"), (2, None)], "doc_id long, text string")
+    items = spark.createDataFrame([(1, "b")], "item_id long, text string")
+    assert [tuple(r)[:3] for r in search(docs, items).collect()] == [(1, 1, 1)]
+    assert search(docs.filter("doc_id > 1"), items).count() == 0
+    assert search(docs, items.filter("item_id > 1")).count() == 0
+
+
+def test_spans_are_skipped():
+    n = 6400
+    rare = np.arange(0, 40)
+    row = {
+        "n": np.full(n, 10), "terms": np.array([0, 1]), "ends": np.array([len(rare), len(rare) + n]), "doc_ids": list(range(n)),
+        "places": np.concatenate([rare, np.arange(n)]), "tfs": np.ones(len(rare) + n, int),
+    }
+    shard = Searcher(row, np.array([9000, 10]), n, 10 * n, 90, 10, 1 / 32, 64)
+    walked = []
+    plain = shard.candidates
+    shard.candidates = lambda spans, *rest: walked.append(len(spans)) or plain(spans, *rest)
+    assert [p for _, p in sorted(shard.best([0, 1], 0), reverse=True)] and sum(walked) == 1  # of 100 spans
