@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from shelfwise.llm.common import table
 from shelfwise.llm.decontaminate import containment
@@ -19,6 +20,7 @@ from shelfwise.llm.toxicity import toxicity_report
 from shelfwise.llm.language_id import language_report
 from shelfwise.llm.near_dedup import near_dedup
 from shelfwise.llm.url_filter import judge
+from shelfwise.llm.whitening import whiten
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -74,7 +76,8 @@ URL_RULES = [
 
 
 def op13_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rules = spark.createDataFrame(URL_RULES, "host string, path string, verdict string")
+    named = [F.struct(F.lit(h).alias("host"), F.lit(p).alias("path"), F.lit(v).alias("verdict")) for h, p, v in URL_RULES]
+    rules = spark.range(1).select(F.inline(F.array(*named)))
     return judge(table(spark, sf_dir, "pages"), rules)
 
 
@@ -82,9 +85,13 @@ def op12_lexical_search(spark: SparkSession, sf_dir: str) -> DataFrame:
     return search(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
+def op11_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return whiten(table(spark, sf_dir, "embeddings"))
+
+
 QUERIES: dict[str, Query] = {
     f.__name__: f
-    for f in (op12_lexical_search, op13_url_filter, op9_quality_lm, op1_html_extract, op5_warc, op4_token_blocks, op8_toxicity, op3_language_id, op6_near_dedup, op2_exact_dedup, op7_decontaminate, op10_mixing)
+    for f in (op11_whitening, op12_lexical_search, op13_url_filter, op9_quality_lm, op1_html_extract, op5_warc, op4_token_blocks, op8_toxicity, op3_language_id, op6_near_dedup, op2_exact_dedup, op7_decontaminate, op10_mixing)
 }
 
 ORACLE: dict[str, str] = {}

@@ -6,9 +6,11 @@ import re
 from collections import Counter
 
 import numpy as np
+import pytest
 
 from shelfwise.llm.lexical_search import Searcher, search
 from shelfwise.llm.url_filter import judge
+from shelfwise.llm.whitening import bidiagonalize, whiten
 
 
 def parts(url):
@@ -120,3 +122,58 @@ def test_spans_are_skipped():
     plain = shard.candidates
     shard.candidates = lambda spans, *rest: walked.append(len(spans)) or plain(spans, *rest)
     assert [p for _, p in sorted(shard.best([0, 1], 0), reverse=True)] and sum(walked) == 1  # of 100 spans
+
+
+def test_whitening_equals_eigenvectors(spark):
+    rng = np.random.default_rng(2)
+    vectors = (rng.standard_normal((300, 24)) * np.exp(-np.arange(24) / 6)).astype(np.float32).tolist()
+    rows = [(k, v, 1, 2) for k, v in enumerate(vectors)] + [(7, vectors[3], 1, 2), (None, vectors[3], 1, 2), (900, vectors[5], 1, 2)]
+    odd = [(901, None, 1, 2), (902, [], 1, 2), (903, [None, *vectors[0][1:]], 1, 2), (904, [float("nan"), *vectors[0][1:]], 1, 2), (905, [float("-inf"), *vectors[0][1:]], 1, 2), (906, [1.0], 1, 2)]
+    table = spark.createDataFrame(rows + odd, "vec_id long, embedding array<float>, x int, n int").repartition(5)
+    got = whiten(table).collect()
+    x = np.floor(64 * np.array([v for _, v, _, _ in rows], np.float32).astype(float)).astype(int) + 1_000_000
+    fit = np.unique(x, axis=0)
+    n, s = len(fit), fit.sum(axis=0)
+    centred = fit - s / n
+    e, q = np.linalg.eigh(centred.T @ centred / n)
+    e, q = e[::-1][:16], q[:, ::-1][:, :16]
+    assert len(got) == 16 * len(rows) and {r["n"] for r in got} == {n}
+    want = {}
+    for (i, _, _, _), v in zip(rows, x):
+        deviation = sum((n * int(a) - int(b)) ** 2 for a, b in zip(v, s))
+        for k, y in enumerate((v - s / n) @ q / np.sqrt(e)):
+            want.setdefault((i, k + 1), []).append((deviation, y))
+    signs = {}
+    for r in got:
+        fits = [y for d, y in want[r["vec_id"], r["component"]] if d == r["deviation"]]
+        assert min(abs(abs(r["whitened"]) - abs(y)) for y in fits) < 1e-8
+        signs.setdefault(r["component"], set()).update(np.sign(r["whitened"] * y) for y in fits if len(fits) == 1 and abs(y) > 1e-6)
+        assert abs(r["explained"] / (e[r["component"] - 1] / np.trace(centred.T @ centred / n)) - 1) < 1e-9
+        assert r["identity_error"] < 1e-9
+    assert all(len(v) == 1 for v in signs.values())
+
+
+def test_whitening_without_variance(spark):
+    schema = "vec_id long, embedding array<float>"
+    assert whiten(spark.createDataFrame([], schema)).count() == 0
+    assert whiten(spark.createDataFrame([(1, [1.0, 2.0]), (2, [1.0, 2.0])], schema)).count() == 0
+    line = whiten(spark.createDataFrame([(k, [1.0 * k, 2.0 * k, 0.0]) for k in range(4)], schema)).collect()
+    assert {r["component"] for r in line} == {1} and all(abs(r["explained"] - 1) < 1e-12 for r in line)
+
+
+@pytest.mark.parametrize("case", ["equal values", "pairs", "few rows", "steep"])
+def test_components_of_one_value_are_all_found(case):
+    rng = np.random.default_rng(4)
+    scale = {"equal values": np.repeat([5.0, 1.0], [20, 40]), "pairs": np.repeat(np.exp(-np.arange(40) / 3), 2), "few rows": None, "steep": None}[case]
+    if scale is not None:
+        x = np.vstack([np.diag(scale), -np.diag(scale)])
+    else:
+        x = rng.standard_normal((10, 50)) if case == "few rows" else rng.standard_normal((900, 150)) * np.exp(-np.arange(150) / 8)
+    x = x - x.mean(axis=0)
+    rounds = []
+    vectors, values = bidiagonalize(lambda w: rounds.append(1) or (x.T @ (x @ w), float((x @ w) @ (x @ w))), x.shape[1], 16)
+    want = np.linalg.svd(x, compute_uv=False)[: len(values)]
+    assert len(values) == min(16, 9 if case == "few rows" else 16) and np.allclose(values, want, rtol=1e-9)
+    assert np.allclose(vectors.T @ vectors, np.eye(len(values)), atol=1e-10)
+    assert np.allclose(x.T @ (x @ vectors), vectors * values**2, atol=1e-8 * values[0] ** 2)
+    assert len(rounds) < x.shape[1] or case != "steep"
