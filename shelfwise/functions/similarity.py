@@ -64,6 +64,7 @@ def tile_edges(
     side: np.ndarray,
     threshold: float,
     forest: bool,
+    known: np.ndarray | None = None,
 ) -> list[tuple[int, int]]:
     """Index pairs of similar texts inside one tile.
 
@@ -71,13 +72,13 @@ def tile_edges(
     text is always the left argument, and both orders count when occurrences interleave.
     ``side`` is 0/1 for a tile made of two chunks (only cross pairs are compared), or all 0
     (all pairs). With ``forest`` pairs that are already connected are skipped, which keeps
-    the connected components while emitting at most n-1 edges.
+    the connected components while emitting at most n-1 edges; ``known`` has the components to start from.
     """
     n = len(texts)
     cross = bool(side.any())
     counts = char_counts(texts)
     lengths = counts.sum(axis=1)
-    label = np.arange(n)
+    label = np.arange(n) if known is None else known.copy()
     others = np.flatnonzero(side == 0) if cross else None
 
     edges: list[tuple[int, int]] = []

@@ -1,27 +1,25 @@
-"""Similar-title groups: blocking, similar pairs, cliques, components, numbering, labels.
+"""Similar-title groups: blocking, components, cliques, numbering, labels.
 
-Titles are compared only inside a block (first token, length band). A block may hold a third of
-the catalog, so its distinct titles are hashed into chunks; every chunk pair is one bounded tile,
-and only matches leave a tile.
+Titles are compared only inside a block (first token, length band). Copies collapse first, distinct titles meet in the
+similarity join of ``title_join``. Groups are components, or cliques of at least ``min_group`` items: the heaviest clique of
+a block is taken out again and again. A clique lies inside a component, so cliques are searched per component of the edge
+table, by branch and bound over bit sets with a colouring bound; no block is gathered.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterator
-from difflib import SequenceMatcher
+import sys
 
-import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from shelfwise.functions import text as tx
-from shelfwise.functions.similarity import tile_edges
+from shelfwise.operators.title_join import CHUNK_TITLES, component_labels, similar_edges
 from shelfwise.scale import cut_lineage, number_rows, side_by_side, skew_join, spread
 
 MIN_SIMILARITY = 0.7
 MIN_GROUP = 5
-CHUNK_TITLES = 1000
 BLOCK = ["token", "band"]
 
 
@@ -51,48 +49,9 @@ def block_sizes(blocked: DataFrame) -> DataFrame:
     )
 
 
-def _tiles(titles: DataFrame, chunk_titles: int) -> DataFrame:
-    """Replicate each title to the tiles of its chunk; a tile has at most two chunks."""
-    per_block = titles.groupBy(*BLOCK).agg(F.count(F.lit(1)).alias("n_titles"))
-    sized = skew_join(titles, per_block, BLOCK, per_block, "n_titles")
-    n_chunks = F.ceil(F.col("n_titles") / chunk_titles).cast("int")
-    return (
-        sized.withColumn("n_chunks", n_chunks)
-        .withColumn("chunk", F.pmod(F.xxhash64("norm"), F.col("n_chunks")).cast("int"))
-        .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("n_chunks") - 1)))
-        .select(
-            *BLOCK,
-            F.least("chunk", "other").alias("lo"),
-            F.greatest("chunk", "other").alias("hi"),
-            F.when(F.col("chunk") > F.col("other"), 1).otherwise(0).alias("side"),
-            "norm",
-            "first_pos",
-            "last_pos",
-        )
-    )
-
-
-def similar_title_edges(
-    titles: DataFrame, min_sim: float = MIN_SIMILARITY, forest: bool = True, chunk_titles: int = CHUNK_TITLES
-) -> DataFrame:
-    """Edges ``(u, v)`` between titles, named by first position. ``forest`` keeps components only."""
-
-    def compare(pdf: pd.DataFrame) -> pd.DataFrame:
-        pdf = pdf.sort_values("first_pos", kind="stable")
-        first = pdf["first_pos"].to_numpy()
-        pairs = tile_edges(
-            pdf["norm"].tolist(), first, pdf["last_pos"].to_numpy(), pdf["side"].to_numpy(), min_sim, forest
-        )
-        at = np.array(pairs, dtype=np.int64).reshape(-1, 2)
-        return pd.DataFrame({"u": np.minimum(first[at[:, 0]], first[at[:, 1]]), "v": np.maximum(first[at[:, 0]], first[at[:, 1]])})
-
-    tile = [*BLOCK, "lo", "hi"]
-    return spread(_tiles(titles, chunk_titles), *tile).groupBy(*tile).applyInPandas(compare, "u long, v long")
-
-
 def similar_pairs(items: DataFrame, min_sim: float = MIN_SIMILARITY, chunk_titles: int = CHUNK_TITLES) -> DataFrame:
-    """Every pair of distinct titles of a block whose similarity reaches the threshold."""
-    return similar_title_edges(distinct_titles(block_items(items)), min_sim, False, chunk_titles)
+    """Every pair ``(u, v)`` of distinct titles of a block at the threshold, named by first position."""
+    return similar_edges(cut_lineage(distinct_titles(block_items(items))), BLOCK, min_sim, chunk_titles)
 
 
 def connected_components(nodes: DataFrame, edges: DataFrame) -> DataFrame:
@@ -124,61 +83,139 @@ def connected_components(nodes: DataFrame, edges: DataFrame) -> DataFrame:
         )
 
 
-def _largest_clique(adj: dict[int, set[int]], nodes: set[int]) -> list[int]:
-    """Largest clique of a graph; ties go to the smallest sorted list."""
-    best: list[int] = []
-
-    def grow(chosen: list[int], pool: list[int]) -> None:
-        nonlocal best
-        if len(chosen) > len(best):
-            best = list(chosen)
-        for k, v in enumerate(pool):
-            if len(chosen) + len(pool) - k <= len(best):
+def _degeneracy(adj: list[int]) -> list[int]:
+    """Vertices, always one of least degree among those left."""
+    left, degree, order = set(range(len(adj))), [a.bit_count() for a in adj], []
+    buckets: dict[int, set[int]] = {}
+    for v, d in enumerate(degree):
+        buckets.setdefault(d, set()).add(v)
+    low = 0
+    while left:
+        while not buckets.get(low):
+            low += 1
+        v = buckets[low].pop()
+        order.append(v)
+        left.discard(v)
+        near = adj[v]
+        while near:
+            w = (near & -near).bit_length() - 1
+            near &= near - 1
+            if w in left:
+                buckets[degree[w]].discard(w)
+                degree[w] -= 1
+                buckets.setdefault(degree[w], set()).add(w)
+        low = max(0, low - 1)
+    return order
+
+
+def _heaviest(adj: list[int], weight: list[int], pool: int, floor: int, enough: int | None = None) -> tuple[int, int]:
+    """Weight and vertices (bits) of a clique of ``pool`` heavier than ``floor``, the heaviest or the first of ``enough``; else (floor, 0)."""
+    best, found = floor, 0
+
+    def grow(chosen: int, total: int, pool: int) -> None:
+        nonlocal best, found
+        if enough is not None and best >= enough:
+            return
+        # vertices that all others of the pool know belong to every largest clique
+        rest = pool
+        while rest:
+            v = (rest & -rest).bit_length() - 1
+            rest &= rest - 1
+            if pool & ~adj[v] == 1 << v:
+                chosen, total, pool = chosen | 1 << v, total + weight[v], pool & ~(1 << v)
+        if not pool:
+            if total > best:
+                best, found = total, chosen
+            return
+        # colour classes hold no edge, so a clique takes at most the heaviest vertex of each
+        order, bound, left = [], 0, pool
+        while left:
+            free, top, members = left, 0, 0
+            while free:
+                v = (free & -free).bit_length() - 1
+                free &= ~(adj[v] | 1 << v)
+                members |= 1 << v
+                top = max(top, weight[v])
+                order.append((v, len(order)))
+            bound += top
+            left &= ~members
+            order[-members.bit_count() :] = [(v, bound) for v, _ in order[-members.bit_count() :]]
+        for v, limit in reversed(order):
+            if total + limit <= best:
                 return
-            grow(chosen + [v], [w for w in pool[k + 1 :] if w in adj[v]])
-
-    grow([], sorted(nodes))
-    return best
-
-
-def _cliques(norms: list[str], min_sim: float, min_group: int) -> list[list[int]]:
-    n = len(norms)
-    adj: dict[int, set[int]] = {i: set() for i in range(n)}
-    for j in range(n):
-        matcher = SequenceMatcher()
-        matcher.set_seq2(norms[j])
-        for i in range(j):
-            if norms[i] != norms[j]:
-                matcher.set_seq1(norms[i])
-                if matcher.real_quick_ratio() < min_sim or matcher.quick_ratio() < min_sim or matcher.ratio() < min_sim:
-                    continue
-            adj[i].add(j)
-            adj[j].add(i)
-    left, found = set(range(n)), []
-    while len(left) >= min_group:
-        best = _largest_clique({v: adj[v] & left for v in left}, left)
-        if len(best) < min_group:
+            grow(chosen | 1 << v, total + weight[v], pool & adj[v])
+            pool &= ~(1 << v)
+
+    grow(0, 0, pool)
+    return best, found
+
+
+def clique_cover(first: list[int], weight: list[int], edges: list[tuple[int, int]], min_group: int) -> list[tuple[int, list[int]]]:
+    """Cliques of a graph as (weight, indices), the heaviest first; among equals the smallest sorted list of ``first``."""
+    plain: list[int] = [0] * len(first)
+    for i, j in edges:
+        plain[i] |= 1 << j
+        plain[j] |= 1 << i
+    # bits in degeneracy order, dense vertices first: colouring starts there
+    order = _degeneracy(plain)[::-1]
+    bit = {v: k for k, v in enumerate(order)}
+    adj = [0] * len(order)
+    for i, j in edges:
+        adj[bit[i]] |= 1 << bit[j]
+        adj[bit[j]] |= 1 << bit[i]
+    heavy = [weight[v] for v in order]
+    by_place = sorted(range(len(order)), key=lambda k: first[order[k]])
+    left, out = (1 << len(order)) - 1, []
+    limit = sys.getrecursionlimit()
+    sys.setrecursionlimit(max(limit, 4 * len(order) + 1000))
+    while left:
+        total, known = _heaviest(adj, heavy, left, min_group - 1)
+        if not known:
             break
-        found.append(best)
-        left -= set(best)
-    return found
-
+        chosen, held, pool = 0, 0, left
+        for v in by_place:
+            if held == total:
+                break
+            if not pool >> v & 1:
+                continue
+            if not known >> v & 1:
+                need = total - held - heavy[v]
+                more = _heaviest(adj, heavy, pool & adj[v], need - 1, need) if need > 0 else (need, 0)
+                if more[0] < need:
+                    continue
+                known = chosen | 1 << v | more[1]
+            chosen, held, pool = chosen | 1 << v, held + heavy[v], pool & adj[v]
+        out.append((total, sorted(order[k] for k in range(len(order)) if chosen >> k & 1)))
+        left &= ~chosen
+    sys.setrecursionlimit(limit)
+    return out
 
-def clique_members(blocked_small: DataFrame, min_sim: float = MIN_SIMILARITY, min_group: int = MIN_GROUP) -> DataFrame:
-    """``(token, band, emission, pos)`` of the clique cover. Exponential in a block's titles: a caller's choice."""
 
-    def cover(blocks: Iterator[pd.Series]) -> Iterator[pd.Series]:
-        for batch in blocks:
-            out = []
-            for rows in batch:
-                rows = sorted(rows, key=lambda r: r["pos"])
-                groups = _cliques([r["norm"] for r in rows], min_sim, min_group)
-                out.append([{"emission": g, "pos": rows[i]["pos"]} for g, ids in enumerate(groups) for i in ids])
-            yield pd.Series(out)
+def clique_titles(titles: DataFrame, min_sim: float, min_group: int, chunk_titles: int = CHUNK_TITLES) -> DataFrame:
+    """``titles`` that are in a clique, with ``weight``, its items, and ``emission``, its first position.
 
-    cover = F.pandas_udf(cover, "array<struct<emission:long,pos:long>>")
-    packed = spread(blocked_small, *BLOCK).groupBy(*BLOCK).agg(F.collect_list(F.struct("pos", "norm")).alias("rows"))
-    return packed.select(*BLOCK, F.explode(cover("rows")).alias("m")).select(*BLOCK, "m.emission", "m.pos")
+    One task searches one component of similar titles; the time is exponential in the worst case, as for any clique search.
+    """
+    edges = cut_lineage(similar_edges(titles, BLOCK, min_sim, chunk_titles))
+    labels = cut_lineage(connected_components(titles.select(F.col("first_pos").alias("node")), edges))
+    named = titles.join(labels, titles["first_pos"] == labels["node"]).drop("node")
+    heavy = named.groupBy("label").agg(F.sum("n_items").alias("total")).filter(F.col("total") >= min_group).select("label")
+    nodes = named.select("label", "first_pos", "n_items").join(heavy, "label", "left_semi")
+    inside = edges.join(labels.join(heavy, "label", "left_semi"), edges["u"] == labels["node"]).select(F.col("label").alias("component"), "u", "v")
+
+    def cover(nodes: pd.DataFrame, edges: pd.DataFrame) -> pd.DataFrame:
+        first = nodes["first_pos"].tolist()
+        place = {p: i for i, p in enumerate(first)}
+        pairs = [(place[u], place[v]) for u, v in zip(edges["u"].tolist(), edges["v"].tolist())]
+        found = clique_cover(first, nodes["n_items"].tolist(), pairs, min_group)
+        rows = [(first[i], total, min(first[k] for k in members)) for total, members in found for i in members]
+        return pd.DataFrame(rows, columns=["first_pos", "weight", "emission"])
+
+    cliques = (
+        spread(nodes, "label").groupBy("label").cogroup(spread(inside, "component").groupBy("component"))
+        .applyInPandas(cover, "first_pos long, weight long, emission long")
+    )
+    return titles.join(cliques, "first_pos")
 
 
 def group_members(
@@ -201,25 +238,25 @@ def group_members(
         skew_join(blocked.select("pos", "norm", *BLOCK), sizes.select(*BLOCK, "n_items"), BLOCK, sizes, "n_items")
     )
 
+    titles = cut_lineage(distinct_titles(sized))
     if method == "clique":
-        members = clique_members(sized, min_sim, min_group).select(*BLOCK, "emission", "pos", F.lit("clique").alias("method"))
+        grouped = clique_titles(titles, min_sim, min_group, chunk_titles)
     elif method == "component":
-        titles = cut_lineage(distinct_titles(sized))
-        edges = similar_title_edges(titles, min_sim, True, chunk_titles)
-        labels = connected_components(titles.select(F.col("first_pos").alias("node")), edges)
-        labelled = titles.join(labels, titles["first_pos"] == labels["node"]).drop("node")
+        labelled = component_labels(titles, BLOCK, min_sim, chunk_titles, connected_components)
         wide = labelled.groupBy("label").agg(F.sum("n_items").alias("total")).filter(F.col("total") >= min_group)
-        labelled = labelled.join(wide, "label", "left_semi")
-        members = skew_join(
-            sized.select(*BLOCK, "norm", "pos"), labelled.select("norm", "label", *BLOCK), BLOCK + ["norm"], titles, "n_items"
-        ).select(*BLOCK, F.col("label").alias("emission"), "pos", F.lit("component").alias("method"))
+        grouped = labelled.join(wide.select("label"), "label").select(
+            *BLOCK, "norm", F.lit(0).cast("long").alias("weight"), F.col("label").alias("emission")
+        )
     else:
         raise ValueError(f"unknown method {method}")
+    members = skew_join(
+        sized.select(*BLOCK, "norm", "pos"), grouped.select(*BLOCK, "norm", "weight", "emission"), [*BLOCK, "norm"], titles, "n_items"
+    ).select(*BLOCK, (-F.col("weight")).alias("rank"), "emission", "pos", F.lit(method).alias("method"))
     members = cut_lineage(members)
-    heads = members.groupBy(*BLOCK, "emission").agg(F.count(F.lit(1)).alias("item_count"))
+    heads = members.groupBy(*BLOCK, "rank", "emission").agg(F.count(F.lit(1)).alias("item_count"))
     args = {} if rows_per_bucket is None else {"rows_per_bucket": rows_per_bucket}
-    numbered = cut_lineage(number_rows(heads, [*BLOCK, "emission"], "group_no", start=0, **args))
-    named = skew_join(members, numbered, [*BLOCK, "emission"], numbered, "item_count")
+    numbered = cut_lineage(number_rows(heads, [*BLOCK, "rank", "emission"], "group_no", start=0, **args))
+    named = skew_join(members, numbered.drop("rank"), [*BLOCK, "emission"], numbered, "item_count")
     return (
         named.join(blocked.select("pos", "id", "title", "norm"), "pos")
         .withColumn("group_id", tx.group_label(F.col("group_no")))

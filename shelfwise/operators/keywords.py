@@ -15,7 +15,8 @@ MIN_WORD_LEN = 4
 UNMATCHED_MIN_LEN = 5
 UNMATCHED_MIN_ITEMS = 4
 MIN_ITEMS_PER_PAIR = 10
-ROWS_PER_GROUP = 20_000
+PAIRS_PER_GROUP = 2_000_000
+LIST_WORDS = 4096
 
 
 def keyword_counts(items: DataFrame, min_items: int = MIN_ITEMS_PER_WORD, min_len: int = MIN_WORD_LEN) -> DataFrame:
@@ -66,13 +67,13 @@ def vocabulary(words: DataFrame, seq: str) -> DataFrame:
 
 
 def following_words(numbers: DataFrame) -> DataFrame:
-    """``(pos, a, rest)``: every word of a field with the words after it in that field.
+    """``(id, a, rest)``: every word of a field with the words after it in that field.
 
     ``numbers`` has sorted distinct word numbers per field. A title pair is left to the subtitle
     when both words also occur there, so an item counts once per pair without a distinct.
     Rows are produced one word at a time; no list of pairs is ever held.
     """
-    none = F.array().cast("array<int>")
+    none = F.array().cast("array<long>")
     t, s = F.col("title_ids"), F.col("subtitle_ids")
     views = F.array(
         F.struct(t.alias("ids"), s.alias("skip"), F.array_except(t, s).alias("only")),
@@ -82,93 +83,91 @@ def following_words(numbers: DataFrame) -> DataFrame:
         F.slice("ids", F.col("i") + 2, F.size("ids"))
     )
     return (
-        numbers.select("pos", F.inline(views))
-        .select("pos", "ids", "skip", "only", F.posexplode_outer("ids").alias("i", "a"))
+        numbers.select("id", F.inline(views))
+        .select("id", "ids", "skip", "only", F.posexplode_outer("ids").alias("i", "a"))
         .filter("a IS NOT NULL")
-        .select("pos", "a", rest.alias("rest"))
+        .select("id", "a", rest.alias("rest"))
     )
 
 
-def _count_codes(base: int, min_items: int):
-    """Arrow function of one bounded group: pair codes counted by sorting, in numpy."""
+def _count_pairs(min_items: int):
+    """Arrow function of one bounded group: pairs counted by sorting, in numpy."""
 
     def count(table: pa.Table) -> pa.Table:
         rest = table.column("rest").combine_chunks()
         lens = np.diff(rest.offsets.to_numpy())
-        codes = np.repeat(table.column("a").to_numpy().astype(np.int64), lens) * base + rest.flatten().to_numpy()
-        pairs, n = np.unique(codes, return_counts=True)
+        # numbers of the group, so that a pair is one 64-bit code whatever the size of the vocabulary
+        first, a = np.unique(table.column("a").to_numpy(), return_inverse=True)
+        second, b = np.unique(rest.flatten().to_numpy(), return_inverse=True)
+        codes, n = np.unique(np.repeat(a, lens) * len(second) + b, return_counts=True)
         if not table.column("hot")[0].as_py():
-            pairs, n = pairs[n >= min_items], n[n >= min_items]
-        return pa.table({"pair": pairs, "n": n.astype(np.int64)})
+            codes, n = codes[n >= min_items], n[n >= min_items]
+        return pa.table({"a": first[codes // len(second)], "b": second[codes % len(second)], "n": n.astype(np.int64)})
 
     return count
 
 
 def item_word_numbers(items: DataFrame, numbered: DataFrame) -> DataFrame:
-    """``pos, title_ids, subtitle_ids``: sorted distinct word numbers of each field."""
+    """``id, title_ids, subtitle_ids``: sorted distinct word numbers of each field, over all rows of an identifier."""
     sides = F.array(
         F.struct(F.lit(0).alias("f"), tx.token_set(F.col("title")).alias("words")),
         F.struct(F.lit(1).alias("f"), tx.token_set(F.col("subtitle")).alias("words")),
     )
-    flat = items.select("pos", F.inline(sides)).select("pos", "f", F.explode("words").alias("word_low"))
+    flat = items.filter("id IS NOT NULL AND id <> ''").select("id", F.inline(sides)).select("id", "f", F.explode("words").alias("word_low"))
     known = flat.join(broadcast_if_small(numbered), "word_low")
     return (
-        known.groupBy("pos")
+        known.groupBy("id")
         .agg(
-            F.sort_array(F.collect_list(F.when(F.col("f") == 0, F.col("word_no").cast("int")))).alias("title_ids"),
-            F.sort_array(F.collect_list(F.when(F.col("f") == 1, F.col("word_no").cast("int")))).alias("subtitle_ids"),
+            F.sort_array(F.collect_set(F.when(F.col("f") == 0, F.col("word_no")))).alias("title_ids"),
+            F.sort_array(F.collect_set(F.when(F.col("f") == 1, F.col("word_no")))).alias("subtitle_ids"),
         )
     )
 
 
 def frequent_pairs(
-    items: DataFrame, vocab: DataFrame, min_items: int = MIN_ITEMS_PER_PAIR, rows_per_group: int = ROWS_PER_GROUP
+    items: DataFrame, vocab: DataFrame, min_items: int = MIN_ITEMS_PER_PAIR, pairs_per_group: int = PAIRS_PER_GROUP
 ) -> DataFrame:
-    """Word pairs found together in one field of at least ``min_items`` items.
+    """Word pairs found together in one field of at least ``min_items`` identifiers, in the spelling of ``vocab``.
 
-    Words below the minimum cannot be part of such a pair and are dropped first. Each word then
-    travels with the words that follow it; a group takes about ``rows_per_group`` such rows, a
-    frequent word is salted over several groups, and only counts leave a group.
+    Words below the minimum cannot be part of such a pair and are dropped first. Each word then travels with the words that
+    follow it, lists over ``LIST_WORDS`` cut. A first pass sums the list lengths per word, which are the pairs it makes: groups
+    are cut by that sum, a word with more than ``pairs_per_group`` is salted over several groups, and only counts leave a group.
     """
+    named = items.filter("id IS NOT NULL AND id <> ''")
     support = (
-        items.select(F.explode(F.array_union(tx.token_set(F.col("title")), tx.token_set(F.col("subtitle")))).alias("word_low"))
+        named.select(F.explode(F.array_union(tx.token_set(F.col("title")), tx.token_set(F.col("subtitle")))).alias("word_low"))
         .groupBy("word_low").agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") >= min_items)
     )
-    kept = cut_lineage(vocab.select("word_low").join(support, "word_low"))
+    kept = cut_lineage(vocab.select("word_low", "display").join(support, "word_low"))
     numbered = cut_lineage(number_rows(kept, ["word_low"], "word_no"))
-    size = numbered.agg(F.count(F.lit(1)).alias("words"), F.coalesce(F.sum("n"), F.lit(0)).alias("rows")).first()
-    base = size["words"] + 1
-    if base >= 2**31:
-        raise ValueError("vocabulary too large for packed pairs")
-    blocks = max(1, size["rows"] // rows_per_group)
-    # at most rows / rows_per_group words can be hot
-    hot = numbered.filter(F.col("n") > rows_per_group).select(
-        F.col("word_no").cast("int").alias("a"), F.ceil(F.col("n") / rows_per_group).cast("int").alias("salts")
-    )
+    lists = following_words(cut_lineage(item_word_numbers(named, numbered.select("word_low", "word_no")))).filter(F.size("rest") > 0)
+    cost = cut_lineage(lists.groupBy("a").agg(F.sum(F.size("rest").cast("long")).alias("pairs")))
+    blocks = max(1, -(-cost.agg(F.coalesce(F.sum("pairs"), F.lit(0))).first()[0] // pairs_per_group))
+    # by arithmetic at most (all pairs / pairs_per_group) words are hot
+    hot = cost.filter(F.col("pairs") > pairs_per_group).select("a", F.ceil(F.col("pairs") / pairs_per_group).cast("long").alias("salts"))
+    cut = F.sequence(F.lit(1), F.size("rest"), F.lit(LIST_WORDS))
     words = (
-        following_words(item_word_numbers(items, numbered.select("word_low", "word_no")))
+        lists.withColumn("from", F.explode(cut))
+        .withColumn("rest", F.slice("rest", F.col("from"), F.lit(LIST_WORDS)))
         .join(F.broadcast(hot), "a", "left")
-        .filter(F.size("rest") > 0)
         .select(
-            F.when(F.col("salts").isNull(), F.pmod(F.xxhash64("a"), F.lit(blocks))).otherwise(-F.col("a").cast("long")).alias("block"),
-            F.when(F.col("salts").isNull(), F.lit(0)).otherwise(F.pmod(F.xxhash64("pos"), F.col("salts")).cast("int")).alias("salt"),
+            F.when(F.col("salts").isNull(), F.pmod(F.xxhash64("a"), F.lit(blocks))).otherwise(-F.col("a")).alias("block"),
+            F.when(F.col("salts").isNull(), F.lit(0)).otherwise(F.pmod(F.xxhash64("id", "from"), F.col("salts"))).alias("salt"),
             F.col("salts").isNotNull().alias("hot"),
             "a",
             "rest",
         )
     )
-    parts = spread(words, "block", "salt").groupBy("block", "salt").applyInArrow(_count_codes(base, min_items), "pair long, n long")
-    counted = parts.groupBy("pair").agg(F.sum("n").alias("unmatched_item_count")).filter(
+    parts = spread(words, "block", "salt").groupBy("block", "salt").applyInArrow(_count_pairs(min_items), "a long, b long, n long")
+    counted = parts.groupBy("a", "b").agg(F.sum("n").alias("unmatched_item_count")).filter(
         F.col("unmatched_item_count") >= min_items
     )
-    first = numbered.select(F.col("word_no").alias("a"), F.col("word_low").alias("w1"))
-    second = numbered.select(F.col("word_no").alias("b"), F.col("word_low").alias("w2"))
+    first = numbered.select(F.col("word_no").alias("a"), F.col("word_low").alias("w1"), F.col("display").alias("display1"))
+    second = numbered.select(F.col("word_no").alias("b"), F.col("word_low").alias("w2"), F.col("display").alias("display2"))
     return (
-        counted.withColumn("a", F.expr(f"pair div {base}"))
-        .withColumn("b", F.expr(f"pair % {base}"))
-        .join(broadcast_if_small(first), "a")
+        counted.join(broadcast_if_small(first), "a")
         .join(broadcast_if_small(second), "b")
-        .select("w1", "w2", "unmatched_item_count")
+        .select("w1", "w2", "display1", "display2", "unmatched_item_count")
     )
 
 

@@ -8,7 +8,8 @@ from difflib import SequenceMatcher
 
 import pytest
 
-from shelfwise.operators import groups
+from shelfwise.operators import groups, title_join
+from shelfwise.scale import cut_lineage
 
 
 def catalog():
@@ -117,3 +118,78 @@ def test_labels(spark):
                                     "group_id string, group_no long, id string, pos long, title string, norm string, method string")
     got = {r.group_id: (r.master_title, r.item_count) for r in groups.group_heads(members).collect()}
     assert got == {"g": ("steel rod", 2), "h": ("xa", 3)}
+
+
+def one_word_titles(n):
+    """Titles of one block: templates of a few hundred titles each, no two alike, and some titles of their own."""
+    rnd = random.Random(3)
+    word = lambda k: "".join(rnd.choice("abcdefghijklmnopqrstuvwxyz") for _ in range(k))
+    templates = [" ".join(word(7) for _ in range(3)) for _ in range(max(3, n // 100))]
+    own = ["steel " + "".join(rnd.choice("0123456789./-") for _ in range(28)) for _ in range(n // 50)]
+    return list(dict.fromkeys([f"steel {rnd.choice(templates)} {rnd.randrange(1000):04d}" for _ in range(n)] + own))
+
+
+def test_tiles_grow_slower_than_the_square_of_a_block(spark):
+    rows = {}
+    for n in (400, 1600):
+        found = [(f"steel {n}", k * 3, k * 3, t) for k, t in enumerate(one_word_titles(n))]
+        titles = spark.createDataFrame(found, "block string, first_pos long, last_pos long, norm string")
+        chunks = cut_lineage(title_join.profile_chunks(titles, ["block"], 40))
+        assert chunks.count() == len(found) and chunks.groupBy("node").count().agg({"count": "max"}).first()[0] <= 40
+        labelled = title_join.chunk_components(chunks, ["block"], 0.7).drop("node")
+        rows[n] = title_join.cross_tiles(cut_lineage(labelled), ["block"], 0.7, 40).count()
+    assert rows[1600] < 8 * rows[400], rows  # the square would be 16 times
+
+
+def test_bounds_hold(spark):
+    rnd = random.Random(9)
+    chunks = [["".join(rnd.choice("abcdé 1") for _ in range(rnd.randint(1, 12))) for _ in range(rnd.randint(1, 6))] for _ in range(30)]
+
+    def shape(texts):
+        p = title_join.profiles(texts)
+        centre = title_join.np.median(p, axis=0).astype(int)
+        return {"low": p.min(0)[None], "high": p.max(0)[None], "centre": centre[None], "radius": abs(p - centre).sum(1).max(keepdims=True),
+                "short": p.sum(1).min(keepdims=True), "long": p.sum(1).max(keepdims=True)}
+
+    for a, b in itertools.combinations(chunks, 2):
+        best = max(SequenceMatcher(None, x, y).ratio() for x in a for y in b)
+        one = {k: v[0] for k, v in shape(a).items()}
+        assert title_join.best_ratio(one, shape(b))[0] >= best - 1e-9
+
+
+def brute_cover(first, weight, edges, size):
+    adj = {i: {j for a, b in edges for i2, j in ((a, b), (b, a)) if i2 == i} for i in range(len(first))}
+    left, out = set(adj), []
+    while True:
+        found = [c for k in range(1, len(left) + 1) for c in itertools.combinations(sorted(left), k) if all(y in adj[x] for x, y in itertools.combinations(c, 2))]
+        found = [(-sum(weight[i] for i in c), sorted(first[i] for i in c), list(c)) for c in found]
+        best = min(found, default=(0, [], []))
+        if -best[0] < size:
+            return out
+        out.append((-best[0], best[2]))
+        left -= set(best[2])
+
+
+@pytest.mark.parametrize("seed", range(12))
+def test_clique_cover(seed):
+    rnd = random.Random(seed)
+    n = rnd.randint(1, 9)
+    first = rnd.sample(range(100), n)
+    weight = [rnd.choice([1, 1, 1, 2, 4]) for _ in range(n)]
+    edges = [(i, j) for i, j in itertools.combinations(range(n), 2) if rnd.random() < rnd.choice([0.3, 0.8])]
+    assert groups.clique_cover(first, weight, edges, 2) == brute_cover(first, weight, edges, 2)
+
+
+def test_large_cliques_end():
+    n = 300
+    apart = [(i, j) for i, j in itertools.combinations(range(n), 2) if i // 2 != j // 2]  # 2^150 largest cliques
+    assert groups.clique_cover(list(range(n)), [1] * n, apart, 5)[0] == (150, list(range(0, n, 2)))
+
+
+def test_cliques_of_a_block_of_many_small_components(spark):
+    rnd = random.Random(1)
+    base = [f"steel {rnd.randrange(10**9):09d}{rnd.randrange(10**9):09d}" for _ in range(40)]
+    rows = [(k, f"i{k}", f"{t[:-1]}{e}", "") for k, (t, e) in enumerate((t, e) for t in base for e in "abcde")]
+    items = spark.createDataFrame(rows, "pos long, id string, title string, subtitle string")
+    got = groups.group_members(items, 0.9, 5, "clique", chunk_titles=30).groupBy("group_id").count().collect()
+    assert len(got) == 40 and {r["count"] for r in got} == {5}

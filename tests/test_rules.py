@@ -140,6 +140,29 @@ def test_claims_with_minimum(spark, seed):
     assert {r.pos: r["rank"] for r in decisions.claim_with_minimum(df, 4).collect()} == want
 
 
+@pytest.mark.parametrize("limits", [{}, {"max_bytes": 0}, {"max_bytes": 0, "hot_rows": 5}])
+def test_pair_hits(spark, limits):
+    items, _ = items_and_rules()
+    low = [w.lower() for w in WORDS] + ["nowhere"]
+    pairs = [(a, b.upper(), k) for k, (a, b) in enumerate(itertools.combinations(low, 2))]
+    want = set()
+    for pos, _, title, subtitle in items:
+        for a, b, rank in pairs:
+            if any({a, b.lower()} <= set(re.findall("[a-z]+", t.lower())) for t in (title, subtitle)):
+                want.add((pos, rank))
+    got = decisions.pair_hits(spark.createDataFrame(items, ITEM), spark.createDataFrame(pairs, "w1 string, w2 string, rank long"), **limits).collect()
+    assert len(got) == len(want) and {(r.pos, r["rank"]) for r in got} == want
+
+
+def test_claims_of_a_long_chain_take_few_waves(spark, monkeypatch):
+    # pair k shares items with pair k + 1 only; all are certain at once
+    hits = [(100 * k + j, f"i{100 * k + j}", k) for k in range(40) for j in range(6)] + [(100 * k + 5, f"i{100 * k + 5}", k + 1) for k in range(39)]
+    waves = []
+    monkeypatch.setattr(decisions, "skew_join", lambda *a, plain=decisions.skew_join, **k: waves.append(1) or plain(*a, **k))
+    got = decisions.claim_with_minimum(spark.createDataFrame(hits, "pos long, id string, rank long"), 4).collect()
+    assert len(got) == 240 and all(r["rank"] == r.pos // 100 for r in got) and len(waves) <= 2
+
+
 def test_decision_log(spark):
     log = spark.createDataFrame(
         [("g1", "assign", "a/b", 1, 1), ("g1", "cleared", None, 2, 2), ("g2", "unknown", None, 1, 3), ("g2", "assign", "a/c", 3, 4), ("g3", "unknown", None, 1, 5)],

@@ -235,8 +235,10 @@ def vocabulary(spark, d):
 
 @query
 def frequent_pairs(spark, d):
+    """Over a list in which every item stands twice, as in lists that several runs wrote."""
     items = view(spark, d, "items")
-    return keywords.frequent_pairs(items, vocabulary_of(items))
+    again = items.withColumn("subtitle", F.lit("")).withColumn("pos", F.col("pos") + 10**12)
+    return keywords.frequent_pairs(items.unionByName(again), vocabulary_of(items))
 
 
 def pair_state(spark, d):
@@ -275,37 +277,42 @@ def block_sizes(spark, d):
 
 @query
 def similar_groups(spark, d):
-    return groups.group_members(view(spark, d, "items")).select("group_id", "method", "id")
+    return title_groups(spark, d).select("group_id", "method", "id")
 
 
-def equal_title_groups(spark, d):
-    """Groups at similarity 1.0, where SQL can give the same answer."""
-    return groups.group_members(view(spark, d, "items"), min_sim=1.0)
+@query
+def clique_groups(spark, d):
+    return groups.group_members(view(spark, d, "items"), method="clique").select("group_id", "method", "id")
 
 
 @query
 def equal_groups(spark, d):
-    return equal_title_groups(spark, d).select("group_id", "method", "id")
+    """Groups of equal titles, as a caller gets them at threshold 1."""
+    return groups.group_members(view(spark, d, "items"), min_sim=1.0).select("group_id", "method", "id")
+
+
+def title_groups(spark, d):
+    return groups.group_members(view(spark, d, "items"))
 
 
 @query
 def group_labels(spark, d):
-    return groups.group_heads(equal_title_groups(spark, d))
+    return groups.group_heads(title_groups(spark, d))
 
 
 @query
 def group_stats(spark, d):
     items = view(spark, d, "items")
-    return groups.group_stats(items, cut_lineage(equal_title_groups(spark, d)))
+    return groups.group_stats(items, cut_lineage(title_groups(spark, d)))
 
 
 @query
 def ungrouped_items(spark, d):
-    return groups.ungrouped(view(spark, d, "items"), equal_title_groups(spark, d)).select("id", "title")
+    return groups.ungrouped(view(spark, d, "items"), title_groups(spark, d)).select("id", "title")
 
 
 def group_state(spark, d):
-    members = cut_lineage(equal_title_groups(spark, d))
+    members = cut_lineage(title_groups(spark, d))
     latest = cut_lineage(decisions.latest_decisions(view(spark, d, "decision_log")))
     leaf_rows = cut_lineage(taxonomy.leaves(nodes_of(spark, d)))
     return members, latest, decisions.assign_groups(members, latest, leaf_rows)
@@ -782,7 +789,7 @@ def match_document(spark, d):
 
 @query
 def group_preview(spark, d):
-    return groups.preview(equal_title_groups(spark, d)).select("group_id", "rank", "id")
+    return groups.preview(title_groups(spark, d)).select("group_id", "rank", "id")
 
 
 @query

@@ -253,7 +253,7 @@ post AS (SELECT DISTINCT pos, f, w FROM (
     WHERE w IN (SELECT word FROM un_words)),
 freq AS (SELECT w1, w2, count(*) AS unmatched_item_count FROM (
     SELECT DISTINCT a.pos, a.w AS w1, b.w AS w2 FROM post a JOIN post b ON a.pos = b.pos AND a.f = b.f AND a.w < b.w) GROUP BY 1, 2 HAVING count(*) >= 10)"""
-check("frequent_pairs", "SELECT * FROM freq", "items", ctes=PAIRS)
+check("frequent_pairs", "SELECT w1, w2, w1 AS display1, w2 AS display2, unmatched_item_count FROM freq", "items", ctes=PAIRS)
 PAIR_STATE = PAIRS + f""",
 ranked_pairs AS (SELECT *, row_number() OVER (ORDER BY unmatched_item_count DESC, w1, w2) AS rank FROM freq),
 pair_latest AS (SELECT rank, arg_max(kind, {{'t': decided_at, 's': seq}}) AS kind, arg_max(leaf_path, {{'t': decided_at, 's': seq}}) AS leaf_path FROM pair_log GROUP BY rank),
@@ -268,6 +268,18 @@ check(
        FROM claims c JOIN decided d ON d.rank = c.rank JOIN items i ON i.pos = c.pos""",
     "items", "pair_log", ctes=PAIR_STATE,
 )
+# pair by pair in order of rank, with the list of items taken so far
+check(
+    "pair_claims_min",
+    """SELECT i.id, t.rank FROM (SELECT rank, unnest(won) AS pos FROM turns) t JOIN items i ON i.pos = t.pos""",
+    "items", "pair_log", ctes=PAIR_STATE + """,
+wanted AS (SELECT rank, list(pos ORDER BY pos) AS mine, row_number() OVER (ORDER BY rank) AS turn FROM hits WHERE kind = 'assign' GROUP BY rank),
+turns AS (
+    SELECT 0::BIGINT AS turn, 0::BIGINT AS rank, []::BIGINT[] AS won, []::BIGINT[] AS taken
+    UNION ALL
+    SELECT turn, rank, CASE WHEN len(open) >= 10 THEN open ELSE [] END, CASE WHEN len(open) >= 10 THEN list_concat(taken, open) ELSE taken END
+    FROM (SELECT w.turn, w.rank, t.taken, [x FOR x IN w.mine IF NOT list_contains(t.taken, x)] AS open FROM turns t JOIN wanted w ON w.turn = t.turn + 1))""",
+)
 check(
     "pair_work_remaining",
     """SELECT (SELECT count(*) FROM items WHERE pos NOT IN (SELECT pos FROM claims)) AS uncategorized,
@@ -282,18 +294,47 @@ check(
     "SELECT token, band, count(*) AS n_items, count(DISTINCT norm) AS n_titles, count(*) * (count(*) - 1) // 2 AS n_pairs FROM blocked GROUP BY token, band",
     "items", ctes=BLOCKED,
 )
-GROUPS = BLOCKED + """,
+EQUAL = BLOCKED + """,
 sized AS (SELECT *, count(*) OVER (PARTITION BY token, band) AS k FROM blocked),
 heads AS (SELECT token, band, norm, k, count(*) AS item_count, min(pos) AS first_pos FROM sized GROUP BY ALL HAVING count(*) >= 5),
 numbered AS (SELECT *, 'g_' || lpad((row_number() OVER (ORDER BY token, band, first_pos) - 1)::VARCHAR, 6, '0') AS group_id,
     'component' AS method FROM heads),
 members AS (SELECT b.*, n.group_id, n.method FROM blocked b JOIN numbered n ON n.token = b.token AND n.band = b.band AND n.norm = b.norm)"""
-check("equal_groups", "SELECT group_id, method, id FROM members", "items", ctes=GROUPS)
+check("equal_groups", "SELECT group_id, method, id FROM members", "items", ctes=EQUAL)
+# Every pair of distinct titles of a block, by the definition of the ratio: the longest common part (first in the left title,
+# then in the right) counts, then what is left and right of it is matched in the same way. Titles of 200 characters or more
+# would need the matcher's rule on frequent characters; no block of five holds two of them.
+GROUPS = BLOCKED + """,
+sized AS (SELECT *, count(*) OVER (PARTITION BY token, band) AS k FROM blocked),
+titles AS (SELECT token, band, norm, min(pos) AS p, max(pos) AS q FROM sized WHERE k >= 5 GROUP BY 1, 2, 3),
+parts AS (
+    SELECT a.p AS u, b.p AS v, a.norm AS x, b.norm AS y, 0::BIGINT AS m, length(a.norm) + length(b.norm) AS total
+    FROM titles a JOIN titles b ON a.token = b.token AND a.band = b.band AND a.p <> b.p AND a.p < b.q
+    UNION ALL
+    SELECT u, v, unnest([x[:i - 1], x[i + z:]]), unnest([y[:j - 1], y[j + z:]]), unnest([z, 0]), total
+    FROM (SELECT *, strpos(y, x[i:i + z - 1]) AS j FROM (
+        SELECT *, list_position([contains(y, x[s:s + z - 1]) FOR s IN range(1, length(x) - z + 2)], true) AS i FROM (
+            SELECT *, list_max([coalesce(list_max([w FOR w IN range(1, length(x) - s + 2) IF contains(y, x[s:s + w - 1])]), 0) FOR s IN range(1, length(x) + 1)]) AS z
+            FROM parts WHERE length(x) > 0 AND length(y) > 0) WHERE z > 0))),
+edges AS (SELECT u, v FROM parts GROUP BY u, v HAVING 2.0 * sum(m) / any_value(total) >= 0.7),
+both_ways AS (SELECT u, v FROM edges UNION SELECT v, u FROM edges),
+near AS (SELECT t.p, least(t.p, coalesce(min(e.v), t.p)) AS c FROM titles t LEFT JOIN both_ways e ON e.u = t.p GROUP BY t.p),
+links AS (SELECT DISTINCT a.c AS u, b.c AS v FROM both_ways e JOIN near a ON a.p = e.u JOIN near b ON b.p = e.v),
+reach AS (SELECT DISTINCT c AS c, c AS r FROM near UNION SELECT w.c, l.v FROM reach w JOIN links l ON l.u = w.r),
+component AS (SELECT n.p, min(w.r) AS first_pos FROM near n JOIN reach w ON w.c = n.c GROUP BY n.p),
+linked AS (SELECT s.*, c.first_pos FROM sized s JOIN titles t ON t.token = s.token AND t.band = s.band AND t.norm = s.norm JOIN component c ON c.p = t.p),
+heads AS (SELECT token, band, first_pos, count(*) AS item_count FROM linked GROUP BY ALL HAVING count(*) >= 5),
+numbered AS (SELECT *, 'g_' || lpad((row_number() OVER (ORDER BY token, band, first_pos) - 1)::VARCHAR, 6, '0') AS group_id,
+    'component' AS method FROM heads),
+members AS (SELECT l.*, n.group_id, n.method FROM linked l JOIN numbered n ON n.token = l.token AND n.band = l.band AND n.first_pos = l.first_pos),
+common AS (SELECT group_id, min(norm) AS lo, max(norm) AS hi, arg_min(title, {'l': length(title), 'p': pos}) AS shortest FROM members GROUP BY group_id),
+labels AS (SELECT group_id, trim(lo[:list_max([0] || [z FOR z IN range(1, least(length(lo), length(hi)) + 1) IF lo[:z] = hi[:z]])]) AS prefix, shortest FROM common)"""
+check("similar_groups", "SELECT group_id, method, id FROM members", "items", ctes=GROUPS)
 check(
     "group_labels",
-    f"""SELECT n.group_id, n.method, n.item_count,
-        CASE WHEN length(n.norm) >= 4 THEN n.norm ELSE (SELECT trim(arg_min(m.title, {{'l': length(m.title), 'p': m.pos}})) FROM members m WHERE m.group_id = n.group_id) END AS master_title
-        FROM numbered n""",
+    """SELECT n.group_id, n.method, n.item_count,
+        CASE WHEN length(l.prefix) >= 4 THEN l.prefix ELSE coalesce(nullif(trim(l.shortest), ''), l.prefix) END AS master_title
+        FROM numbered n JOIN labels l ON l.group_id = n.group_id""",
     "items", ctes=GROUPS,
 )
 check(
