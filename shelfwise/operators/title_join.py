@@ -7,7 +7,11 @@ small alphabet (characters share cells) can only make D smaller, so they bound t
   to the nearest of up to 64 titles of the part (L1, ties dealt out by position). Parts are split in salted groups, so a
   block with a third of all titles is many tasks.
 * A chunk has a box (least and largest count per character), a centre with a radius, and a range of lengths. Each gives a
-  lower bound on D between two chunks. Two chunks meet in a tile only if no bound puts the ratio below the threshold.
+  lower bound on D between two chunks. What the ratio counts is also a common subsequence: wherever it crosses the middle of
+  one title, it crosses the other at some place, so it is at most what the two first parts share plus what the two last
+  parts share, for the best such place. Chunks keep the largest counts of halves, and of first and last parts at 16 places,
+  with the most digits and the most other characters that a single title has there.
+  Two chunks meet in a tile only if no bound puts the ratio below the threshold.
 * For components, chunks are first compared with themselves, then a few titles of sibling parts with each other, which
   joins nearly all of what belongs together at linear cost. Titles of a large component are then chunked again on their own
   and the few others together: chunks of one component never meet, so what is left grows with the others, not with the
@@ -35,7 +39,11 @@ REPRESENTATIVES = 8
 ASSIGN_ROWS = 20_000
 CELL_CHUNKS = 500
 ALPHABET = 128
+PLACES = 16
 _SMALLER = 1e-9
+_DIGITS = slice(16, 26)
+_WIDE = ALPHABET + 2  # largest counts, most digits, most others
+_ARRAYS = {"low": (ALPHABET,), "centre": (ALPHABET,), "high": (_WIDE,), "halves": (2, _WIDE), "starts": (PLACES, _WIDE), "ends": (PLACES, _WIDE)}
 
 
 def profiles(texts: Sequence[str]) -> np.ndarray:
@@ -96,35 +104,69 @@ def profile_chunks(titles: DataFrame, keys: Sequence[str], chunk_titles: int = C
     return rows
 
 
+def shape_of(texts: list[str]) -> dict[str, np.ndarray]:
+    """What the bounds need of a chunk."""
+    p = profiles(texts)
+    centre = np.median(p, axis=0).astype(np.int32)
+    lens = p.sum(axis=1)
+
+    def most(parts: list[str]) -> np.ndarray:
+        p = profiles(parts)
+        digits = p[:, _DIGITS].sum(axis=1)
+        return np.concatenate([p.max(axis=0), [digits.max(), (p.sum(axis=1) - digits).max()]]).astype(np.int32)
+
+    return {
+        "low": p.min(axis=0), "high": most(texts), "centre": centre,
+        "halves": np.stack([most([t[: len(t) // 2] for t in texts]), most([t[len(t) // 2 :] for t in texts])]),
+        "starts": np.stack([most([t[: -(-g * len(t) // PLACES)] for t in texts]) for g in range(1, PLACES + 1)]),
+        "ends": np.stack([most([t[g * len(t) // PLACES :] for t in texts]) for g in range(PLACES)]),
+        "radius": np.abs(p - centre).sum(axis=1).max(), "short": lens.min(), "long": lens.max(),
+    }
+
+
 def chunk_bounds(chunks: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """Box, centre, radius, lengths and number of titles of every chunk (``keys`` and node)."""
+    """Box, centre, radius, lengths, halves, starts and ends of every chunk (``keys`` and node)."""
     part = [*keys, "node"]
 
     def bounds(pdf: pd.DataFrame) -> pd.DataFrame:
-        p = profiles(pdf["norm"].tolist())
-        centre = np.median(p, axis=0).astype(np.int32)
         out = pdf[part].head(1).copy()
-        for name, value in (("low", p.min(axis=0)), ("high", p.max(axis=0)), ("centre", centre)):
-            out[name] = [value.astype(np.int32).tobytes()]
-        lens = p.sum(axis=1)
-        out["radius"], out["short"], out["long"] = int(np.abs(p - centre).sum(axis=1).max()), int(lens.min()), int(lens.max())
+        for name, value in shape_of(pdf["norm"].tolist()).items():
+            out[name] = [value.tobytes()] if name in _ARRAYS else int(value)
         return out
 
     schema = T.StructType([chunks.schema[c] for c in part])
-    for name in ("low", "high", "centre"):
+    for name in _ARRAYS:
         schema = schema.add(name, T.BinaryType())
     for name in ("radius", "short", "long"):
         schema = schema.add(name, T.LongType())
     return spread(chunks, *part).groupBy(*part).applyInPandas(bounds, schema)
 
 
+def _shared(x: np.ndarray, y: np.ndarray) -> np.ndarray:
+    """Most characters that a title below the counts ``x`` shares with one below ``y``."""
+    both = np.minimum(x, y)
+    digits = both[..., _DIGITS].sum(axis=-1)
+    others = both[..., :ALPHABET].sum(axis=-1) - digits
+    return np.minimum(digits, both[..., ALPHABET]) + np.minimum(others, both[..., ALPHABET + 1])
+
+
+def _crossing(a: dict[str, np.ndarray], b: dict[str, np.ndarray]) -> np.ndarray:
+    """Most characters in common order when the halves of ``a`` meet first and last parts of ``b``."""
+    return (_shared(a["halves"][..., :1, :], b["starts"]) + _shared(a["halves"][..., 1:, :], b["ends"])).max(axis=-1)
+
+
 def best_ratio(a: dict[str, np.ndarray], b: dict[str, np.ndarray]) -> np.ndarray:
     """Upper bound of the ratio between one chunk ``a`` and each chunk of ``b``."""
-    box = np.maximum(b["low"] - a["high"], 0).sum(axis=1) + np.maximum(a["low"] - b["high"], 0).sum(axis=1)
+    high_a, high_b = a["high"][..., :ALPHABET], b["high"][..., :ALPHABET]
+    box = np.maximum(b["low"] - high_a, 0).sum(axis=1) + np.maximum(a["low"] - high_b, 0).sum(axis=1)
     ball = np.abs(a["centre"] - b["centre"]).sum(axis=1) - a["radius"] - b["radius"]
     length = np.maximum(b["short"] - a["long"], a["short"] - b["long"])
     apart = np.maximum(np.maximum(box, ball), np.maximum(length, 0))
-    return 1.0 - apart / np.maximum(a["long"] + b["long"], 1)
+    by_counts = 1.0 - apart / np.maximum(a["long"] + b["long"], 1)
+    least = a["short"] + b["short"]
+    shared = np.minimum(np.minimum(_crossing(a, b), _crossing(b, a)), _shared(a["high"], b["high"]))
+    by_order = np.where(least > 0, 2.0 * shared / np.maximum(least, 1), 1.0)
+    return np.minimum(by_counts, by_order)
 
 
 def chunk_pairs(chunks: DataFrame, block: Sequence[str], min_sim: float, cell_chunks: int = CELL_CHUNKS) -> DataFrame:
@@ -150,7 +192,7 @@ def chunk_pairs(chunks: DataFrame, block: Sequence[str], min_sim: float, cell_ch
     def compare(pdf: pd.DataFrame) -> pd.DataFrame:
         side, name = pdf["__side"].to_numpy(), pdf["part"].to_numpy()
         one, component = pdf["one"].to_numpy(dtype=bool), pdf["component"].to_numpy()
-        shape = {c: np.stack([np.frombuffer(v, np.int32) for v in pdf[c]]) for c in ("low", "high", "centre")}
+        shape = {c: np.stack([np.frombuffer(v, np.int32).reshape(_ARRAYS[c]) for v in pdf[c]]) for c in _ARRAYS}
         shape |= {c: pdf[c].to_numpy() for c in ("radius", "short", "long")}
         cross = bool(side.any())
         found: list[tuple[str, str]] = []
@@ -257,7 +299,7 @@ def cross_tiles(labelled: DataFrame, block: Sequence[str], min_sim: float, chunk
     chunks = cut_lineage(profile_chunks(titles, [*block, "kind"], chunk_titles))
     shapes = chunk_bounds(chunks, [*block, "kind"])
     name = F.concat(F.col("kind").cast("string"), F.lit("/"), F.col("node"))
-    shapes = shapes.select(*block, name.alias("part"), (F.col("kind") >= 0).alias("one"), F.col("kind").alias("component"), "low", "high", "centre", "radius", "short", "long")
+    shapes = shapes.select(*block, name.alias("part"), (F.col("kind") >= 0).alias("one"), F.col("kind").alias("component"), *_ARRAYS, "radius", "short", "long")
     return tiles(chunks.withColumn("part", name), chunk_pairs(shapes, block, min_sim), block)
 
 

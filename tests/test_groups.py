@@ -129,32 +129,33 @@ def one_word_titles(n):
     return list(dict.fromkeys([f"steel {rnd.choice(templates)} {rnd.randrange(1000):04d}" for _ in range(n)] + own))
 
 
-def test_tiles_grow_slower_than_the_square_of_a_block(spark):
-    rows = {}
-    for n in (400, 1600):
-        found = [(f"steel {n}", k * 3, k * 3, t) for k, t in enumerate(one_word_titles(n))]
-        titles = spark.createDataFrame(found, "block string, first_pos long, last_pos long, norm string")
-        chunks = cut_lineage(title_join.profile_chunks(titles, ["block"], 40))
-        assert chunks.count() == len(found) and chunks.groupBy("node").count().agg({"count": "max"}).first()[0] <= 40
-        labelled = title_join.chunk_components(chunks, ["block"], 0.7).drop("node")
-        rows[n] = title_join.cross_tiles(cut_lineage(labelled), ["block"], 0.7, 40).count()
-    assert rows[1600] < 8 * rows[400], rows  # the square would be 16 times
+def test_few_tiles_of_a_block_are_built(spark, monkeypatch):
+    rows, plain = [], title_join.cross_tiles
+
+    def counted(*args):
+        laid = cut_lineage(plain(*args))
+        rows.append(laid.count())
+        return laid
+
+    monkeypatch.setattr(title_join, "cross_tiles", counted)
+    found = [("steel", k * 3, k * 3, t) for k, t in enumerate(one_word_titles(1600))]
+    titles = spark.createDataFrame(found, "block string, first_pos long, last_pos long, norm string")
+    chunks = title_join.profile_chunks(titles, ["block"], 40)
+    assert chunks.count() == len(found) and chunks.groupBy("node").count().agg({"count": "max"}).first()[0] <= 40
+    labels = title_join.component_labels(titles, ["block"], 0.7, 40, groups.connected_components)
+    assert labels.count() == len(found)
+    # laid out to every chunk, the titles were 40 rows each at least
+    assert rows[0] < 0.05 * 40 * len(found)
 
 
 def test_bounds_hold(spark):
     rnd = random.Random(9)
     chunks = [["".join(rnd.choice("abcdé 1") for _ in range(rnd.randint(1, 12))) for _ in range(rnd.randint(1, 6))] for _ in range(30)]
 
-    def shape(texts):
-        p = title_join.profiles(texts)
-        centre = title_join.np.median(p, axis=0).astype(int)
-        return {"low": p.min(0)[None], "high": p.max(0)[None], "centre": centre[None], "radius": abs(p - centre).sum(1).max(keepdims=True),
-                "short": p.sum(1).min(keepdims=True), "long": p.sum(1).max(keepdims=True)}
-
     for a, b in itertools.combinations(chunks, 2):
         best = max(SequenceMatcher(None, x, y).ratio() for x in a for y in b)
-        one = {k: v[0] for k, v in shape(a).items()}
-        assert title_join.best_ratio(one, shape(b))[0] >= best - 1e-9
+        many = {k: v[None] for k, v in title_join.shape_of(b).items()}
+        assert title_join.best_ratio(title_join.shape_of(a), many)[0] >= best - 1e-9
 
 
 def brute_cover(first, weight, edges, size):

@@ -121,8 +121,11 @@ def test_frequent_pairs(spark, rows_per_group):
             found |= set(itertools.combinations(sorted(set(re.findall("[a-z]+", text))), 2))
         count.update(found)
     df = spark.createDataFrame(items, ITEM)
-    words = spark.createDataFrame([(w,) for w in vocab], "word_low string")
-    got = keywords.frequent_pairs(df, words, 10, rows_per_group).collect()
+    words = spark.createDataFrame([(w, w.upper()) for w in vocab], "word_low string, display string")
+    again = df.withColumn("pos", F.col("pos") + 1000)  # rows of an identifier count once
+    lost = spark.createDataFrame([(5000, None, "w w", ""), (5001, "", "w w", "")], ITEM)
+    got = keywords.frequent_pairs(df.union(again).union(lost), words, 10, rows_per_group).collect()
+    assert all((r.display1, r.display2) == (r.w1.upper(), r.w2.upper()) for r in got)
     assert {(r.w1, r.w2): r.unmatched_item_count for r in got} == {p: n for p, n in count.items() if n >= 10}
 
 
