@@ -13,9 +13,9 @@ footer the counts, the place of the index and a CRC of all before it.
 Reading uses the index alone to find blocks, so any range of ids can be read by itself. Positions over all files are
 a prefix sum over one row per file.
 
-Tokenizer: the pre-tokenizer cuts before a blank that stands before a visible character, so text between such places
-can be encoded by itself. Each worker remembers the ids of the pieces it met lately, 2 * CACHE at most, and encodes only
-new ones, those of a document at once. Every document ends with END.
+Tokenizer: the pre-tokenizer cuts before a blank that stands before a visible character and around a single line break, so
+text between such places can be encoded by itself. Each worker remembers the ids of the pieces it met lately, in about
+2 * CACHE_BYTES, and encodes only new ones, those of many documents at once. Every document ends with END.
 
 Nulls: a null or empty text is the end id alone. Repeated identifiers are documents of their own, ordered by text.
 An empty table gives no files and no rows. Only the identifier and the text are read.
@@ -41,7 +41,9 @@ from shelfwise.llm.files import contents, writing
 END = 2
 BLOCK = 1024
 PERCENT = 95
-CACHE = 400_000
+CACHE_BYTES = 40 << 20
+PIECE_BYTES = 150  # what a piece takes beside its characters and ids
+GROUP_CHARS = 1 << 20
 FILE_BYTES = 16 << 20
 #: Marks and layouts of the file format.
 MAGIC = b"PFORIDS1"
@@ -148,12 +150,12 @@ def read_file(data: bytes) -> Iterator[tuple[int | None, np.ndarray]]:
 class Encoder:
     """Token ids of texts; pieces seen lately are not encoded again.
 
-    Pieces live in two generations of at most CACHE; when the young one is full it becomes the old one, and what is
+    Pieces live in two generations of about CACHE_BYTES each; when the young one is full it becomes the old one, and what is
     used again moves up.
     """
 
     cut = re.compile(r"(?= \S)")
-    odd = re.compile(r" (?:\s|\Z)")
+    other = re.compile(r"[^\S \n]|\0")
     inner = re.compile(r"(?s:.)\s")
 
     def __init__(self, path: str):
@@ -164,14 +166,24 @@ class Encoder:
         self.line = line[0] if len(line) == 1 else None
         self.known: dict[str, bytes] = {}
         self.old: dict[str, bytes] = {}
+        self.size = 0
+
+    def _pieces(self, text: str) -> list[str]:
+        """The text cut where the pre-tokenizer cuts too."""
+        if self.other.search(text) is None:
+            # a single line break between words is a piece of its own
+            pieces = text.replace("\n", "\0\n\0").replace(" ", "\0 ").split("\0")
+            if "" not in pieces and " " not in pieces:
+                return pieces
+        return self.cut.split(text)
 
     def _learn(self, pieces: set[str]) -> None:
-        known, old = self.known, self.old
-        known.update({p: old[p] for p in pieces if p in old})
-        new = [p for p in pieces if p not in known]
+        known, old, inner = self.known, self.old, self.inner.search
+        moved = {p: old[p] for p in pieces if p in old}
+        known.update(moved)
+        new = list(pieces.difference(moved))
         # a line break between pieces is a token of its own and marks the borders
-        inner = self.inner.search
-        plain = [p for p in new if p != " " and not inner(p)] if self.line is not None else []
+        plain = [p for p in new if p.strip(" ") not in ("", "\n") and not inner(p)] if self.line is not None else []
         if plain:
             ids = np.array(self.tokenizer.encode_batch_fast(["\n".join(plain)], add_special_tokens=False)[0].ids, "<u4")
             borders = np.flatnonzero(ids == self.line)
@@ -183,19 +195,36 @@ class Encoder:
         rest = [p for p in new if p not in known]
         for p, e in zip(rest, self.tokenizer.encode_batch_fast(rest, add_special_tokens=False)):
             known[p] = np.array(e.ids, "<u4").tobytes()
-
-    def encode(self, text: str) -> np.ndarray:
-        if self.odd.search(text):
-            pieces = self.cut.split(text)
-        else:
-            pieces = text.replace(" ", "\0 ").split("\0") if "\0" not in text else self.cut.split(text)
-        if len(self.known) > CACHE:
-            self.known, self.old = {}, self.known
-        known = self.known
-        new = {p for p in pieces if p not in known}
+        # characters and ids of a piece take about three bytes per character
+        self.size += sum(map(len, pieces)) * 3 + len(pieces) * PIECE_BYTES
+
+    def encode_all(self, texts: list[str]) -> list[np.ndarray]:
+        """Ids of every text, with END."""
+        cut = [self._pieces(t) for t in texts]
+        if self.size > CACHE_BYTES:
+            self.known, self.old, self.size = {}, self.known, 0
+        new = set().union(*cut).difference(self.known)
         if new:
             self._learn(new)
-        return np.frombuffer(b"".join(map(known.__getitem__, pieces)) + END.to_bytes(4, "little"), "<u4")
+        known, end = self.known.__getitem__, END.to_bytes(4, "little")
+        return [np.frombuffer(b"".join(map(known, pieces)) + end, "<u4") for pieces in cut]
+
+    def encode(self, text: str) -> np.ndarray:
+        return self.encode_all([text])[0]
+
+
+def groups_of(batch: pa.RecordBatch) -> Iterator[tuple[list[int | None], list[str]]]:
+    """Documents of a batch in groups of about GROUP_CHARS, whose new pieces are encoded at once."""
+    names, texts, size = [], [], 0
+    for doc_id, text in zip(batch.column("doc_id").to_pylist(), batch.column("text")):
+        names.append(doc_id)
+        texts.append(text.as_py())
+        size += len(texts[-1])
+        if size >= GROUP_CHARS:
+            yield names, texts
+            names, texts, size = [], [], 0
+    if names:
+        yield names, texts
 
 
 @cache
@@ -228,8 +257,9 @@ def write_tokens(docs: DataFrame, folder: str, tokenizer: str | None = None, id_
             writer = BlockWriter(out)
             batch = first
             while batch is not None:
-                for doc_id, text in zip(batch.column("doc_id").to_pylist(), batch.column("text")):
-                    writer.add(doc_id, encoder.encode(text.as_py()))
+                for names, texts in groups_of(batch):
+                    for doc_id, ids in zip(names, encoder.encode_all(texts)):
+                        writer.add(doc_id, ids)
                 batch = next(batches, None)
             writer.close()
         yield pa.RecordBatch.from_pydict({"part": [part], "n_docs": [len(writer.docs)], "n_ids": [writer.n_ids]})
