@@ -11,7 +11,8 @@ Copies collapse in their own partition before the first exchange, so a text that
 costs one row a partition.
 
 Nulls: a null text counts as empty; all texts without visible characters are one group. A null identifier
-loses every tie and stays null. Repeated rows (same identifier, same text) are members like others. An empty
+loses every tie and stays null. Repeated rows (same identifier, same text) are members like others; of rows that
+tie in all, the first read is kept, so one row of every group is. Very long texts are digested whole. An empty
 table gives an empty result. Only the identifier and the text column are read, other names cannot clash.
 """
 
@@ -42,6 +43,7 @@ def digest_table(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
         )
         .withColumn("shard", F.substring("sha", 1, 3))
         .withColumn("run", F.spark_partition_id())
+        .withColumn("row", F.monotonically_increasing_id())
     )
 
 
@@ -60,7 +62,7 @@ def merge_tree(digests: DataFrame, fan: int = FAN) -> DataFrame:
     last = digests.agg(F.max("run")).first()[0] or 0
     runs = digests.groupBy("shard", "run", "sha", "second", "n_bytes").agg(
         # ~id falls as id grows and cannot overflow
-        F.max(F.struct("n_points", F.expr("~doc_id").alias("inverse"))).alias("best"),
+        F.max(F.struct("n_points", F.expr("~doc_id").alias("inverse"), F.expr("~row").alias("row"))).alias("best"),
         F.count(F.lit(1)).alias("n_rows"),
     )
     while True:
@@ -68,18 +70,20 @@ def merge_tree(digests: DataFrame, fan: int = FAN) -> DataFrame:
         last //= fan
         if last == 0:
             break
-    return runs.select(*KEY, F.expr("~best.inverse").alias("keep_id"), F.col("n_rows").alias("group_size"))
+    return runs.select(
+        *KEY, F.expr("~best.inverse").alias("keep_id"), F.expr("~best.row").alias("keep_row"), F.col("n_rows").alias("group_size")
+    )
 
 
 def exact_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", fan: int = FAN) -> DataFrame:
     """One row per document: doc_id, keep_id, group_size, kept, text_sha256."""
     digests = cut_lineage(digest_table(docs, id_col, text_col))
     groups = cut_lineage(merge_tree(digests, fan))
-    rows = attach(digests.select("doc_id", *KEY), groups, KEY, "group_size")
+    rows = attach(digests.select("doc_id", "row", *KEY), groups, KEY, "group_size")
     return rows.select(
         "doc_id",
         "keep_id",
         "group_size",
-        F.coalesce(F.col("doc_id") == F.col("keep_id"), F.col("keep_id").isNull()).alias("kept"),
+        (F.col("row") == F.col("keep_row")).alias("kept"),
         F.col("sha").alias("text_sha256"),
     )

@@ -74,8 +74,11 @@ def copies(
     """One row per document: row (struct of ``keep``), size, source_size, target, copies."""
     digits = F.col("size").cast("string")
     name = F.col(id_col).cast("string")
+    others = [F.col(f"`{c}`") for c in keep if c != text_col]
     rows = docs.select(
         F.struct(*[F.col(f"`{c}`") for c in keep]).alias("row"),
+        # orders rows of one identifier and size; JSON also holds maps, which no hash takes
+        F.xxhash64(text_or_empty(text_col), F.to_json(F.struct(*others)) if others else F.lit("")).alias("tie"),
         word_count(text_or_empty(text_col)).alias("size"),
         # 0 before 1 puts null last; the rest keeps the order by code point
         F.coalesce(F.concat(F.lit("0"), F.col(source_col).cast("string")), F.lit("1")).alias("skey"),
@@ -102,7 +105,7 @@ def copies(
         F.when(F.col("source_size") > 0, F.col("target") / F.col("source_size")).otherwise(0.0).alias("rate"),
         offset.alias("offset"),
     )
-    inside = Window.partitionBy(*block).orderBy("order_key", "size", F.xxhash64("row"))
+    inside = Window.partitionBy(*block).orderBy("order_key", "size", "tie")
     numbered = rows.withColumn("place", F.row_number().over(inside)).join(starts, block)
     upto = F.floor((F.col("start") + F.col("place")) * F.col("rate") + F.col("offset"))
     upto_before = F.floor((F.col("start") + F.col("place") - 1) * F.col("rate") + F.col("offset"))

@@ -20,6 +20,19 @@ def bare(text):
     return "".join(c for c in text or "" if c not in SPACE)
 
 
+def test_one_row_of_a_group_is_kept(spark):
+    docs = spark.createDataFrame([(None, "a  b"), (5, "ab"), (6, "a b"), (7, "q q"), (7, "qq"), (7, "q q"), (None, "z"), (None, "z")], "doc_id long, text string")
+    got = exact_dedup(docs.repartition(3)).collect()
+    kept = sorted((r["text_sha256"], r["doc_id"], r["keep_id"]) for r in got if r["kept"])
+    assert len(got) == 8 and len(kept) == 3
+    assert [k[1:] for k in kept if k[1] is None] == [(None, None)] * 2 and (7, 7) in [k[1:] for k in kept]
+
+
+def test_mix_takes_rows_with_maps(spark):
+    docs = spark.sql("SELECT id AS doc_id, repeat('w ', 5) AS text, 'a' AS source, map('k', id) AS m FROM range(6) UNION ALL SELECT 1, repeat('w ', 5), 'a', map('k', 9L)")
+    assert mix(docs).columns == docs.columns and 8 <= mix(docs).count() <= 14
+
+
 def test_exact_dedup_odd_rows(odd_docs):
     got = sorted((r["doc_id"] or -1, r["keep_id"] or -1, r["group_size"], r["text_sha256"]) for r in exact_dedup(odd_docs).collect())
     groups = defaultdict(list)
