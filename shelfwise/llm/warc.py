@@ -13,7 +13,7 @@ Reading parses the archives record by record. Assembly joins request and metadat
 their concurrent-to identifier and emits one nested row per capture.
 
 Nulls: a null payload is empty; a null URL is written without WARC-Target-URI and read as null. Pages with a null
-identifier are captures without one. Repeated rows are captures of their own: record identifiers are drawn from the
+identifier are captures without one, revisits if a page with an identifier has their payload. Repeated rows are captures of their own: record identifiers are drawn from the
 identifier, the digest and a number among rows that share both. An empty table gives no rows. Columns other than the
 three named are not read.
 """
@@ -75,7 +75,7 @@ def roles(pages: DataFrame, least_bytes: int = 0, **names) -> DataFrame:
     key = ["sha1", "payload_bytes"]
     groups = cut_lineage(rows.groupBy(*key).agg(F.max("page_id").alias("largest"), F.count(F.lit(1)).alias("n")))
     placed = attach(rows.select("page_id", *key), groups, key, "n")
-    revisit = (F.col("payload_bytes") >= least_bytes) & (F.col("page_id") != F.col("largest"))
+    revisit = (F.col("payload_bytes") >= least_bytes) & ~F.col("page_id").eqNullSafe(F.col("largest"))
     return placed.select("page_id", *key, F.when(revisit, F.col("largest")).alias("refers_to")).distinct()
 
 

@@ -82,11 +82,12 @@ def test_warc_round_trip(spark, least):
     got = warc_report(table, least).collect()
     largest = {}
     for i, _, h in rows:
-        largest[h or ""] = max(largest.get(h or "", i), i) if i is not None else None
+        known = [v for v in (largest.get(h or ""), i) if v is not None]
+        largest[h or ""] = max(known, default=None)
     want = Counter()
     for i, _, h in rows:
         raw = (h or "").encode()
-        revisit = len(raw) >= least and i is not None and i != largest[h or ""]
+        revisit = len(raw) >= least and i != largest[h or ""]
         digest = base64.b32encode(hashlib.sha1(raw).digest()).decode()
         want[(i, len(raw), digest, "revisit" if revisit else "response", largest[h or ""] if revisit else None)] += 1
     assert Counter(tuple(r)[:5] for r in got) == want
