@@ -15,6 +15,7 @@ from shelfwise.scale import BROADCAST_BYTES, broadcast_if_small, cut_lineage, is
 WORD_SIMILARITY = 0.58
 MIN_RULE_CONFIDENCE = 0.85
 UNKNOWN_DEPTH = 10_000
+FILES_PER_DEPTH = 1 << 20
 PREFIX = 3
 HOT_PARENT_WORDS = 10_000
 
@@ -112,9 +113,15 @@ def sort_rules(rules: DataFrame) -> DataFrame:
 
 # ---------------------------------------------------------------- matching
 def last_rule_per_pair(rules: DataFrame) -> DataFrame:
-    """Of rules with the same words (any order) in one rule set the last one counts."""
+    """Of rules with the same words (any order) in one rule set the last one counts.
+
+    A rule set is a depth, or a file where ``file_no`` is given: files of one depth are phases in their order.
+    """
+    phase = F.coalesce("depth", F.lit(UNKNOWN_DEPTH))
+    if "file_no" in rules.columns:
+        phase = phase.cast("long") * FILES_PER_DEPTH + F.col("file_no")
     return (
-        rules.withColumn("phase", F.coalesce("depth", F.lit(UNKNOWN_DEPTH)))
+        rules.withColumn("phase", phase)
         .groupBy("phase", "side", F.least("w1", "w2").alias("low"), F.greatest("w1", "w2").alias("high"))
         .agg(F.max_by(F.struct("w1", "w2", "category_slug", "confidence"), "seq").alias("r"))
         .select("phase", "side", "r.*")

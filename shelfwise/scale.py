@@ -12,14 +12,13 @@ import re
 import tempfile
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 BROADCAST_BYTES = 64 * 1024 * 1024
 HOT_ROWS = 5_000_000
 ROWS_PER_BUCKET = 1_000_000
-MAX_BUCKETS = 1024  # bounds the key list on the driver
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> None:
@@ -82,32 +81,29 @@ def skew_join(
     count_col: str,
     how: str = "inner",
     hot_rows: int = HOT_ROWS,
-    salts: int = 64,
+    salts: int | None = None,
 ) -> DataFrame:
     """Join ``big`` with ``dim`` (few rows per key); keys with ``hot_rows`` or more rows are salted.
 
-    ``key_counts`` holds the number of big-side rows per key. At most rows/hot_rows keys can be
+    A hot key gets as many salts as it holds portions of ``hot_rows`` (twice that, or ``salts``). ``key_counts`` holds the number of big-side rows per key. At most rows/hot_rows keys can be
     hot, which bounds the broadcast list by arithmetic.
     """
     on = list(on)
+    portions = F.lit(salts) if salts else F.ceil(F.col("__rows") * 2 / hot_rows)
     hot = F.broadcast(
-        key_counts.filter(F.col(count_col) >= hot_rows).select(*on).distinct().withColumn("__hot", F.lit(True))
+        key_counts.filter(F.col(count_col) >= hot_rows)
+        .groupBy(*on)
+        .agg(F.max(count_col).alias("__rows"))
+        .select(*on, portions.cast("int").alias("__salts"))
     )
-    row_hash = F.pmod(F.xxhash64(*[F.col(f"`{c}`") for c in big.columns]), F.lit(salts)).cast("int")
-    left = big.join(hot, on, "left").withColumn(
-        "__salt", F.when(F.col("__hot"), row_hash).otherwise(F.lit(0))
-    ).drop("__hot")
+    row_hash = F.pmod(F.xxhash64(*[F.col(f"`{c}`") for c in big.columns]), F.col("__salts")).cast("int")
+    left = big.join(hot, on, "left").withColumn("__salt", F.coalesce(row_hash, F.lit(0))).drop("__salts")
     right = dim.join(hot, on, "left").withColumn(
-        "__salt",
-        F.explode(F.when(F.col("__hot"), F.sequence(F.lit(0), F.lit(salts - 1))).otherwise(F.array(F.lit(0)))),
-    ).drop("__hot")
+        "__salt", F.explode(F.sequence(F.lit(0), F.coalesce(F.col("__salts") - 1, F.lit(0))))
+    ).drop("__salts")
     return left.join(right, on + ["__salt"], how).drop("__salt")
 
 
-def _literal_key(values: Sequence, types: Sequence[T.DataType]) -> Column:
-    return F.struct(*[F.lit(v).cast(t).alias(f"k{i}") for i, (v, t) in enumerate(zip(values, types))])
-
-
 def number_rows(
     df: DataFrame,
     order: Sequence[str],
@@ -118,46 +114,33 @@ def number_rows(
 ) -> DataFrame:
     """Number rows densely by the (unique) ascending ``order`` columns, per ``within`` group.
 
-    Rows are cut into key ranges; a range is numbered by a local window and shifted by the row
-    count of the ranges before it, so neither the whole table nor a hot group meets one task.
-    Range bounds come from a hash-selected set of keys (bounds only: every row is numbered).
+    Rows are dealt to range partitions of about ``rows_per_bucket`` rows, which are written once with the number of their
+    partition. Rows are numbered inside it, and shifted by a prefix sum over the partitions' counts. So neither the whole
+    table nor a hot group meets one task, and no key comes to the driver.
     """
     within, order = list(within), list(order)
     n = df.count()
-    buckets = min(MAX_BUCKETS, max(1, -(-n // rows_per_bucket)))
-    local = Window.partitionBy(*within, "__bucket").orderBy(*order)
-    if buckets == 1:
+    if n <= rows_per_bucket:  # one range
         w = Window.partitionBy(*within).orderBy(*order) if within else Window.partitionBy(F.lit(0)).orderBy(*order)
         return df.withColumn(out, (F.row_number().over(w) + (start - 1)).cast("long"))
 
-    types = [df.schema[c].dataType for c in order]
-    every = max(1, n // (buckets * 64))
-    keys = [
-        tuple(r)
-        for r in df.filter(F.pmod(F.xxhash64(*order), F.lit(every)) == 0).select(*order).sort(*order).collect()
-    ]
-    step = max(1, len(keys) // buckets)
-    bounds = keys[step::step]
-    key = F.struct(*[F.col(c).alias(f"k{i}") for i, c in enumerate(order)])
-    if bounds:
-        arr = F.array(*[_literal_key(b, types) for b in bounds])
-        bucket = F.size(F.filter(arr, lambda b: b <= key))
-    else:
-        bucket = F.lit(0)
-    tagged = df.withColumn("__bucket", bucket.cast("int"))
-    sizes = tagged.groupBy(*within, "__bucket").agg(F.count(F.lit(1)).alias("__n"))
-    before = Window.partitionBy(*within).orderBy("__bucket").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = sizes.select(*within, "__bucket", F.coalesce(F.sum("__n").over(before), F.lit(0)).alias("__off"))
-    numbered = tagged.withColumn("__rn", F.row_number().over(local))
-    if within:
-        cond = numbered["__bucket"] == offsets["__bucket"]
-        for c in within:
-            cond = cond & numbered[c].eqNullSafe(offsets[c])
-        joined = numbered.join(offsets, cond).drop(offsets["__bucket"], *[offsets[c] for c in within])
-    else:
-        joined = numbered.join(F.broadcast(offsets), "__bucket")
+    ranges = -(-n // rows_per_bucket)
+    ranged = cut_lineage(df.repartitionByRange(ranges, *within, *order).withColumn("__range", F.spark_partition_id()))
+    sizes = ranged.groupBy(*within, "__range").agg(F.count(F.lit(1)).alias("__n"))
+    # a row per range, and per group
+    before = Window.partitionBy(*(within or [F.lit(0)])).orderBy("__range").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = sizes.select(
+        *[F.col(c).alias(f"__w{k}") for k, c in enumerate(within)],
+        F.col("__range").alias("__r"),
+        F.coalesce(F.sum("__n").over(before), F.lit(0)).alias("__off"),
+    )
+    numbered = ranged.withColumn("__rn", F.row_number().over(Window.partitionBy(*within, "__range").orderBy(*order)))
+    same = F.col("__range") == F.col("__r")
+    for k, c in enumerate(within):
+        same = same & F.col(f"`{c}`").eqNullSafe(F.col(f"__w{k}"))
+    joined = numbered.join(offsets if within else F.broadcast(offsets), same)  # without groups, one row per range
     return joined.withColumn(out, (F.col("__rn") + F.col("__off") + (start - 1)).cast("long")).drop(
-        "__bucket", "__rn", "__off"
+        "__range", "__rn", "__off", "__r", *[f"__w{k}" for k in range(len(within))]
     )
 
 

@@ -111,6 +111,14 @@ def cascade_match(spark, d):
     return ranked.drop("pos", "triggers")
 
 
+@query
+def cascade_files(spark, d):
+    """Subtitle rules in a file of their own, behind the title rules of the same depth."""
+    files = view(spark, d, "rules").withColumn("file_no", F.when(F.col("side") == "title", 0).otherwise(1))
+    found = rules.match_triggers(view(spark, d, "items"), files, cross=True)
+    return rules.top_categories(rules.rank_categories(found)).select("id", "phase", "category_slug", "matched_bigram_count")
+
+
 @query
 def trigger_stats(spark, d):
     return rules.trigger_stats(rules.rank_categories(cross_triggers(spark, d)))
@@ -356,7 +364,7 @@ def match_lists(spark, d):
     totals = rules.item_totals(rules.rank_categories(strict_triggers(spark, d)))
     by_rule = merge.rule_rows(totals, taxonomy.slug_paths(n))
     log = decisions.latest_decisions(view(spark, d, "pair_log"), ["rank"])
-    words = rules.last_rule_per_pair(view(spark, d, "rules")).filter("side = 'subtitle' AND phase = 1").select("w1", "w2")
+    words = rules.last_rule_per_pair(view(spark, d, "rules")).select(F.least("w1", "w2").alias("w1"), F.greatest("w1", "w2").alias("w2")).distinct()
     decided = cut_lineage(number_rows(words, ["w1", "w2"], "rank").join(log, "rank").filter("kind = 'assign'"))
     by_pair = decisions.assign_pairs(decisions.claim_first(decisions.pair_hits(items, decided)), decided)
     kept = view(spark, d, "predictions").filter("confidence >= 0.9 AND confidence <= 1.0").select("id", "leaf_path", "confidence")
@@ -367,7 +375,7 @@ def match_lists(spark, d):
 @query
 def merge_sources(spark, d):
     items, lists = match_lists(spark, d)
-    return merge.with_texts(merge.dedupe_matched(merge.union_sources(*lists)), items).drop("subtitle")
+    return merge.with_texts(merge.dedupe_matched(merge.union_sources(*lists)), items)
 
 
 @query
@@ -385,8 +393,9 @@ def dedupe_accounting(spark, d):
 
 @query
 def unmatched_report(spark, d):
-    items, (g, r, _, m) = match_lists(spark, d)
-    return merge.unmatched_report(merge.final_unmatched(items, merge.dedupe_matched(merge.union_sources(g, m))))
+    items, (g, _, _, m) = match_lists(spark, d)
+    rows = cut_lineage(merge.union_sources(g, m))
+    return merge.unmatched_report(merge.final_unmatched(items, merge.dedupe_matched(rows)), merge.dedupe_accounting(rows, items))
 
 
 @query
@@ -711,6 +720,11 @@ def publish_values(spark, d):
     return publish.publish_values(value_state(spark, d), view(spark, d, "shop_values").select("item_id", "attribute_id", "value"))
 
 
+@query
+def skipped_values(spark, d):
+    return publish.skipped_values(value_state(spark, d))
+
+
 @query
 def publish_dry_run(spark, d):
     nodes = cut_lineage(nodes_of(spark, d))
@@ -795,7 +809,7 @@ def group_preview(spark, d):
 @query
 def handover_items(spark, d):
     members, latest, matched = group_state(spark, d)
-    return decisions.handover(decisions.remaining_items(view(spark, d, "items"), members, latest, matched)).drop("subtitle")
+    return decisions.handover(decisions.remaining_items(view(spark, d, "items"), members, latest, matched))
 
 
 @query

@@ -100,6 +100,12 @@ for name, cross in (("match_strict", False), ("match_cross", True)):
         "items", "rules",
         ctes=",\n".join([ONE_SET, trig_sql(cross), RANKED]),
     )
+check(
+    "cascade_files",
+    "SELECT id, phase, category_slug, matched_bigram_count FROM ranked WHERE rank = 1",
+    "items", "rules",
+    ctes=",\n".join([LAST_RULES.replace("coalesce(depth, 10000)", "coalesce(depth, 10000)::BIGINT * 1048576 + CASE side WHEN 'title' THEN 0 ELSE 1 END"), trig_sql(True), RANKED]),
+)
 check(
     "top_category",
     "SELECT id, category_slug, matched_bigram_count, max_confidence FROM ranked WHERE rank = 1",
@@ -384,7 +390,7 @@ MERGED = f"""{ASSIGNED},
 by_rule AS (SELECT i.pos, i.id, i.title, i.subtitle, coalesce(s.path, t.top_category, '') AS leaf_path FROM totals t JOIN items i ON i.pos = t.pos
     LEFT JOIN slug_paths s ON s.slug = t.top_category),
 pair_latest AS (SELECT rank, arg_max(kind, {{'t': decided_at, 's': seq}}) AS kind, arg_max(leaf_path, {{'t': decided_at, 's': seq}}) AS leaf_path FROM pair_log GROUP BY rank),
-decided AS (SELECT r.*, l.leaf_path FROM (SELECT w1, w2, row_number() OVER (ORDER BY w1, w2) AS rank FROM uniq WHERE side = 'subtitle' AND phase = 1) r
+decided AS (SELECT r.*, l.leaf_path FROM (SELECT w1, w2, row_number() OVER (ORDER BY w1, w2) AS rank FROM (SELECT DISTINCT least(w1, w2) AS w1, greatest(w1, w2) AS w2 FROM uniq)) r
     JOIN pair_latest l ON l.rank = r.rank WHERE l.kind = 'assign'),
 all_words AS (SELECT DISTINCT pos, f, w FROM (
     SELECT pos, 0 AS f, unnest({LOW.format('title')}) AS w FROM items UNION ALL SELECT pos, 1, unnest({LOW.format('subtitle')}) FROM items)),
@@ -401,7 +407,7 @@ best AS (SELECT * FROM every QUALIFY row_number() OVER (PARTITION BY id ORDER BY
 MV = ("items", "tree", "decision_log", "rules", "pair_log", "predictions")
 check(
     "merge_sources",
-    """SELECT id, title, leaf_path, split_part(leaf_path, '/', -1) AS leaf_slug, leaf_display_name,
+    """SELECT id, title, subtitle, leaf_path, split_part(leaf_path, '/', -1) AS leaf_slug, leaf_display_name,
         CASE tier WHEN 4 THEN 'interactive_similar_title_group' WHEN 3 THEN 'interactive_manual_bigram_match' WHEN 2 THEN 'llm_match'
              ELSE CASE WHEN contains(leaf_path, '/') THEN 'cascading_bigram' ELSE 't1_bigram' END END AS method FROM best""",
     *MV, ctes=MERGED,
@@ -414,7 +420,14 @@ check(
        FROM (SELECT count(*) AS matched_in, count(DISTINCT id) AS matched_out FROM every WHERE tier > 1), (SELECT count(*) AS n FROM items)""",
     *MV, ctes=MERGED,
 )
-check("unmatched_report", "SELECT count(*) AS total_unmatched_items FROM items WHERE id NOT IN (SELECT id FROM every WHERE tier IN (2, 4))", *MV, ctes=MERGED)
+check(
+    "unmatched_report",
+    """SELECT id, title, subtitle, n_items - n_out AS total_unmatched_items, n_in AS matched_in, n_out AS matched_out, n_in - n_out AS matched_removed,
+        n_items AS unmatched_in, 0 AS unmatched_duplicates, n_out AS unmatched_already_matched, n_items - n_out AS unmatched_out
+       FROM items, (SELECT count(*) AS n_in, count(DISTINCT id) AS n_out FROM every WHERE tier IN (2, 4)), (SELECT count(*) AS n_items FROM items)
+       WHERE id NOT IN (SELECT id FROM every WHERE tier IN (2, 4))""",
+    *MV, ctes=MERGED,
+)
 check(
     "run_funnel",
     """SELECT stage, n AS n_items, round(100.0 * n / (SELECT count(*) FROM items), 1) AS percent FROM (
@@ -656,6 +669,13 @@ check(
        FROM vals v JOIN new_attrs a ON a.key = v.attribute_key AND a.wide_path = split_part(v.leaf_path, '/', 1) || '/' || split_part(v.leaf_path, '/', 2)""",
     *XV, "shop_categories", ctes=f"{GOOD},\n" + ATTR[len(SCHEMA) + 2 :],
 )
+check(
+    "skipped_values",
+    """SELECT v.item_id, NULL::VARCHAR AS attribute_id, v.value, 'attribute' AS missing
+       FROM vals v LEFT JOIN new_attrs a ON a.key = v.attribute_key AND a.wide_path = split_part(v.leaf_path, '/', 1) || '/' || split_part(v.leaf_path, '/', 2)
+       WHERE a.key IS NULL""",
+    *XV, "shop_categories", ctes=f"{GOOD},\n" + ATTR[len(SCHEMA) + 2 :],
+)
 check(
     "gap_report",
     """SELECT (SELECT count(*) FROM shop_items WHERE deleted_at IS NULL) AS total,
@@ -704,7 +724,7 @@ check(
     "SELECT group_id, row_number() OVER (PARTITION BY group_id ORDER BY pos) AS rank, id FROM members QUALIFY row_number() OVER (PARTITION BY group_id ORDER BY pos) <= 12",
     "items", ctes=GROUPS,
 )
-check("handover_items", "SELECT id, title FROM items WHERE id NOT IN (SELECT id FROM assigned)", *GV, ctes=ASSIGNED)
+check("handover_items", "SELECT id, title, subtitle FROM items WHERE id NOT IN (SELECT id FROM assigned)", *GV, ctes=ASSIGNED)
 check(
     "row_paths",
     """SELECT t.id, coalesce(nullif(trim(CASE WHEN p.confidence < 0.3 THEN ' ' WHEN p.confidence > 0.5 THEN p.leaf_path END), ''), t.top_category, '') AS path
