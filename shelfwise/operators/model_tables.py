@@ -15,9 +15,10 @@ from pyspark.sql import functions as F
 
 from shelfwise.functions import text as tx
 from shelfwise.operators.extraction import VALUE_COLUMNS
-from shelfwise.scale import broadcast_if_small, number_rows, side_by_side
+from shelfwise.scale import broadcast_if_small, cut_lineage, number_rows, side_by_side
 
 PAIRS_PER_BATCH = 100
+PROMPT_BYTES = 4 << 20
 ITEMS_PER_BATCH = 25
 LEAVES_PER_BATCH = 3
 VALUES_PER_BATCH = 20
@@ -42,31 +43,39 @@ def joined_lines(df: DataFrame, keys: list[str], slot: str, line: str, out: str
     )
 
 
-def all_pairs(ranked: DataFrame) -> DataFrame:
-    """Every word pair ``i < j`` of a ranked list (``rank`` 1..n), in list order.
+def choice_table(choices: DataFrame, fields: list[str], order: str) -> tuple[DataFrame, str]:
+    """``(choices_id, slot, line)``: what an answer may name, one JSON object per line, and its identifier.
 
-    Pair numbers are generated as a range and turned into ranks by arithmetic, so work is even
-    over tasks and the two words arrive by equi-joins.
+    The identifier is a digest of the lines and their order, summed row by row, so the list is never put together.
+    Requests carry the identifier; the list is stored once.
     """
-    words = ranked.select("rank", "word")
-    n = words.count()
-    total = n * (n - 1) // 2
-    m = 2 * n - 1
-    rows = ranked.sparkSession.range(total).withColumnRenamed("id", "pair_no")
-    guess = F.floor((m - F.sqrt(F.lit(float(m) * m) - 8.0 * F.col("pair_no"))) / 2).cast("long")
-    start = lambda i: ((i * F.lit(m) - i * i) / 2).cast("long")
-    rows = rows.withColumn("g", guess)
-    i = (
-        F.when(start(F.col("g")) > F.col("pair_no"), F.col("g") - 1)
-        .when(start(F.col("g") + 1) <= F.col("pair_no"), F.col("g") + 1)
-        .otherwise(F.col("g"))
+    lines = choices.select(order, F.to_json(F.struct(*fields)).alias("line"))
+    rows = cut_lineage(number_rows(lines, [order], "slot", start=0).select("slot", "line"))
+    digest = F.md5(F.concat_ws(":", F.col("slot").cast("string"), "line").cast("binary"))
+    part = lambda at: F.coalesce(F.sum(F.conv(F.substring(digest, at, 8), 16, 10).cast("long")), F.lit(0))
+    n, first, second = rows.agg(F.count(F.lit(1)), part(1), part(9)).first()
+    name = f"choices_{n}_{first}_{second}"
+    return rows.select(F.lit(name).alias("choices_id"), "slot", "line"), name
+
+
+def choice_text(choices: DataFrame, max_bytes: int = PROMPT_BYTES) -> str:
+    """The lines of a choice table as one text, for a prompt; a list that no prompt can hold is an error."""
+    size = choices.agg(F.coalesce(F.sum(F.octet_length("line")), F.lit(0))).first()[0]
+    if size > max_bytes:
+        raise ValueError(f"{size} bytes of choices do not fit a prompt; use offered_branches")
+    return "\n".join(r["line"] for r in choices.orderBy("slot").collect())
+
+
+def offered_branches(items: DataFrame, leaf_rows: DataFrame, levels: int = 2) -> DataFrame:
+    """``(pos, id, branch, n_words)``: branches of the tree whose words an item holds, with how many of them."""
+    branch = F.array_join(F.slice(F.split("leaf_path", "/"), 1, levels), "/")
+    known = cut_lineage(
+        leaf_rows.select(branch.alias("branch"), F.explode(tx.keyword_set(F.concat_ws(" ", "leaf_path", "display_name"))).alias("word")).distinct()
     )
-    rows = rows.withColumn("i", i).withColumn("j", F.col("pair_no") - start(F.col("i")) + F.col("i") + 1)
-    first = words.select((F.col("rank") - 1).alias("i"), F.col("word").alias("w1"))
-    second = words.select((F.col("rank") - 1).alias("j"), F.col("word").alias("w2"))
-    return (
-        rows.join(broadcast_if_small(first), "i").join(broadcast_if_small(second), "j").select("pair_no", "w1", "w2")
+    words = items.select(
+        "pos", "id", F.explode(F.array_union(tx.token_set(F.col("title")), tx.token_set(F.col("subtitle")))).alias("word")
     )
+    return words.join(broadcast_if_small(known), "word").groupBy("pos", "id", "branch").agg(F.count(F.lit(1)).alias("n_words"))
 
 
 def pair_requests(pairs: DataFrame, size: int = PAIRS_PER_BATCH) -> DataFrame:
@@ -172,17 +181,6 @@ def call_model(
     return rows.mapInPandas(run, schema)
 
 
-def with_context(requests: DataFrame, choices: DataFrame, fields: list[str], order: str) -> DataFrame:
-    """Requests with ``context``: the choices an answer may use, one JSON object per line in ``order``.
-
-    The list goes into every prompt, so it is as large as the model reads; it is made once and broadcast if small.
-    """
-    one = F.struct(F.col(order).alias("o"), F.to_json(F.struct(*fields)).alias("l"))
-    listed = choices.agg(F.array_join(F.array_sort(F.collect_list(one))["l"], "\n").alias("context"))
-    both = requests.withColumn("__k", F.lit(0)).join(broadcast_if_small(listed.withColumn("__k", F.lit(0))), "__k")
-    return both.drop("__k")
-
-
 # ---------------------------------------------------------------- responses
 def _kind(v: Column, path: str) -> Column:
     return F.schema_of_variant(F.try_variant_get(v, path, "variant"))

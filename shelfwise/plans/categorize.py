@@ -39,9 +39,9 @@ def match_by_model(items: DataFrame, nodes: DataFrame, matched_ids: DataFrame, f
     """Match rows from a leaf model; answers are checkpointed so a retry does not ask again."""
     leaf_rows = cut_lineage(taxonomy.leaves(nodes, with_catch_all=False))
     pool = items.join(matched_ids.select("id").distinct(), "id", "left_anti")
-    requests = model_tables.with_context(model_tables.leaf_requests(pool), leaf_rows, ["leaf_path", "display_name"], "ord")
-    prompt = F.concat_ws("\n", F.lit("Leaves:"), "context", F.lit("Items:"), "lines")
-    asked = model_tables.call_model(requests, prompt, ["batch_no"], fn, parallelism)
+    choices, _ = model_tables.choice_table(leaf_rows, ["leaf_path", "display_name"], "ord")
+    prompt = F.concat_ws("\n", F.lit("Leaves:"), F.lit(model_tables.choice_text(choices)), F.lit("Items:"), "lines")
+    asked = model_tables.call_model(model_tables.leaf_requests(pool), prompt, ["batch_no"], fn, parallelism)
     answers = model_tables.valid_leaf_answers(cut_lineage(asked), leaf_rows)
     return model_tables.merge_model_matches(pool, model_tables.kept_leaves(answers), matched_ids)
 

@@ -138,11 +138,17 @@ def test_leaf_answers(spark):
     assert kept == {"a": ("m/y", 0.95), "e": ("m/x", 1.0)}
 
 
-def test_all_pairs(spark):
-    words = [f"w{i:03d}" for i in range(57)]
-    ranked = spark.createDataFrame([(i + 1, w) for i, w in enumerate(words)], "rank long, word string")
-    got = [(r.w1, r.w2) for r in model_tables.all_pairs(ranked).orderBy("pair_no").collect()]
-    assert got == [(a, b) for i, a in enumerate(words) for b in words[i + 1 :]]
+def test_choices_are_stored_once(spark):
+    rows = [(f"m/{k}", f"M {k}", f"{k:02d}") for k in range(12)]
+    leaves = spark.createDataFrame(rows, "leaf_path string, display_name string, ord string")
+    table, name = model_tables.choice_table(leaves, ["leaf_path"], "ord")
+    assert [(r.slot, r.line) for r in table.orderBy("slot").collect()] == [(k, f'{{"leaf_path":"m/{k}"}}') for k in range(12)]
+    assert {r.choices_id for r in table.collect()} == {name} == {model_tables.choice_table(leaves.repartition(4), ["leaf_path"], "ord")[1]}
+    turned = spark.createDataFrame([(p, d, f"{99 - int(o):02d}") for p, d, o in rows], leaves.schema)
+    assert model_tables.choice_table(turned, ["leaf_path"], "ord")[1] != name
+    assert model_tables.choice_text(table).count("\n") == 11
+    with pytest.raises(ValueError):
+        model_tables.choice_text(table, 100)
 
 
 def test_value_answers(spark):

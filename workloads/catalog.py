@@ -563,20 +563,38 @@ def all_values(spark, d):
 
 
 # ---------------------------------------------------------------- model requests and answers
+def leaf_choices(spark, d):
+    leaf_rows = taxonomy.leaves(nodes_of(spark, d), with_catch_all=False)
+    return model_tables.choice_table(leaf_rows, ["leaf_path", "display_name"], "ord")
+
+
 @query
 def model_requests_leaf(spark, d):
-    """Item requests with the leaves an answer may name."""
-    leaf_rows = taxonomy.leaves(nodes_of(spark, d), with_catch_all=False)
+    """Item requests with the identifier of the leaves an answer may name."""
     requests = model_tables.leaf_requests(view(spark, d, "items"))
-    return model_tables.with_context(requests, leaf_rows, ["leaf_path", "display_name"], "ord")
+    return requests.withColumn("choices_id", F.lit(leaf_choices(spark, d)[1]))
+
+
+@query
+def model_choices_leaf(spark, d):
+    return leaf_choices(spark, d)[0]
+
+
+@query
+def model_offers(spark, d):
+    """Branches offered for every item."""
+    leaf_rows = taxonomy.leaves(nodes_of(spark, d), with_catch_all=False)
+    return model_tables.offered_branches(view(spark, d, "items"), leaf_rows).drop("pos")
 
 
 @query
 def model_requests_pairs(spark, d):
-    """Pairs that occur together in items, in list order."""
+    """Pairs that occur together in items, in list order, with the categories an answer may name."""
     items = view(spark, d, "items")
     ranked = keywords.ranked_pairs(cut_lineage(keywords.frequent_pairs(items, vocabulary_of(items))))
-    return model_tables.pair_requests(ranked.withColumn("pair_no", F.col("rank") - 1))
+    allowed = taxonomy.top_level_list(nodes_of(spark, d))
+    _, choices_id = model_tables.choice_table(allowed, ["slug", "display_name", "root"], "ord")
+    return model_tables.pair_requests(ranked.withColumn("pair_no", F.col("rank") - 1)).withColumn("choices_id", F.lit(choices_id))
 
 
 @query

@@ -557,19 +557,33 @@ check(
 )
 
 # ---------------------------------------------------------------- model tables
+CHOICES_ID = """SELECT 'choices_' || count(*) || '_' || coalesce(sum(('0x' || left(md5(slot || ':' || line), 8))::BIGINT), 0) || '_' || coalesce(sum(('0x' || md5(slot || ':' || line)[9:16])::BIGINT), 0) AS choices_id"""
+LEAF_CHOICES = NODES + """,
+choices AS (SELECT row_number() OVER (ORDER BY ord) - 1 AS slot, to_json({'leaf_path': path, 'display_name': display_name})::VARCHAR AS line
+    FROM nodes WHERE is_leaf AND depth > 0 AND NOT is_catch_all)"""
 check(
     "model_requests_leaf",
-    r"""SELECT n // 25 AS batch_no, count(*) AS n_rows, string_agg(to_json({'id': id, 'title': title, 'subtitle': subtitle})::VARCHAR, chr(10) ORDER BY n) AS lines, any_value(context) AS context
-       FROM (SELECT *, row_number() OVER (ORDER BY pos) - 1 AS n FROM items),
-         (SELECT string_agg(to_json({'leaf_path': path, 'display_name': display_name})::VARCHAR, chr(10) ORDER BY ord) AS context FROM nodes WHERE is_leaf AND depth > 0 AND NOT is_catch_all)
-       GROUP BY 1""",
+    f"""SELECT n // 25 AS batch_no, count(*) AS n_rows, string_agg(to_json({{'id': id, 'title': title, 'subtitle': subtitle}})::VARCHAR, chr(10) ORDER BY n) AS lines, any_value(choices_id) AS choices_id
+       FROM (SELECT *, row_number() OVER (ORDER BY pos) - 1 AS n FROM items), ({CHOICES_ID} FROM choices) GROUP BY 1""",
+    "items", "tree", ctes=LEAF_CHOICES,
+)
+check("model_choices_leaf", f"SELECT choices_id, slot, line FROM choices, ({CHOICES_ID} FROM choices)", "tree", ctes=LEAF_CHOICES)
+check(
+    "model_offers",
+    f"""SELECT i.id, b.branch, count(*) AS n_words FROM (
+        SELECT DISTINCT pos, id, unnest({LOW.format('title')} || {LOW.format('subtitle')}) AS word FROM items) i
+       JOIN (SELECT DISTINCT array_to_string(string_split(path, '/')[:2], '/') AS branch, w AS word FROM (
+        SELECT path, unnest({LOW.format("path || ' ' || display_name")}) AS w FROM nodes WHERE is_leaf AND depth > 0 AND NOT is_catch_all) WHERE length(w) >= 4) b ON b.word = i.word
+       GROUP BY i.pos, i.id, b.branch""",
     "items", "tree", ctes=NODES,
 )
 check(
     "model_requests_pairs",
-    """SELECT n // 100 AS batch_no, count(*) AS n_rows, string_agg(to_json([w1, w2])::VARCHAR, chr(10) ORDER BY n) AS lines FROM (
-        SELECT w1, w2, rank - 1 AS n FROM ranked_pairs) GROUP BY 1""",
-    "items", "pair_log", ctes=PAIR_STATE,
+    f"""SELECT n // 100 AS batch_no, count(*) AS n_rows, string_agg(to_json([w1, w2])::VARCHAR, chr(10) ORDER BY n) AS lines, any_value(choices_id) AS choices_id FROM (
+        SELECT w1, w2, rank - 1 AS n FROM ranked_pairs), ({CHOICES_ID} FROM (
+        SELECT row_number() OVER (ORDER BY ord) - 1 AS slot, to_json({{'slug': slug, 'display_name': display_name, 'root': split_part(path, '/', 1)}})::VARCHAR AS line
+        FROM nodes WHERE depth = 1 AND NOT is_catch_all)) GROUP BY 1""",
+    "items", "pair_log", "tree", ctes=PAIR_STATE + ",\n" + NODES,
 )
 check(
     "model_requests_attrs",
