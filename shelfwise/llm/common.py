@@ -3,8 +3,9 @@
 from __future__ import annotations
 
 import uuid
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -15,6 +16,7 @@ SPACES = " \t\n\x0b\x0c\r"
 WORD_GAPS = "[\\x20\\x09-\\x0D]+"
 #: Most keys that ``attach`` broadcasts; a key is hot from rows / HOT_KEYS rows on.
 HOT_KEYS = 10_000
+PORTION = 256
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -39,6 +41,13 @@ def crc_mod(id_col: str, n: int) -> Column:
     return F.crc32(F.col(id_col).cast("string").cast("binary")) % n
 
 
+def portions(batches: Iterator[pa.RecordBatch], rows: int = PORTION) -> Iterator[pa.RecordBatch]:
+    """Arrow batches cut to ``rows`` rows, which bounds what a worker makes of a batch; nothing is copied."""
+    for batch in batches:
+        for at in range(0, batch.num_rows, rows):
+            yield batch.slice(at, rows)
+
+
 def scratch(spark: SparkSession, name: str) -> str:
     """A new folder name below the shared checkpoint folder, as a URI without a trailing slash."""
     ensure_checkpoint_dir(spark)

@@ -29,7 +29,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from shelfwise.llm.common import crc_mod
+from shelfwise.llm.common import crc_mod, portions
 
 BITS = 15
 LENGTHS = 3
@@ -151,7 +151,7 @@ def classify(
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model = shared.value
         marks = None if model is None else np.unpackbits(model["marks"], axis=1).T.astype(np.float32)
-        for batch in batches:
+        for batch in portions(batches):
             texts = batch.column("__text")
             names: list[str] = []
             scores: list[float] = []

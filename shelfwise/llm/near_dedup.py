@@ -37,7 +37,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from shelfwise.llm.common import attach, text_or_empty, words
+from shelfwise.llm.common import attach, portions, text_or_empty, words
 from shelfwise.llm.hashing import digest, minhash, mix64, shingle_set, tokens
 from shelfwise.scale import broadcast_if_small, cut_lineage
 
@@ -63,7 +63,7 @@ def signatures(docs: DataFrame, id_col: str, text_col: str, shingle: int) -> Dat
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         slots = np.arange(2 * SIDE, dtype=np.uint64)
-        for batch in batches:
+        for batch in portions(batches):
             cls, sizes, halves = [], [], []
             for text in batch.column("text").to_pylist():
                 words = tokens(text)
@@ -92,7 +92,7 @@ def shingle_sets(docs: DataFrame, wanted: DataFrame, id_col: str, text_col: str,
     """(cls, set) of the wanted classes; ``wanted`` names each by (cls, doc_id of one member)."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in portions(batches):
             words = [tokens(t) for t in batch.column("text").to_pylist()]
             sets = [shingle_set(w, shingle).view(np.int64) for w in words]
             yield pa.RecordBatch.from_arrays(
