@@ -11,7 +11,7 @@ TABLES = "region nation customer supplier part orders lineitem events documents
 CHECKED = [
     "valid_items", "keyword_df", "match_strict", "match_cross", "cascade_match", "trigger_stats", "frequent_pairs", "cascade_files", "word_parents",
     "pair_rules", "equal_groups", "similar_groups", "pair_claims_min", "pair_work_remaining", "group_labels", "remaining_status", "merge_sources", "summary_levels", "validate_rows", "template_reps",
-    "regex_values", "model_values", "model_requests_attrs", "model_requests_leaf", "model_requests_pairs", "model_requests_values", "leaf_search", "group_stats", "vocabulary", "run_funnel", "publish_links", "gap_report", "run_list",
+    "regex_values", "model_values", "model_requests_attrs", "model_requests_leaf", "model_choices_leaf", "model_offers", "model_requests_pairs", "model_requests_values", "leaf_search", "group_stats", "vocabulary", "run_funnel", "publish_links", "gap_report", "run_list",
 ]
 
 
