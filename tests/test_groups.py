@@ -80,8 +80,7 @@ def model(rows, t, size, limit):
     return found
 
 
-@pytest.mark.parametrize("method", ["component", "clique"])
-@pytest.mark.parametrize("t, chunk", [(0.7, 400), (0.8, 5), (1.0, 7)])
+@pytest.mark.parametrize("t, chunk, method", [(0.7, 400, "component"), (0.8, 5, "component"), (1.0, 7, "component"), (0.7, 400, "clique"), (0.8, 7, "clique")])
 def test_groups_match_the_model(spark, t, chunk, method):
     # the model tries all subsets of a block for a clique, so it gets small blocks
     rows = [r for k, r in enumerate(catalog()) if method == "component" or k % 8 == 0 or k >= 160]

@@ -37,6 +37,7 @@ def test_same_as_sql(spark, duck, sf, name):
     assert sorted(names) == cols
     want = [[r[names.index(c)] for c in cols] for r in result.fetchall()]
     assert tidy(df.select(*cols).collect()) == tidy(want)
+    assert "CartesianProduct" not in df._jdf.queryExecution().toString()
 
 
 def test_registry():
