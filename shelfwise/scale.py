@@ -1,6 +1,7 @@
 """Building blocks that keep plans safe when data grows or one key is hot.
 
 * ``cut_lineage``       reliable checkpoint for iterative plans (never a local one)
+* ``cut_and_count``     the same, with the rows counted on the way
 * ``broadcast_if_small`` broadcast hint behind a measured byte bound
 * ``skew_join``         equi-join whose hot keys are salted on the big side
 * ``number_rows``       dense row numbers without a single-task window
@@ -12,7 +13,7 @@ import re
 import tempfile
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, Observation, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -41,6 +42,13 @@ def cut_lineage(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
+def cut_and_count(df: DataFrame) -> tuple[DataFrame, int]:
+    """``cut_lineage`` with the number of rows, which is observed while they are written."""
+    seen = Observation()
+    cut = cut_lineage(df.observe(seen, F.count(F.lit(1)).alias("n")))
+    return cut, seen.get["n"]
+
+
 def spread(df: DataFrame, *keys: str) -> DataFrame:
     """Hash rows to the configured number of shuffle partitions.
 

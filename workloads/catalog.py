@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from shelfwise.functions import text as tx
 from shelfwise.operators import decisions, extraction, groups, keywords, merge, model_tables, publish, report, rules, taxonomy, templates
-from shelfwise.scale import broadcast_if_small, cut_lineage, number_rows
+from shelfwise.scale import broadcast_if_small, cut_and_count, cut_lineage, number_rows
 from workloads.views import view
 
 QUERIES = {}
@@ -356,8 +356,8 @@ def merge_newest(spark, d):
 
 
 # ---------------------------------------------------------------- merging
-def match_lists(spark, d):
-    """The four match sources: groups, rules, pairs, model."""
+def counted_lists(spark, d):
+    """The four match sources with their rows: groups, rules, pairs, model."""
     items = view(spark, d, "items")
     n = nodes_of(spark, d)
     by_group = group_state(spark, d)[2]
@@ -369,7 +369,12 @@ def match_lists(spark, d):
     by_pair = decisions.assign_pairs(decisions.claim_first(decisions.pair_hits(items, decided)), decided)
     kept = view(spark, d, "predictions").filter("confidence >= 0.9 AND confidence <= 1.0").select("id", "leaf_path", "confidence")
     by_model = model_tables.merge_model_matches(items, kept, spark.createDataFrame([], "id string"))
-    return items, [cut_lineage(m) for m in (by_group, by_rule, by_pair, by_model)]
+    return items, [cut_and_count(m) for m in (by_group, by_rule, by_pair, by_model)]
+
+
+def match_lists(spark, d):
+    items, lists = counted_lists(spark, d)
+    return items, [m for m, _ in lists]
 
 
 @query
@@ -422,9 +427,10 @@ def validate_rows(spark, d):
 
 @query
 def run_funnel(spark, d):
-    items, (g, r, p, m) = match_lists(spark, d)
-    merged = merge.dedupe_matched(merge.union_sources(g, r, p, m))
-    return report.funnel(items, groups=g, rules=r, pairs=p, model=m, merged=merged)
+    items, lists = counted_lists(spark, d)
+    _, merged = cut_and_count(merge.dedupe_matched(merge.union_sources(*[m for m, _ in lists])))
+    counts = dict(zip(("groups", "rules", "pairs", "model"), (n for _, n in lists)))
+    return report.funnel(spark, items.count(), **counts, merged=merged)
 
 
 # ---------------------------------------------------------------- templates
